@@ -7,10 +7,11 @@ are planted by CASE on the key, so no row is left out. Money is in whole cents h
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from merchmill.schemas import MONEY
+from merchmill.functions import from_cents
 
 RUN_DATE = date(1995, 7, 12)
 NEXT_DATE = date(1995, 7, 13)
@@ -102,7 +103,9 @@ _MONEY_COLUMNS = {"price_cents": "price", "unit_cents": "unit_price", "cost_cent
                   "sell_cents": "sell_price"}
 
 
+@lru_cache(maxsize=64)
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table. Only the lazy plan is kept, so its footer is read once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -113,8 +116,7 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.sql(sql, **used)
     for column in df.columns:
         if column in _MONEY_COLUMNS:
-            money = (F.col(column).cast("decimal(18,0)") / F.lit(100)).cast(MONEY)
-            df = df.withColumn(column, money).withColumnRenamed(column, _MONEY_COLUMNS[column])
+            df = df.withColumn(column, from_cents(F.col(column))).withColumnRenamed(column, _MONEY_COLUMNS[column])
     if "created_on" in df.columns:
         df = df.withColumn("created_at", F.col("created_on").cast("timestamp_ntz")).drop("created_on")
     if name == "raw_orders":

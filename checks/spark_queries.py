@@ -441,7 +441,7 @@ def dq_report(spark, sf):
 # --- whole jobs ------------------------------------------------------------------------------
 
 def _sources(spark, sf) -> dict[str, DataFrame]:
-    return {name: fixture(spark, sf, f"csv_{name}") for name in jobs.SOURCES}
+    return {name: materialise(fixture(spark, sf, f"csv_{name}"), f"source-{name}") for name in jobs.SOURCES}
 
 
 def run_two_days(spark, sf):

@@ -3,8 +3,8 @@
 Both the median and the rank need, for each value in a group, how many rows lie below it. Rows are
 first collapsed to one row per distinct value with a count (combined map-side, so a hot group or a
 hot value costs one row per task). Running counts are then taken at two levels: over coarse buckets
-of the value, and inside each bucket. A window partition holds at most ``BUCKET_WIDTH`` rows, or one
-row per bucket in use, however many rows a group has.
+of the value, and inside each bucket. However many rows a group has, a window partition holds at most
+``BUCKET_WIDTH`` narrow rows, or one row per bucket in use.
 """
 
 from __future__ import annotations
@@ -13,7 +13,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-_BUCKET_BITS = 15
+from merchmill.functions.money import cents
+
+_BUCKET_BITS = 20
 BUCKET_WIDTH = 1 << _BUCKET_BITS
 
 
@@ -51,10 +53,9 @@ def exact_median(df: DataFrame, key: str, amount: str, out: str) -> DataFrame:
 
     For an even number of rows it is the mean of the two middle ones, hence three decimal places.
     """
-    cents = (F.col(amount) * F.lit(100)).cast("bigint")
     histogram = (
         df.where(F.col(key).isNotNull() & F.col(amount).isNotNull())
-        .groupBy(key, cents.alias("_cents"))
+        .groupBy(key, cents(F.col(amount)).alias("_cents"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     low = F.expr("(total - 1) div 2")
@@ -78,7 +79,7 @@ def rank_descending(df: DataFrame, group: str, amount: str, out: str) -> DataFra
     a written table.
     """
     last = (1 << 62)
-    falling = F.coalesce(-(F.col(amount) * F.lit(100)).cast("bigint"), F.lit(last))
+    falling = F.coalesce(-cents(F.col(amount)), F.lit(last))
     keyed = df.withColumn("_falling", falling)
     histogram = keyed.groupBy(group, "_falling").agg(F.count(F.lit(1)).alias("_n"))
     ranks = running_counts(histogram, [group], "_falling", "_n").select(

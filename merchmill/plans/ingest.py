@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from merchmill import values
 from merchmill.functions import (
-    average, category_group, day_of, derived_age, order_status, timestamp_or, title_words,
+    average, category_group, cents, day_of, derived_age, order_status, timestamp_or, title_words,
 )
 from merchmill.operators import exact_median, first_per_key, matching_keys
 from merchmill.schemas import MONEY
@@ -86,7 +86,7 @@ def order_lines(items: DataFrame) -> DataFrame:
     sold = items.where(F.col("order_id").isNotNull() & F.col("product_id").isNotNull())
     return sold.groupBy(*LINE_KEY).agg(
         F.count(F.lit(1)).alias("quantity"),
-        F.sum("price").alias("_total"),
+        F.sum(cents(F.col("price"))).alias("_total"),
         F.count("price").alias("_priced"),
     ).select(*LINE_KEY, "quantity", average(F.col("_total"), F.col("_priced")).alias("unit_price"))
 

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from merchmill import values
-from merchmill.functions import average, initcap_words, percent, trim_blank
+from merchmill.functions import average, cents, from_cents, initcap_words, percent, trim_blank
 from merchmill.operators import rank_descending
 from merchmill.schemas import MONEY
 from merchmill.sources.storage import materialise
@@ -89,8 +89,13 @@ def _completed() -> Column:
     return F.col("status") == F.lit("completed")
 
 
+def _in_cents(fact: DataFrame) -> DataFrame:
+    """Facts with the two summed amounts as whole cents, converted once per row."""
+    return fact.withColumns({"_total": cents(F.col("total_amount")), "_profit": cents(F.col("profit"))})
+
+
 def _completed_sum(column: str) -> Column:
-    return F.sum(F.when(_completed(), F.col(column)).otherwise(F.lit(0).cast(MONEY)))
+    return F.sum(F.when(_completed(), F.col(column)).otherwise(F.lit(0)))
 
 
 def _completed_mean(column: str) -> Column:
@@ -100,36 +105,43 @@ def _completed_mean(column: str) -> Column:
 
 def mart_daily_revenue(fact: DataFrame) -> DataFrame:
     """One row per day. Order counts and gross revenue cover every status."""
-    days = fact.groupBy(F.col("order_date").alias("report_date")).agg(
+    days = _in_cents(fact).groupBy(F.col("order_date").alias("report_date")).agg(
         F.count(F.lit(1)).alias("total_orders"),
         *[
             F.count_if(F.col("status") == status).alias(f"{status}_orders")
             for status in ("completed", "cancelled", "pending")
         ],
-        F.sum("total_amount").alias("gross_revenue"),
-        _completed_sum("total_amount").alias("net_revenue"),
-        _completed_sum("profit").alias("total_profit"),
-        _completed_mean("total_amount").alias("avg_order_value"),
+        F.sum("_total").alias("_gross"),
+        _completed_sum("_total").alias("_net"),
+        _completed_sum("_profit").alias("_gain"),
+        _completed_mean("_total").alias("avg_order_value"),
     )
     return days.select(
         "report_date", "total_orders", "completed_orders", "cancelled_orders", "pending_orders",
-        "gross_revenue", "net_revenue", "total_profit",
+        from_cents(F.col("_gross")).alias("gross_revenue"),
+        from_cents(F.col("_net")).alias("net_revenue"),
+        from_cents(F.col("_gain")).alias("total_profit"),
         percent(F.col("cancelled_orders"), F.col("total_orders")).alias("cancel_rate"),
         "avg_order_value",
-        percent(F.col("total_profit"), F.col("net_revenue")).alias("profit_margin_pct"),
+        percent(F.col("_gain"), F.col("_net")).alias("profit_margin_pct"),
     )
 
 
 def product_days(fact: DataFrame) -> DataFrame:
     """Sales per day and product, not ranked yet."""
-    sales = fact.groupBy(
+    sales = _in_cents(fact).groupBy(
         F.col("order_date").alias("report_date"), "product_id", "product_name", "category"
     ).agg(
         F.sum("quantity").alias("units_sold"),
-        _completed_sum("total_amount").alias("revenue"),
-        _completed_sum("profit").alias("profit"),
+        _completed_sum("_total").alias("_net"),
+        _completed_sum("_profit").alias("_gain"),
+    )
+    return sales.select(
+        "report_date", "product_id", "product_name", "category", "units_sold",
+        from_cents(F.col("_net")).alias("revenue"),
+        from_cents(F.col("_gain")).alias("profit"),
+        percent(F.col("_gain"), F.col("_net")).alias("profit_margin_pct"),
     )
-    return sales.withColumn("profit_margin_pct", percent(F.col("profit"), F.col("revenue")))
 
 
 def mart_product_performance(fact: DataFrame) -> DataFrame:
@@ -144,12 +156,12 @@ def mart_product_performance(fact: DataFrame) -> DataFrame:
 
 def mart_customer_segments(fact: DataFrame) -> DataFrame:
     """Sales per day, city and age group; customers that are not known form the NULL segments."""
-    return fact.groupBy(F.col("order_date").alias("report_date"), "city", "age_group").agg(
+    return _in_cents(fact).groupBy(F.col("order_date").alias("report_date"), "city", "age_group").agg(
         F.countDistinct("customer_id").alias("total_customers"),
         F.count("order_id").alias("total_orders"),
-        _completed_mean("total_amount").alias("avg_order_value"),
-        _completed_sum("total_amount").alias("total_revenue"),
-        _completed_sum("profit").alias("total_profit"),
+        _completed_mean("_total").alias("avg_order_value"),
+        from_cents(_completed_sum("_total")).alias("total_revenue"),
+        from_cents(_completed_sum("_profit")).alias("total_profit"),
     )
 
 

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from merchmill import values
-from merchmill.functions import age_group, percent
+from merchmill.functions import age_group, cents, percent
 from merchmill.operators import first_failed, first_per_key
 from merchmill.schemas import MONEY
 
@@ -76,7 +76,7 @@ def stage_products(raw_products: DataFrame, run_date: date | None = None) -> Dat
         "category",
         "cost_price",
         "sell_price",
-        percent(sell - cost, sell).alias("margin_pct"),
+        percent(cents(sell - cost), cents(sell)).alias("margin_pct"),
         product_problem(cost, sell).alias("invalid_reason"),
     ))
 
