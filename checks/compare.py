@@ -1,6 +1,9 @@
 """Run registered queries beside their SQL and compare whole results.
 
-    python -m checks.compare [sf_dir] [name ...]
+    python -m checks.compare [--set key=value ...] [sf_dir] [name ...]
+
+``--set`` changes a Spark setting, for instance ``spark.sql.autoBroadcastJoinThreshold=-1`` to see the
+plans that large tables get.
 """
 
 from __future__ import annotations
@@ -67,8 +70,12 @@ def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, sf_dir: str, na
 
 
 def main(argv: list[str]) -> int:
+    spark = local_session()
+    while argv[:1] == ["--set"]:
+        spark.conf.set(*argv[1].split("=", 1))
+        argv = argv[2:]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    spark, con = local_session(), duck(sf_dir)
+    con = duck(sf_dir)
     bad = 0
     for name in argv[1:] or QUERIES:
         try:

@@ -7,16 +7,37 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
+def first_per_key(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], for_join: bool = False
+) -> DataFrame:
     """Keep one row per key: the first in the stated order.
 
     ``row_number() = 1`` lets Spark drop all but one row per key in every map task before the
-    shuffle (WindowGroupLimit), so a hot key sends at most one row per task.
+    shuffle (WindowGroupLimit), so a hot key sends at most one row per task. ``for_join`` is for a
+    lookup table that many rows are then joined to, see ``_apart``.
     """
-    place = F.row_number().over(W.partitionBy(*keys).orderBy(*order_by))
+    parts = [*keys, _apart(keys)] if for_join else keys
+    place = F.row_number().over(W.partitionBy(*parts).orderBy(*order_by))
     return df.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
+def _apart(keys: Sequence[str]) -> Column:
+    """An extra grouping term that follows from the keys and so changes no group.
+
+    Spark splits a skewed join at run time only where both inputs come straight from their own
+    exchange. A lookup table grouped by exactly the join key would be joined without one. With this
+    term it is partitioned otherwise, the join exchanges it once more, and a hot key on the other
+    side can be split.
+    """
+    return F.xxhash64(*keys)
+
+
+def known_keys(table: DataFrame, key: str, flag: str) -> DataFrame:
+    """Distinct non-NULL keys with a marker column, as a lookup for a left join."""
+    keys = table.where(F.col(key).isNotNull()).groupBy(key, _apart([key]).alias("_apart")).agg(F.lit(True).alias(flag))
+    return keys.select(key, flag)
+
+
 def matching_keys(df: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``batch``."""
     return df.join(batch.select(*keys), list(keys), "left_semi")

@@ -93,7 +93,8 @@ def order_lines(items: DataFrame) -> DataFrame:
 
 def customer_people(customers: DataFrame, order_by: list[str] | None = None) -> DataFrame:
     """Per-order customer id -> person id."""
-    first = first_per_key(customers, ["customer_id"], order_by or _row_order(customers, "customer_unique_id"))
+    order_by = order_by or _row_order(customers, "customer_unique_id")
+    first = first_per_key(customers, ["customer_id"], order_by, for_join=True)
     return first.select("customer_id", "customer_unique_id")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from merchmill import values
 from merchmill.functions import age_group, cents, percent
-from merchmill.operators import first_failed, first_per_key
+from merchmill.operators import first_failed, first_per_key, known_keys
 from merchmill.schemas import MONEY
 
 
@@ -81,11 +81,6 @@ def stage_products(raw_products: DataFrame, run_date: date | None = None) -> Dat
     ))
 
 
-def _known(table: DataFrame, key: str, flag: str) -> DataFrame:
-    """Distinct keys with a marker. The distinct is partitioned like the join that follows it."""
-    return table.select(key).where(F.col(key).isNotNull()).distinct().withColumn(flag, F.lit(True))
-
-
 def check_orders(
     raw_orders: DataFrame, raw_customers: DataFrame, raw_products: DataFrame, run_date: date | None = None
 ) -> DataFrame:
@@ -97,8 +92,8 @@ def check_orders(
     lines = (
         _of_day(raw_orders, run_date)
         .withColumn("order_date", day)
-        .join(_known(raw_customers, "customer_id", "_customer"), "customer_id", "left")
-        .join(_known(raw_products, "product_id", "_product"), "product_id", "left")
+        .join(known_keys(raw_customers, "customer_id", "_customer"), "customer_id", "left")
+        .join(known_keys(raw_products, "product_id", "_product"), "product_id", "left")
     )
     quantity, price = F.col("quantity"), F.col("unit_price")
     return _flagged(lines.select(

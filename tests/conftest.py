@@ -13,6 +13,9 @@ def spark():
     from checks.compare import local_session
 
     session = local_session("*")
+    # the frames here are tiny: few partitions, and no time spent on compiling each plan
+    session.conf.set("spark.sql.shuffle.partitions", "3")
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
     yield session
     session.stop()
 

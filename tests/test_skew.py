@@ -1,0 +1,106 @@
+"""Plans when one key holds a third of the rows and no side may be broadcast."""
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from merchmill import operators as op
+from merchmill.plans import ingest, models, staging
+
+SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+    "spark.sql.shuffle.partitions": "12",
+}
+N = 60_000
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = {k: spark.conf.get(k, None) for k in SETTINGS}
+    for k, v in SETTINGS.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def hot(column, size=5000):
+    """A key where every third row has the same value; the noise keeps shuffled rows from compressing."""
+    return F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % size).cast("string")).alias(column)
+
+
+def rows(spark):
+    return spark.range(0, N, 1, 12)
+
+
+def skewed_joins(df):
+    """Run the query whole and count the skewed joins that its final plan has split."""
+    count = len(df.collect())
+    return count, df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("skew=true")
+
+
+def dimension(spark, key):
+    keys = spark.range(5000).select(F.col("id").cast("string").alias(key))
+    return keys.unionByName(spark.createDataFrame([("hot",)], f"{key} string")).repartition(4)
+
+
+def test_order_checks_split_a_hot_customer_and_product(no_broadcast):
+    spark = no_broadcast
+    orders = rows(spark).select(
+        F.md5(F.col("id").cast("string")).alias("order_id"), hot("customer_id"), hot("product_id"),
+        F.lit(1).cast("bigint").alias("quantity"), F.lit("1.00").cast("decimal(18,2)").alias("unit_price"),
+        F.lit("pending").alias("status"), F.lit("2020-01-01 00:00:00").cast("timestamp_ntz").alias("created_at"),
+    )
+    checked = staging.check_orders(orders, dimension(spark, "customer_id"), dimension(spark, "product_id"))
+    count, split = skewed_joins(checked)
+    assert count == N and split == 2
+
+
+def test_fact_splits_a_hot_customer_and_product(no_broadcast):
+    spark = no_broadcast
+    orders = rows(spark).select(
+        F.md5(F.col("id").cast("string")).alias("order_id"), hot("customer_id"), hot("product_id"),
+        F.lit(1).cast("bigint").alias("quantity"), F.lit("1.00").cast("decimal(18,2)").alias("unit_price"),
+        F.lit("1.00").cast("decimal(18,2)").alias("total_amount"), F.lit("pending").alias("status"),
+        F.lit(date(2020, 1, 1)).alias("order_date"),
+    )
+    customers = dimension(spark, "customer_id").withColumns({"city": F.lit("x"), "age_group": F.lit("y")})
+    products = dimension(spark, "product_id").withColumns(
+        {"category": F.lit("x"), "name": F.lit("y"), "cost_price": F.lit("0.50").cast("decimal(18,2)")}
+    )
+    fact = models.fct_orders(orders, customers, products)
+    count, split = skewed_joins(fact)
+    assert count == N and split == 2
+
+
+def test_order_build_splits_a_hot_order_and_customer(no_broadcast):
+    spark = no_broadcast
+    items = rows(spark).select(hot("order_id", 20_000), F.md5(F.col("id").cast("string")).alias("product_id"),
+                               F.lit("1.00").cast("decimal(18,2)").alias("price"))
+    orders = spark.range(20_000).select(F.col("id").cast("string").alias("order_id")).unionByName(
+        spark.createDataFrame([("hot",)], "order_id string")
+    ).repartition(4).select(
+        "order_id", F.col("order_id").alias("customer_id"), F.lit("shipped").alias("order_status"),
+        F.lit("2020-01-01").alias("order_purchase_timestamp"),
+    )
+    customers = orders.select("customer_id", F.md5("customer_id").alias("customer_unique_id"))
+    built = ingest.build_orders(orders, items, customers, datetime(2020, 1, 1))
+    count, split = skewed_joins(built)
+    assert count == N and split == 2
+
+
+def test_rank_splits_a_hot_tie(no_broadcast):
+    spark = no_broadcast
+    sales = rows(spark).select(
+        F.md5(F.col("id").cast("string")).alias("p"), F.lit(date(2020, 1, 1)).alias("g"),
+        (F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")) / 100).cast("decimal(18,2)").alias("amount"),
+    )
+    ranked = op.rank_descending(sales, "g", "amount", "r")
+    count, split = skewed_joins(ranked)
+    assert count == N and split >= 1
+    assert ranked.where("amount = 0").select("r").distinct().collect() == [(N - N // 3 + 1,)]
