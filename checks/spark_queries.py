@@ -296,7 +296,9 @@ def insert_if_absent_orders(spark, sf):
 def _landed(spark, sf, table: str, staged: DataFrame, order_day: date | None = None) -> DataFrame:
     config = scratch_config(spark, f"landing-{table}")
     rows = landing.valid_rows(staged, table, order_day)
-    return plain(spark.read.parquet(landing.export_table(rows, config, table, RUN_DATE)))
+    path = landing.export_table(rows, config, table, RUN_DATE)
+    # without valid rows no folder is written
+    return plain(rows.limit(0) if path is None else spark.read.parquet(path))
 
 
 def landing_orders(spark, sf):
