@@ -30,6 +30,8 @@ class ShopConfig:
     partition_by: str = "day"
     #: how orders enter the warehouse: "replace" the loaded partitions, or "append"
     load_mode: str = "replace"
+    #: how many tables a step writes at the same time
+    threads: int = 4
     source_files: dict[str, str] = field(default_factory=lambda: dict(values.SOURCE_FILES))
 
     def __post_init__(self):
@@ -39,6 +41,8 @@ class ShopConfig:
             raise ValueError(f"partition_by must be 'day' or 'month', not {self.partition_by!r}")
         if self.load_mode not in ("replace", "append"):
             raise ValueError(f"load_mode must be 'replace' or 'append', not {self.load_mode!r}")
+        if self.threads < 1:
+            raise ValueError("threads must be positive")
         if self.daily_orders is not None and self.daily_orders < 1:
             raise ValueError("daily_orders must be positive, or None for no limit")
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
+from functools import partial
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,6 +20,7 @@ from merchmill.sources.tables import (
     PLAIN, Layout, folder_path, insert_if_absent, overwrite_table, read_table, replace_folders, rows_between, upsert,
 )
 
+TABLES = ("orders", "customers", "products")
 SOURCES = ("customers", "orders", "order_items", "products", "translation")
 MART_CLUSTERS = {
     "mart_daily_revenue": (),
@@ -25,6 +29,16 @@ MART_CLUSTERS = {
 }
 
 
+Result = TypeVar("Result")
+
+
+def side_by_side(config: ShopConfig, steps: dict[str, Callable[[], Result]]) -> dict[str, Result]:
+    """Run independent writes at the same time, so that one table's last tasks do not idle the cluster."""
+    with ThreadPoolExecutor(config.threads) as pool:
+        running = {name: pool.submit(step) for name, step in steps.items()}
+        return {name: step.result() for name, step in running.items()}
+
+
 # --- layouts ---------------------------------------------------------------------------------
 
 def order_layout(config: ShopConfig) -> Layout:
@@ -50,20 +64,21 @@ def insert_raw(
     config: ShopConfig, customers: DataFrame, products: DataFrame, orders: DataFrame
 ) -> dict[str, int]:
     """Add new customers, products and order lines to the ingest tables; known keys are left as they are."""
-    return {
+    return side_by_side(config, {
         # the customer build already keeps one row per id
-        "customers": insert_if_absent(
-            customers.select(*ingest.CUSTOMER_COLUMNS), config.path("ingest", "customers"), ["customer_id"], None,
+        "customers": partial(
+            insert_if_absent, customers.select(*ingest.CUSTOMER_COLUMNS), config.path("ingest", "customers"),
+            ["customer_id"], None,
         ),
-        "products": insert_if_absent(
-            products.select(*ingest.PRODUCT_COLUMNS), config.path("ingest", "products"),
+        "products": partial(
+            insert_if_absent, products.select(*ingest.PRODUCT_COLUMNS), config.path("ingest", "products"),
             ["product_id"], ["name", "category"],
         ),
-        "orders": insert_if_absent(
-            orders.select(*ingest.ORDER_COLUMNS, "order_date"), config.path("ingest", "orders"),
+        "orders": partial(
+            insert_if_absent, orders.select(*ingest.ORDER_COLUMNS, "order_date"), config.path("ingest", "orders"),
             ingest.LINE_KEY, ["created_at", "customer_id", "status"], order_layout(config),
         ),
-    }
+    })
 
 
 def seed_history(
@@ -130,7 +145,7 @@ def stage_day(spark: SparkSession, config: ShopConfig, run_date: date | None, st
     Customers and products carry the time of the run that ingested them. ``stamped`` is that day when
     it is not ``run_date``, as in a back-dated run.
     """
-    paths = {t: config.path("ingest", t) for t in ("customers", "products", "orders")}
+    paths = {t: config.path("ingest", t) for t in TABLES}
     if not all(has_data(spark, p) for p in paths.values()):
         return {}
     customers, products = (read_table(spark, paths[t]) for t in ("customers", "products"))
@@ -144,10 +159,10 @@ def stage_day(spark: SparkSession, config: ShopConfig, run_date: date | None, st
         ),
     }
     # keys are unique here: ingest keeps one customer and product per id, and staging one line per order key
-    return {
-        table: insert_if_absent(rows, config.path("staged", table), keys, None, table_layout)
+    return side_by_side(config, {
+        table: partial(insert_if_absent, rows, config.path("staged", table), keys, None, table_layout)
         for table, (rows, keys, table_layout) in staged.items()
-    }
+    })
 
 
 def export_day(spark: SparkSession, config: ShopConfig, run_date: date, whole_history: bool = False) -> dict[str, str]:
@@ -155,24 +170,24 @@ def export_day(spark: SparkSession, config: ShopConfig, run_date: date, whole_hi
 
     ``whole_history`` lands the orders of all days under ``run_date``, for a backfill.
     """
-    landed = {}
-    for table in ("orders", "customers", "products"):
+    day = None if whole_history else run_date
+
+    def export(table: str) -> str | None:
         path = config.path("staged", table)
         if not has_data(spark, path):
-            continue
-        day = None if whole_history else run_date
+            return None
         staged = (
             rows_between(spark, path, order_layout(config), day, day) if table == "orders"
             else read_table(spark, path)
         )
-        uri = landing.export_table(landing.valid_rows(staged, table), config, table, run_date)
-        if uri is not None:
-            landed[table] = uri
-    return landed
+        return landing.export_table(landing.valid_rows(staged, table), config, table, run_date)
+
+    landed = side_by_side(config, {t: partial(export, t) for t in TABLES})
+    return {table: uri for table, uri in landed.items() if uri is not None}
 
 
 def load_day(spark: SparkSession, config: ShopConfig, run_date: date) -> dict[str, int | None]:
-    return {t: landing.load_table(spark, config, t, run_date) for t in ("orders", "customers", "products")}
+    return side_by_side(config, {t: partial(landing.load_table, spark, config, t, run_date) for t in TABLES})
 
 
 # --- models ----------------------------------------------------------------------------------
@@ -181,7 +196,7 @@ def warehouse_views(spark: SparkSession, config: ShopConfig) -> dict[str, DataFr
     """The warehouse tables as loaded, and the staging views over them."""
     raw = {
         t: read_table(spark, config.path("raw", t), landing.warehouse_layout(config, t), keep_folder=True)
-        for t in ("orders", "customers", "products")
+        for t in TABLES
     }
     return {
         **{f"raw_{t}": df for t, df in raw.items()},
@@ -220,22 +235,20 @@ def build_marts(spark: SparkSession, config: ShopConfig, folders: Sequence[date
     can differ; the result equals a full rebuild.
     """
     fact_path, layout = config.path("warehouse", "fct_orders"), fact_layout(config)
-    fact = read_table(spark, fact_path, layout, keep_folder=True)
-    if folders is not None:
-        fact = layout.in_folders(fact, folders)
-    written = {}
-    for name, build in models.MARTS.items():
-        path, mart = config.path("marts", name), mart_layout(config, name)
+
+    def refresh(name: str) -> int:
+        build, path, mart = models.MARTS[name], config.path("marts", name), mart_layout(config, name)
         if folders is None or not has_data(spark, path):
-            whole = read_table(spark, fact_path, layout)
-            written[name] = overwrite_table(build(whole), path, mart)
-            continue
-        written[name] = replace_folders(build(fact), path, mart)
+            return overwrite_table(build(read_table(spark, fact_path, layout)), path, mart)
+        fact = layout.in_folders(read_table(spark, fact_path, layout, keep_folder=True), folders)
+        written = replace_folders(build(fact), path, mart)
         for folder in folders:
             # a day that has no orders any more leaves the mart as well
             if not has_data(spark, folder_path(fact_path, layout, folder)):
                 delete(spark, folder_path(path, mart, folder))
-    return written
+        return written
+
+    return side_by_side(config, {name: partial(refresh, name) for name in models.MARTS})
 
 
 def model_tables(spark: SparkSession, config: ShopConfig) -> dict[str, DataFrame]:
@@ -290,7 +303,7 @@ def _publish(
     landed = export_day(spark, config, run_date, whole_history)
     loaded = load_day(spark, config, run_date)
     done: dict[str, object] = {"landed": landed, "loaded": loaded}
-    if not all(has_data(spark, config.path("raw", t)) for t in ("orders", "customers", "products")):
+    if not all(has_data(spark, config.path("raw", t)) for t in TABLES):
         return done
     folders = build_fact(spark, config, run_date, full_refresh)
     done["fact_folders"] = folders
