@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from merchmill import values
 from merchmill.config import ShopConfig
 from merchmill.plans import jobs
+from merchmill.sources.storage import clear_scratch
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -36,20 +37,28 @@ def config_from(args: argparse.Namespace) -> ShopConfig:
     return ShopConfig.from_env(daily_orders=args.limit if args.limit > 0 else None, **given)
 
 
+def run(
+    spark: SparkSession, config: ShopConfig, args: argparse.Namespace, run_date: date, now: datetime
+) -> dict[str, object]:
+    if args.seed:
+        return {"ingested": jobs.seed_history(spark, config, now)}
+    if args.backfill:
+        return jobs.run_history(spark, config, run_date, now)
+    if args.ingest_only:
+        return {"ingested": jobs.ingest_day(spark, config, run_date, now)}
+    return jobs.run_day(spark, config, run_date, now, full_refresh=args.full_refresh)
+
+
 def main(argv: list[str] | None = None) -> dict[str, object]:
     args = parse(argv)
     config = config_from(args)
     run_date = args.date or date.today()
     spark = SparkSession.builder.appName("merchmill").getOrCreate()
     now = datetime.now() if args.date is None else datetime.combine(args.date, datetime.min.time())
-    if args.seed:
-        done: dict[str, object] = {"ingested": jobs.seed_history(spark, config, now)}
-    elif args.backfill:
-        done = jobs.run_history(spark, config, run_date, now)
-    elif args.ingest_only:
-        done = {"ingested": jobs.ingest_day(spark, config, run_date, now)}
-    else:
-        done = jobs.run_day(spark, config, run_date, now, full_refresh=args.full_refresh)
+    try:
+        done = run(spark, config, args, run_date, now)
+    finally:
+        clear_scratch(spark)
     print(json.dumps(done, default=str))
     return done
 

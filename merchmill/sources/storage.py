@@ -31,6 +31,10 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+#: scratch folders of this process
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder that every executor can reach.
 
@@ -42,7 +46,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="merchmill-")
-    return f"{shared.rstrip('/')}/merchmill-{name}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/merchmill-{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the scratch folders this process made; for the end of a job, when no result is read any more."""
+    while _made:
+        delete(spark, _made.pop())
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
