@@ -44,11 +44,11 @@ class Pieces:
 
 def double_array(keys: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(base, check, value) of a trie over ``keys``. State 0 is the root; no byte of a key may be missing."""
-    size = 1 << 16
+    size = 1 << 12
     base, check, value = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
     check[0] = -2
     todo = [(0, sorted(keys), 0)]
-    free = 1
+    free = wide = 1
     while todo:
         state, below, depth = todo.pop()
         children: dict[int, list[bytes]] = {}
@@ -59,16 +59,20 @@ def double_array(keys: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.nda
                 children.setdefault(k[depth], []).append(k)
         if not children:
             continue
-        codes = np.fromiter(children, np.int64)
+        codes = np.sort(np.fromiter(children, np.int64))
         while check[free] != -1:
             free += 1
-        at = max(free - int(codes.min()), 0)
-        while True:
-            if at + 512 >= len(check):
+        at, seen, width = -1, free if len(codes) == 1 else max(free, wide), 256
+        while at < 0:  # look at more and more free places for the first child
+            while seen + width + 512 > len(check):
                 base, check, value = (np.r_[a, np.full(len(a), fill, np.int32)] for a, fill in ((base, 0), (check, -1), (value, -1)))
-            if (check[at + codes] == -1).all() and at + int(codes.min()) > 0:
-                break
-            at += 1
+            tries = seen + np.flatnonzero(check[seen:seen + width] == -1) - codes[0]
+            tries = tries[tries >= 0]
+            fits = tries[(check[tries[:, None] + codes[1:]] == -1).all(1)]
+            at = int(fits[0]) if len(fits) else -1
+            seen, width = seen + width, width * 2
+        if len(codes) > 1:  # later nodes don't look again at places where this one didn't fit
+            wide = max(wide, at - 1024)
         base[state] = at
         check[at + codes] = state
         todo += [(at + c, ks, depth + 1) for c, ks in children.items()]
