@@ -18,7 +18,8 @@ from merchmill.llm.text_stats import text_counts
 #: Documents that a group needs for its own thresholds.
 LEAST_DOCUMENTS = 50
 #: A fence lies this many interquartile ranges beyond the quartile, and this far at least (in the rate's unit).
-REACH, LEAST_GAP = 3, 300
+REACH = 3
+LEAST_GAP = {"symbols": 500, "dup_lines": 5000, "repeats": 5000, "upper": 3000, "exclaims": 500, "word_length": 300}
 
 #: name -> rate, an integer: parts of ten thousand, or hundredths of a character.
 RATES = {
@@ -56,12 +57,13 @@ def fences(sketch: DataFrame) -> DataFrame:
     seen = sketch.withColumn("upto", F.sum("n").over(order)).withColumn("of", F.sum("n").over(Window.partitionBy(*keys)))
     quartile = lambda k: F.min(F.when(F.col("upto") * 4 >= F.col("of") * k, F.col("bucket")))
     by_rate = seen.groupBy(*keys).agg(quartile(1).alias("q1"), quartile(3).alias("q3"), F.max("of").alias("n"))
-    gap = F.greatest((F.col("q3") - F.col("q1")) * REACH, F.lit(LEAST_GAP))
+    least = F.create_map(*[F.lit(x) for pair in LEAST_GAP.items() for x in pair])[F.col("rate")]
+    gap = F.greatest((F.col("q3") - F.col("q1")) * REACH, least)
     at = lambda name, c: F.max(F.when(F.col("rate") == name, c))
-    return by_rate.groupBy("level", "language", "origin").agg(
+    return by_rate.withColumn("gap", gap).groupBy("level", "language", "origin").agg(
         F.max("n").alias("n"),
-        *[at(r, F.col("q3") + gap).alias(f"{r}_high") for r in RATES],
-        *[at(r, F.col("q1") - gap).alias(f"{r}_low") for r in RATES])
+        *[at(r, F.col("q3") + F.col("gap")).alias(f"{r}_high") for r in RATES],
+        *[at(r, F.col("q1") - F.col("gap")).alias(f"{r}_low") for r in RATES])
 
 
 def thresholds(rates: DataFrame) -> DataFrame:
@@ -142,7 +144,8 @@ seen AS (
 q AS (
   SELECT level, language, origin, rate, min(bucket) FILTER (upto * 4 >= of_) AS q1, min(bucket) FILTER (upto * 4 >= of_ * 3) AS q3, max(of_) AS n
   FROM seen GROUP BY ALL),
-f AS (SELECT *, q3 + greatest((q3 - q1) * 3, 300) AS high, q1 - greatest((q3 - q1) * 3, 300) AS low FROM q),
+f AS (SELECT *, q3 + greatest((q3 - q1) * 3, gap) AS high, q1 - greatest((q3 - q1) * 3, gap) AS low
+      FROM (SELECT *, CASE WHEN rate IN ('symbols', 'exclaims') THEN 500 WHEN rate IN ('dup_lines', 'repeats') THEN 5000 WHEN rate = 'upper' THEN 3000 ELSE 300 END AS gap FROM q)),
 pick AS (
   SELECT o.language, o.origin, o.rate,
          CASE WHEN o.n >= 50 THEN o.high WHEN l.n >= 50 THEN l.high ELSE a.high END AS high,
