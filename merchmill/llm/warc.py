@@ -172,9 +172,12 @@ def warc_records(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", least_byt
         F.lit("\r\n"), F.col("block")).alias("record"))
 
 
-def write_warc(pages: DataFrame, path: str, **settings) -> None:
-    """Write ``warc_records`` as archives: Spark's own text writer, with the blank lines after a record as line end."""
-    warc_records(pages, **settings).write.option("lineSep", "\r\n\r\n").text(path)
+def write_warc(pages: DataFrame, path: str, compression: str = "gzip", **settings) -> None:
+    """Write ``warc_records`` as archives: Spark's own text writer, with the blank lines after a record as line end.
+
+    ``compression``: "gzip" for a whole archive, or "none", which lets a reader step over blocks unread.
+    """
+    warc_records(pages, **settings).write.options(lineSep="\r\n\r\n", compression=compression).text(path)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
