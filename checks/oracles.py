@@ -256,9 +256,8 @@ STEPS: dict[str, str] = {
         SELECT * REPLACE (CASE WHEN status = 'pending' THEN 'completed' ELSE status END AS status,
                           CASE WHEN status = 'pending' THEN cast(order_date + 1 AS date) ELSE order_date END AS order_date)
         FROM fact WHERE {CHANGED}""",
-    "merged": """
-        SELECT * FROM fact WHERE status IS DISTINCT FROM 'cancelled' AND order_id NOT IN (SELECT order_id FROM late)
-        UNION ALL SELECT * FROM late""",
+    "merged": f"""
+        SELECT * FROM fact WHERE NOT coalesce({CHANGED}, false) UNION ALL SELECT * FROM late""",
     "daily": daily_mart("fact"),
     "product": product_mart("fact"),
     "segment": segment_mart("fact"),
@@ -345,6 +344,7 @@ def test_report() -> str:
 _SELECTS: dict[str, str] = {
     "csv_scan": f"SELECT order_id, product_id, {money('price_cents')} AS price FROM csv_order_items",
     "csv_scan_text": "SELECT * FROM csv_customers",
+    "csv_scan_multiline": "SELECT * REPLACE (replace(customer_city, ' ', chr(10)) AS customer_city) FROM csv_customers",
     "customers_dedup": "SELECT customer_unique_id, customer_id, customer_city FROM people",
     "customers_build": f"SELECT {CUSTOMER_OUT} FROM built_customers",
     "median_price": "SELECT product_id, cast(cast(2 * middle AS bigint) * 5 AS double) / 1000 AS median_price FROM medians",
@@ -366,6 +366,10 @@ _SELECTS: dict[str, str] = {
     "daily_topup": f"SELECT {ORDER_OUT} FROM (SELECT * REPLACE ({DAY} AS order_date, TIMESTAMP '{RUN_DATE} 00:00:00' "
                    f"AS created_at) FROM (SELECT * FROM built_orders WHERE order_date <> {DAY} "
                    f"ORDER BY {draw()}, order_id, product_id LIMIT 250))",
+    "daily_head_large": f"SELECT {ORDER_OUT} FROM (SELECT * FROM built_orders ORDER BY order_id, product_id LIMIT 20000)",
+    "daily_topup_large": f"SELECT {ORDER_OUT} FROM (SELECT * REPLACE ({DAY} AS order_date, TIMESTAMP '{RUN_DATE} 00:00:00' "
+                         f"AS created_at) FROM (SELECT * FROM built_orders WHERE order_date <> {DAY} "
+                         f"ORDER BY {draw()}, order_id, product_id LIMIT 20000))",
     "daily_batch": f"SELECT {ORDER_OUT} FROM batch_1",
     "batch_customers": f"SELECT {CUSTOMER_OUT} FROM built_customers WHERE customer_id IN (SELECT customer_id FROM batch_1)",
     "batch_products": f"SELECT {PRODUCT_OUT} FROM built_products WHERE product_id IN (SELECT product_id FROM batch_1)",

@@ -17,10 +17,10 @@ from merchmill.sources import landing
 from merchmill.sources.files import scan_csv
 from merchmill.sources.storage import materialise, scratch_path
 from merchmill.sources.tables import (
-    Layout, append_table, insert_if_absent, overwrite_table, read_table, upsert,
+    Layout, append_table, insert_if_absent, overwrite_table, read_table, rows_between, upsert,
 )
 
-BATCH, HEAD = 250, 50
+BATCH, HEAD, LARGE = 250, 50, 20_000
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -115,6 +115,14 @@ def csv_scan(spark, sf):
     return plain(_csv_round_trip(spark, sf, "csv_order_items", "order_items"))
 
 
+def csv_scan_multiline(spark, sf):
+    """Line breaks inside quoted cells."""
+    path = scratch_path(spark, "csv-lines")
+    cities = fixture(spark, sf, "csv_customers").withColumn("customer_city", F.replace("customer_city", F.lit(" "), F.lit("\n")))
+    cities.write.option("header", True).option("escape", '"').csv(path)
+    return plain(scan_csv(spark, path, SOURCE_SCHEMAS["customers"], multiline=True))
+
+
 def csv_scan_text(spark, sf):
     return plain(_csv_round_trip(spark, sf, "csv_customers", "customers"))
 
@@ -198,6 +206,14 @@ def daily_head(spark, sf):
     return plain(head_rows(day_rows(built_orders(spark, sf), RUN_DATE), HEAD, ingest.LINE_KEY))
 
 
+def daily_head_large(spark, sf):
+    return plain(head_rows(built_orders(spark, sf), LARGE, ingest.LINE_KEY))
+
+
+def daily_topup_large(spark, sf):
+    return plain(top_up(built_orders(spark, sf), RUN_DATE, LARGE, SEED, ingest.LINE_KEY))
+
+
 def daily_topup(spark, sf):
     return plain(top_up(built_orders(spark, sf), RUN_DATE, BATCH, SEED, ingest.LINE_KEY))
 
@@ -317,9 +333,9 @@ def landing_products(spark, sf):
     return _landed(spark, sf, "products", staged_products(spark, sf))
 
 
-def _loaded(spark, sf, table: str, staged: DataFrame) -> DataFrame:
+def _loaded(spark, sf, table: str, staged: DataFrame, **settings) -> DataFrame:
     """Landed once, loaded twice: the second load changes nothing."""
-    config = scratch_config(spark, f"load-{table}")
+    config = scratch_config(spark, f"load-{table}", **settings)
     landing.export_table(landing.valid_rows(staged, table), config, table, RUN_DATE)
     for _ in range(2):
         landing.load_table(spark, config, table, RUN_DATE)
@@ -367,20 +383,29 @@ def fct_orders(spark, sf):
 
 
 def fct_orders_incremental(spark, sf):
-    return plain(fact(spark, sf, AS_OF))
+    """From stored tables, as the job does: only the look-back's folders of the orders are read."""
+    raw = warehouse(spark, sf)
+    path, layout = scratch_path(spark, "raw-orders"), Layout("order_date", "month")
+    append_table(raw["orders"], path, layout)
+    first = date.fromordinal(AS_OF.toordinal() - models.values.DEFAULT_LOOKBACK_DAYS)
+    orders = models.recent(models.stg_orders(rows_between(spark, path, layout, first, None)), AS_OF)
+    view = {n: materialise(df, n) for n, df in views(raw).items() if n != "stg_orders"}
+    return plain(models.fct_orders(orders, view["stg_customers"], view["stg_products"], few=True).drop("loaded_at"))
 
 
 def fct_orders_merge(spark, sf):
-    """All but cancelled facts, then a late batch of the last 60 days merged twice.
+    """All facts but the cancelled ones of the last 60 days, then those days' facts merged twice.
 
     In the batch pending orders are completed one day later, and cancelled ones are new.
     """
     whole = materialise(fact(spark, sf), "merge-fact")
     path = scratch_path(spark, "merge-target")
     layout = Layout("order_date", "month", cluster_by=("status", "order_date"))
-    overwrite_table(whole.where("status <> 'cancelled' OR status IS NULL"), path, layout)
+    recent = F.col("order_date") >= F.date_sub(F.lit(AS_OF), 60)
+    held = ~(recent & (F.col("status") == "cancelled"))
+    overwrite_table(whole.where(F.coalesce(held, F.lit(True))), path, layout)
     pending = F.col("status") == "pending"
-    late = whole.where(F.col("order_date") >= F.date_sub(F.lit(AS_OF), 60)).withColumns({
+    late = whole.where(recent).withColumns({
         "status": F.when(pending, "completed").otherwise(F.col("status")),
         "order_date": F.when(pending, F.date_add("order_date", 1)).otherwise(F.col("order_date")),
     })
@@ -424,18 +449,19 @@ def dq_accepted_values(spark, sf):
 
 def dq_report(spark, sf):
     """All tests over stored tables; the raw orders are the unchecked lines, so some tests fail."""
+    lines = materialise(fixture(spark, sf, "raw_orders"), "dq-lines")
     raw = {n: materialise(df, f"dq-{n}") for n, df in warehouse(spark, sf).items()}
     view = views(raw)
     facts = materialise(
         models.fct_orders(view["stg_orders"], view["stg_customers"], view["stg_products"]), "dq-fact"
     )
     tables = {
-        "raw_orders": fixture(spark, sf, "raw_orders"),
+        "raw_orders": lines,
         "raw_customers": raw["customers"],
         "raw_products": raw["products"],
         **view,
         "fct_orders": facts,
-        **{name: build(facts) for name, build in models.MARTS.items()},
+        **{name: materialise(build(facts), f"dq-{name}") for name, build in models.MARTS.items()},
     }
     return quality.report(tables)
 
@@ -449,8 +475,9 @@ def _sources(spark, sf) -> dict[str, DataFrame]:
 def run_two_days(spark, sf):
     """Two daily runs with top-up from the whole history; returns the product mart."""
     config = scratch_config(spark, "two-days", daily_orders=BATCH, seed=SEED)
+    sources = _sources(spark, sf)
     for day in (RUN_DATE, NEXT_DATE):
-        jobs.run_day(spark, config, day, NOW, sources=_sources(spark, sf))
+        jobs.run_day(spark, config, day, NOW, sources=sources)
     mart = "mart_product_performance"
     return plain(read_table(spark, config.path("marts", mart), jobs.mart_layout(config, mart)))
 
@@ -466,6 +493,7 @@ def run_history(spark, sf):
 QUERIES: dict[str, Query] = {
     "csv_scan": csv_scan,
     "csv_scan_text": csv_scan_text,
+    "csv_scan_multiline": csv_scan_multiline,
     "customers_dedup": customers_dedup,
     "customers_build": customers_build,
     "median_price": median_price,
@@ -481,6 +509,8 @@ QUERIES: dict[str, Query] = {
     "daily_orders": daily_orders,
     "daily_head": daily_head,
     "daily_topup": daily_topup,
+    "daily_head_large": daily_head_large,
+    "daily_topup_large": daily_topup_large,
     "daily_batch": daily_batch,
     "batch_customers": batch_customers,
     "batch_products": batch_products,

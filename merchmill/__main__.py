@@ -14,6 +14,9 @@ from merchmill.plans import jobs
 from merchmill.sources.storage import clear_scratch
 
 
+STEPS = ("ingest", "stage", "export", "load", "fact", "marts", "test")
+
+
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="merchmill", description="Run the shop's daily job.")
     parser.add_argument("--seed", action="store_true", help="ingest all history (once, at the start)")
@@ -23,6 +26,11 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
                         help="order lines per day; 0 takes the whole day and adds none")
     parser.add_argument("--ingest-only", action="store_true", help="stop after ingesting the day")
     parser.add_argument("--full-refresh", action="store_true", help="rebuild the fact from all loaded orders")
+    parser.add_argument("--step", choices=STEPS, help="run one step of the day alone")
+    parser.add_argument("--load-mode", choices=("replace", "append"))
+    parser.add_argument("--lookback-days", type=int)
+    parser.add_argument("--threads", type=int)
+    parser.add_argument("--multiline-files", nargs="*", help="source tables whose cells may hold line breaks")
     parser.add_argument("--root")
     parser.add_argument("--source-dir")
     parser.add_argument("--target", choices=("dev", "prod"))
@@ -32,11 +40,28 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
 
 
 def config_from(args: argparse.Namespace) -> ShopConfig:
-    names = ("root", "source_dir", "target", "grain", "partition_by")
+    names = ("root", "source_dir", "target", "grain", "partition_by", "load_mode", "lookback_days", "threads", "multiline_files")
     given = {n: getattr(args, n) for n in names if getattr(args, n) is not None}
+    if "multiline_files" in given:
+        given["multiline_files"] = tuple(given["multiline_files"])
     return ShopConfig.from_env(daily_orders=args.limit if args.limit > 0 else None, **given)
 
 
+def run_step(
+    spark: SparkSession, config: ShopConfig, step: str, run_date: date, now: datetime, full_refresh: bool
+) -> object:
+    """One step of ``run_day``, for a scheduler that retries steps one by one."""
+    return {
+        "ingest": lambda: jobs.ingest_day(spark, config, run_date, now),
+        "stage": lambda: jobs.stage_day(spark, config, run_date, stamped=now.date()),
+        "export": lambda: jobs.export_day(spark, config, run_date),
+        "load": lambda: jobs.load_day(spark, config, run_date),
+        "fact": lambda: jobs.build_fact(spark, config, run_date, full_refresh),
+        "marts": lambda: jobs.build_marts(spark, config, []),  # those of the fact folders noted as changed
+        "test": lambda: jobs.test_models(spark, config),
+    }[step]()
+
+
 def run(
     spark: SparkSession, config: ShopConfig, args: argparse.Namespace, run_date: date, now: datetime
 ) -> dict[str, object]:
@@ -44,6 +69,8 @@ def run(
         return {"ingested": jobs.seed_history(spark, config, now)}
     if args.backfill:
         return jobs.run_history(spark, config, run_date, now)
+    if args.step:
+        return {args.step: run_step(spark, config, args.step, run_date, now, args.full_refresh)}
     if args.ingest_only:
         return {"ingested": jobs.ingest_day(spark, config, run_date, now)}
     return jobs.run_day(spark, config, run_date, now, full_refresh=args.full_refresh)

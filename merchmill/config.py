@@ -32,6 +32,8 @@ class ShopConfig:
     load_mode: str = "replace"
     #: how many tables a step writes at the same time
     threads: int = 4
+    #: source files whose quoted cells may hold line breaks; such a file is read by one task
+    multiline_files: tuple[str, ...] = ()
     source_files: dict[str, str] = field(default_factory=lambda: dict(values.SOURCE_FILES))
 
     def __post_init__(self):

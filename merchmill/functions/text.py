@@ -11,11 +11,11 @@ from merchmill import values
 # a word starts at a letter that does not follow another letter
 _TITLE_BREAK = r"(?<=\P{L})(?=\p{L})"
 # a word starts after white space or after one of the listed marks
-_INITCAP_BREAK = "(?<=[\\s" + re.escape(values.INITCAP_BREAKS) + "])"
+_INITCAP_BREAK = "(?U)(?<=[\\s" + re.escape(values.INITCAP_BREAKS) + "])"
 
 
 def _capitalise(word: Column) -> Column:
-    return F.concat(F.upper(F.substring(word, 1, 1)), F.substring(word, 2, 1_000_000_000))
+    return F.concat(F.upper(F.substring(word, 1, 1)), F.substr(word, F.lit(2)))
 
 
 def _capitalise_words(text: Column, word_break: str) -> Column:
@@ -34,4 +34,4 @@ def initcap_words(text: Column) -> Column:
 
 def trim_blank(text: Column) -> Column:
     """Strip every kind of white space from both ends, not only the space character."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")

@@ -1,11 +1,11 @@
 """DataFrame building blocks, each safe when one key holds a large share of the rows."""
 
-from merchmill.operators.batches import day_rows, head_rows, other_rows, take_batch, top_up
+from merchmill.operators.batches import day_rows, draw_order, head_rows, other_rows, restamp, take_batch, top_up
 from merchmill.operators.keys import first_per_key, known_keys, matching_keys, without_keys
 from merchmill.operators.ordered import exact_median, rank_descending, running_counts
 from merchmill.operators.rules import first_failed
 
 __all__ = [
-    "day_rows", "exact_median", "first_failed", "first_per_key", "head_rows", "known_keys",
-    "matching_keys", "other_rows", "rank_descending", "running_counts", "take_batch", "top_up", "without_keys",
+    "day_rows", "draw_order", "exact_median", "first_failed", "first_per_key", "head_rows", "known_keys",
+    "matching_keys", "other_rows", "rank_descending", "restamp", "running_counts", "take_batch", "top_up", "without_keys",
 ]

@@ -5,11 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-#: up to this many rows a plain top-k is used: every task keeps its best rows and one task merges them
-PLAIN_TOP_K = 5_000
-_LEAD_CHARS = 4
+from merchmill.sources.storage import materialise
 
 
 def day_rows(df: DataFrame, day: date, column: str = "order_date") -> DataFrame:
@@ -26,23 +24,31 @@ def draw_order(seed: int, keys: Sequence[str]) -> Column:
 
 
 def head_rows(df: DataFrame, count: int, order_by: Sequence[str]) -> DataFrame:
-    """The first ``count`` rows in the order of text columns, without a one-task merge of many rows.
+    """The first ``count`` rows in the order of some columns, NULL first, by one path for every count.
 
-    For a large count, rows are counted by the leading characters of the first column (combined
-    map-side). Rows in front of the cut-off lead are all taken as they are; only the rows that share
-    the cut-off lead are sorted, to take what is still missing. ``df`` is then read more than once.
+    Each hash group of rows first drops what lies behind its own first ``count``, in every map task and
+    before any shuffle. The rest is range-partitioned and stored sorted, with the number of its range.
+    Ranges before the cut are then taken whole, and only the one range in which the cut lies is numbered.
+    ``df`` is read once. The driver gets one count for each range.
     """
-    if count <= PLAIN_TOP_K:
-        return df.orderBy(*order_by).limit(count)
-    lead = F.substring(order_by[0], 1, _LEAD_CHARS)
+    spark = df.sparkSession
+    groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = df.withColumn("_group", F.pmod(F.xxhash64(*order_by), F.lit(groups)))
+    first = F.row_number().over(W.partitionBy("_group").orderBy(*order_by))
+    ahead = spread.withColumn("_place", first).where(F.col("_place") <= count).drop("_group", "_place")
+    ordered = materialise(
+        ahead.repartitionByRange(*order_by).sortWithinPartitions(*order_by).withColumn("_range", F.spark_partition_id()), "head"
+    )
+    sizes = sorted((r["_range"], r["count"]) for r in ordered.groupBy("_range").count().collect())
     taken = 0
-    # one small row per distinct lead: 65,536 for hexadecimal text
-    for size in df.groupBy(lead.alias("lead")).count().orderBy("lead").toLocalIterator():
-        if taken + size["count"] > count:
-            edge = df.where(lead == F.lit(size["lead"])).orderBy(*order_by).limit(count - taken)
-            return df.where(lead < F.lit(size["lead"])).unionByName(edge)
-        taken += size["count"]
-    return df
+    for number, size in sizes:
+        if taken + size > count:
+            place = F.row_number().over(W.partitionBy("_range").orderBy(*order_by))
+            edge = ordered.where(F.col("_range") == number).withColumn("_place", place)
+            kept = edge.where(F.col("_place") <= count - taken).drop("_place")
+            return ordered.where(F.col("_range") < number).unionByName(kept).drop("_range")
+        taken += size
+    return ordered.drop("_range")
 
 
 def top_up(df: DataFrame, day: date, count: int, seed: int, keys: Sequence[str]) -> DataFrame:
@@ -61,21 +67,14 @@ def restamp(df: DataFrame, day: date, moved: Column | None = None) -> DataFrame:
 def take_batch(df: DataFrame, day: date, count: int | None, seed: int, keys: Sequence[str]) -> DataFrame:
     """The day's rows, capped at ``count`` and topped up to it from other days.
 
-    ``count=None`` takes the whole day and adds nothing. A count of usual size is one top-k: the day's
-    own rows go by key ahead of all others in draw order, so how many the day has need not be known.
-    A large count is put together from its two parts, each selected on its own.
+    ``count=None`` takes the whole day and adds nothing. The day's own rows go by key ahead of all others
+    in draw order, so how many the day has need not be known, and ``df`` is read once.
     """
     if count is None:
         return day_rows(df, day)
-    if count <= PLAIN_TOP_K:
-        other = F.col("order_date") != F.lit(day)
-        ordered = df.where(F.col("order_date").isNotNull()).withColumns(
-            {"_extra": other, "_draw": F.when(other, draw_order(seed, keys))}
-        )
-        chosen = ordered.orderBy("_extra", "_draw", *keys).limit(count)
-        return restamp(chosen, day, moved=F.col("_extra")).drop("_extra", "_draw")
-    own = day_rows(df, day)
-    present = own.count()
-    if present >= count:
-        return head_rows(own, count, keys)
-    return own.unionByName(top_up(df, day, count - present, seed, keys))
+    other = F.col("order_date") != F.lit(day)
+    ordered = df.where(F.col("order_date").isNotNull()).withColumns(
+        {"_extra": other, "_draw": F.when(other, draw_order(seed, keys))}
+    )
+    chosen = head_rows(ordered, count, ["_extra", "_draw", *keys])
+    return restamp(chosen, day, moved=F.col("_extra")).drop("_extra", "_draw")

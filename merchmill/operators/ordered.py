@@ -20,14 +20,19 @@ BUCKET_WIDTH = 1 << _BUCKET_BITS
 
 
 def running_counts(
-    histogram: DataFrame, group: Sequence[str], value: str, count: str, wanted: Column | None = None
+    histogram: DataFrame, group: Sequence[str], value: str, count: str, wanted: Column | None = None,
+    null_groups: bool = True,
 ) -> DataFrame:
     """Add ``below`` (rows of the group with a smaller value) and ``total`` (rows of the group).
 
     ``histogram`` has one row per group and distinct whole-number ``value``. ``wanted`` may narrow
-    the result to some buckets by ``bucket_below``, ``bucket_upto`` and ``total``.
+    the result to some buckets by ``bucket_below``, ``bucket_upto`` and ``total``. Without
+    ``null_groups`` rows of a NULL group are left out, and the bucket sums, the join and the last window
+    share one partitioning by group and bucket.
     """
     histogram = histogram.withColumn("_bucket", F.shiftright(value, _BUCKET_BITS))
+    if not null_groups:
+        histogram = histogram.repartition(*group, "_bucket")
     in_group = W.partitionBy(*group)
     buckets = histogram.groupBy(*group, "_bucket").agg(F.sum(count).alias("_rows")).select(
         *group,
@@ -41,7 +46,8 @@ def running_counts(
     # groups may be NULL (a day that is not known), so match them null-safely
     buckets = buckets.select(*[F.col(g).alias(f"_b_{g}") for g in [*group, "_bucket"]],
                              "bucket_below", "bucket_upto", "total")
-    same = [F.col(g).eqNullSafe(F.col(f"_b_{g}")) for g in [*group, "_bucket"]]
+    pairs = [(F.col(g), F.col(f"_b_{g}")) for g in [*group, "_bucket"]]
+    same = [a.eqNullSafe(b) if null_groups else a == b for a, b in pairs]
     joined = histogram.join(buckets, same, "inner")
     in_bucket = W.partitionBy(*group, "_bucket").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
     below = F.col("bucket_below") + F.sum(count).over(in_bucket) - F.col(count)
@@ -63,7 +69,7 @@ def exact_median(df: DataFrame, key: str, amount: str, out: str) -> DataFrame:
     hit = ((F.col("bucket_below") <= low) & (low < F.col("bucket_upto"))) | (
         (F.col("bucket_below") <= high) & (high < F.col("bucket_upto"))
     )
-    counted = running_counts(histogram, [key], "_cents", "_n", wanted=hit)
+    counted = running_counts(histogram, [key], "_cents", "_n", wanted=hit, null_groups=False)
     upto = F.col("below") + F.col("_n")
     middle = counted.where(
         ((F.col("below") <= low) & (low < upto)) | ((F.col("below") <= high) & (high < upto))

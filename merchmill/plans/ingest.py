@@ -102,13 +102,14 @@ def build_orders(
     orders: DataFrame,
     items: DataFrame,
     customers: DataFrame,
-    now: datetime,
+    now: datetime | None,
     time_pattern: str | None = None,
     only_day: date | None = None,
     order_by: list[str] | None = None,
 ) -> DataFrame:
     """Order lines with person, shop status and time; ``order_date`` is added for partitioning.
 
+    An unreadable time becomes ``now``, or stays NULL if that is None.
     ``only_day`` gives the lines of one day only. The day is then applied to the orders first and the
     items are cut down to those orders before they are aggregated.
     """
@@ -135,6 +136,12 @@ def build_orders(
     )
 
 
+def timed_lines(lines: DataFrame, now: datetime, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Stored order lines, those without a time at ``now``."""
+    made = F.coalesce(F.col("created_at"), _stamp(now))
+    return lines.withColumns({"created_at": made, "order_date": day_of(made)}).select(*ORDER_COLUMNS, "order_date", *keep)
+
+
 def batch_customers(customers: DataFrame, batch: DataFrame) -> DataFrame:
     return matching_keys(customers, batch, ["customer_id"])
 

@@ -11,13 +11,14 @@ from typing import TypeVar
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from merchmill.config import ShopConfig
-from merchmill.operators import day_rows, head_rows, take_batch
+from merchmill.operators import draw_order, head_rows, other_rows, restamp
 from merchmill.plans import ingest, models, quality, staging
 from merchmill.sources import landing
 from merchmill.sources.files import check_sources, scan_source
-from merchmill.sources.storage import delete, has_data, materialise
+from merchmill.sources.storage import delete, exists, fingerprint, has_data, materialise
 from merchmill.sources.tables import (
-    PLAIN, Layout, folder_path, insert_if_absent, overwrite_table, read_table, replace_folders, rows_between, upsert,
+    PLAIN, Layout, folder_path, insert_if_absent, note_folders, noted_folders, overwrite_table, read_table,
+    replace_folders, rows_between, upsert,
 )
 
 TABLES = ("orders", "customers", "products")
@@ -81,38 +82,84 @@ def insert_raw(
     })
 
 
+def history_layout(config: ShopConfig) -> Layout:
+    return Layout("order_date", config.partition_by, cluster_by=("draw",))
+
+
+def stored_history(spark: SparkSession, config: ShopConfig, src: dict[str, DataFrame]) -> str:
+    """Folder of all order lines that the sources hold, built when the sources are new or have changed.
+
+    Lines lie by day, sorted by their place in the draw for top-ups. A line whose time can't be read has
+    neither time nor day here; it gets the time of the run that reads it.
+    """
+    used = {name: src[name] for name in ("orders", "order_items", "customers")}
+    base = config.path("history", f"seed={config.seed}-{config.partition_by}")
+    path = f"{base}/{fingerprint(spark, used)}"
+    if not exists(spark, f"{path}/_SUCCESS"):
+        delete(spark, base)  # built from older sources, or not to its end
+        lines = ingest.build_orders(src["orders"], src["order_items"], src["customers"], None)
+        overwrite_table(lines.withColumn("draw", draw_order(config.seed, ingest.LINE_KEY)), path, history_layout(config))
+    return path
+
+
 def seed_history(
     spark: SparkSession, config: ShopConfig, now: datetime, sources: dict[str, DataFrame] | None = None
 ) -> dict[str, int]:
     """Ingest everything the source files hold. Meant to run once, and harmless when repeated."""
     src = sources or read_sources(spark, config)
+    lines = read_table(spark, stored_history(spark, config, src), history_layout(config))
     return insert_raw(
         config,
         ingest.build_customers(src["customers"], now, config.seed),
         ingest.build_products(src["products"], src["order_items"], src["translation"], now),
-        ingest.build_orders(src["orders"], src["order_items"], src["customers"], now),
+        ingest.timed_lines(lines, now),
     )
 
 
+def day_lines(spark: SparkSession, config: ShopConfig, history: str, run_date: date, now: datetime) -> DataFrame:
+    """The stored lines of one day; only its folder is read, and on the day of ``now`` that of lines without a time."""
+    layout = history_layout(config)
+    own = rows_between(spark, history, layout, run_date, run_date)
+    if now.date() == run_date:
+        bare = layout.in_folders(read_table(spark, history, layout, keep_folder=True), [None])
+        own = own.unionByName(bare.select(*own.columns))
+    return ingest.timed_lines(own, now)
+
+
+def drawn_lines(spark: SparkSession, config: ShopConfig, history: str, run_date: date, now: datetime, count: int) -> DataFrame:
+    """``count`` lines of other days in draw order, moved to ``run_date``.
+
+    Draws are spread evenly, so the share of the lines that is wanted says about how far to look. Files are
+    sorted by draw: what lies behind is skipped. The bound is raised until enough lines are before it.
+    """
+    lines = ingest.timed_lines(read_table(spark, history, history_layout(config)), now, keep=("draw",))
+    others = other_rows(lines, run_date)
+    share = 4 * count / max(1, spark.read.parquet(history).count())
+    while share < 1:
+        before = others.where(F.col("draw") < f"{int(share * 16**32):032x}")
+        if before.count() >= count:
+            others = before
+            break
+        share *= 4
+    return restamp(head_rows(others, count, ["draw", *ingest.LINE_KEY]).drop("draw"), run_date)
+
+
 def select_day(
-    src: dict[str, DataFrame], config: ShopConfig, run_date: date, now: datetime
+    spark: SparkSession, src: dict[str, DataFrame], config: ShopConfig, run_date: date, now: datetime
 ) -> DataFrame:
     """Order lines of one day, capped and topped up to ``config.daily_orders``.
 
-    The day's own lines are built first, from that day's orders only. The full history is built only
-    when they are too few and a top-up has to be drawn from it.
+    The history is built once for its sources; a day reads its own folder, and a top-up only what it draws.
     """
-    own = materialise(
-        ingest.build_orders(src["orders"], src["order_items"], src["customers"], now, only_day=run_date),
-        "day-orders",
-    )
+    history = stored_history(spark, config, src)
+    own = materialise(day_lines(spark, config, history, run_date, now), "day-orders")
     limit = config.daily_orders
     if limit is None:
         return own
-    if own.count() >= limit:
+    missing = limit - own.count()
+    if missing <= 0:
         return materialise(head_rows(own, limit, ingest.LINE_KEY), "day-batch")
-    history = ingest.build_orders(src["orders"], src["order_items"], src["customers"], now)
-    return materialise(take_batch(history, run_date, limit, config.seed, ingest.LINE_KEY), "day-batch")
+    return materialise(own.unionByName(drawn_lines(spark, config, history, run_date, now, missing)), "day-batch")
 
 
 def ingest_day(
@@ -121,7 +168,7 @@ def ingest_day(
 ) -> dict[str, int]:
     """Ingest one day's batch with the customers and products it mentions."""
     src = sources or read_sources(spark, config)
-    batch = select_day(src, config, run_date, now)
+    batch = select_day(spark, src, config, run_date, now)
     people = ingest.build_customers(
         src["customers"].join(
             batch.select(F.col("customer_id").alias("customer_unique_id")), "customer_unique_id", "left_semi"
@@ -155,7 +202,8 @@ def stage_day(spark: SparkSession, config: ShopConfig, run_date: date | None, st
         "customers": (staging.stage_customers(customers, stamped or run_date), ["customer_id"], PLAIN),
         "products": (staging.stage_products(products, stamped or run_date), ["product_id"], PLAIN),
         "orders": (
-            staging.stage_orders(orders, customers, products, None, config.order_key), config.order_key, layout,
+            staging.stage_orders(orders, customers, products, None, config.order_key, few=run_date is not None),
+            config.order_key, layout,
         ),
     }
     # keys are unique here: ingest keeps one customer and product per id, and staging one line per order key
@@ -206,6 +254,11 @@ def warehouse_views(spark: SparkSession, config: ShopConfig) -> dict[str, DataFr
     }
 
 
+def pending_path(config: ShopConfig) -> str:
+    """List of the fact folders that have changed since the marts were last refreshed."""
+    return config.path("warehouse", "fct_orders_pending")
+
+
 def build_fact(spark: SparkSession, config: ShopConfig, as_of: date, full_refresh: bool = False) -> Sequence[date | None] | None:
     """Bring the order fact up to date. Returns the folders written, None when it was built anew.
 
@@ -217,27 +270,35 @@ def build_fact(spark: SparkSession, config: ShopConfig, as_of: date, full_refres
     views = warehouse_views(spark, config)
     if full_refresh or not has_data(spark, path):
         fact = models.fct_orders(views["stg_orders"], views["stg_customers"], views["stg_products"])
+        note_folders(spark, pending_path(config), [], whole=True)
         overwrite_table(fact, path, layout)
         return None
     first = date.fromordinal(as_of.toordinal() - config.lookback_days)
     window = rows_between(spark, raw_orders, landing.warehouse_layout(config, "orders"), first, None)
     fact = models.fct_orders(
         models.recent(models.stg_orders(window), as_of, config.lookback_days),
-        views["stg_customers"], views["stg_products"],
+        views["stg_customers"], views["stg_products"], few=True,
     )
-    return upsert(materialise(fact, "fact-batch"), path, config.order_key, layout)
+    return upsert(materialise(fact, "fact-batch"), path, config.order_key, layout, pending_path(config))
 
 
 def build_marts(spark: SparkSession, config: ShopConfig, folders: Sequence[date | None] | None = None) -> dict[str, int]:
     """Rebuild the marts, whole or for the given fact folders only.
 
     All marts are per day, so after a merge the days in the folders it wrote are the only ones that
-    can differ; the result equals a full rebuild.
+    can differ; the result equals a full rebuild. Folders that an earlier, failed run wrote are on a stored
+    list, which goes only after all marts are written.
     """
     fact_path, layout = config.path("warehouse", "fct_orders"), fact_layout(config)
+    noted, whole = noted_folders(spark, pending_path(config))
+    folders = None if whole or folders is None else list({*folders, *noted})
+
+    def products(fact: DataFrame) -> DataFrame:
+        return models.ranked_products(materialise(models.product_days(fact), "product-days"))
 
     def refresh(name: str) -> int:
         build, path, mart = models.MARTS[name], config.path("marts", name), mart_layout(config, name)
+        build = products if name == "mart_product_performance" else build
         if folders is None or not has_data(spark, path):
             return overwrite_table(build(read_table(spark, fact_path, layout)), path, mart)
         fact = layout.in_folders(read_table(spark, fact_path, layout, keep_folder=True), folders)
@@ -248,7 +309,9 @@ def build_marts(spark: SparkSession, config: ShopConfig, folders: Sequence[date
                 delete(spark, folder_path(path, mart, folder))
         return written
 
-    return side_by_side(config, {name: partial(refresh, name) for name in models.MARTS})
+    written = side_by_side(config, {name: partial(refresh, name) for name in models.MARTS})
+    delete(spark, pending_path(config))
+    return written
 
 
 def model_tables(spark: SparkSession, config: ShopConfig) -> dict[str, DataFrame]:
@@ -260,12 +323,16 @@ def model_tables(spark: SparkSession, config: ShopConfig) -> dict[str, DataFrame
     }
 
 
+#: a view that is a filter of another table, which the unique tests then group once for both
+ORDER_VIEWS = {"stg_orders": ("raw_orders", models.usable_order)}
+
+
 def test_models(spark: SparkSession, config: ShopConfig) -> list[dict]:
     tests = quality.SHOP_TESTS
     if config.grain == "line":
         # several lines may share an order here, so the order id alone is not a key
         tests = [t for t in tests if (t.column, t.kind) != ("order_id", quality.UNIQUE)]
-    return quality.require_passed(quality.report(model_tables(spark, config), tests))
+    return quality.require_passed(quality.report(model_tables(spark, config), tests, ORDER_VIEWS))
 
 
 # --- whole runs ------------------------------------------------------------------------------

@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from merchmill import values
 from merchmill.functions import average, cents, from_cents, initcap_words, percent, trim_blank
-from merchmill.operators import rank_descending
+from merchmill.operators import matching_keys, rank_descending
 from merchmill.schemas import MONEY
-from merchmill.sources.storage import materialise
 
 FACT_COLUMNS = [
     "order_id", "customer_id", "product_id", "order_date", "quantity", "unit_price", "total_amount",
@@ -48,9 +47,13 @@ def stg_products(raw: DataFrame) -> DataFrame:
     )
 
 
+def usable_order() -> Column:
+    """Which raw order lines the staging view keeps."""
+    return F.col("order_id").isNotNull() & (F.col("quantity") > 0) & (F.col("unit_price") > 0)
+
+
 def stg_orders(raw: DataFrame) -> DataFrame:
-    usable = F.col("order_id").isNotNull() & (F.col("quantity") > 0) & (F.col("unit_price") > 0)
-    return raw.where(usable).select(
+    return raw.where(usable_order()).select(
         "order_id", "customer_id", "product_id", "quantity",
         *[F.col(c).cast(MONEY).alias(c) for c in ("unit_price", "total_amount")],
         F.lower("status").alias("status"),
@@ -65,12 +68,16 @@ def recent(orders: DataFrame, as_of: date, lookback_days: int = values.DEFAULT_L
     return orders.where(F.col("order_date") >= F.date_sub(F.lit(as_of), lookback_days))
 
 
-def fct_orders(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+def fct_orders(orders: DataFrame, customers: DataFrame, products: DataFrame, few: bool = False) -> DataFrame:
     """Orders with city, age group, product and profit. Orders without a match stay, with NULLs.
 
     No join hint: Spark broadcasts a dimension when its size allows, and splits hot customers or
-    products of the order side when it does not.
+    products of the order side when it does not. ``few`` says that the orders are those of some days: the
+    dimensions are then cut to the orders' keys first, so they are scanned but not shuffled.
     """
+    if few:
+        customers = matching_keys(customers, orders, ["customer_id"])
+        products = matching_keys(products, orders, ["product_id"])
     buyers = customers.select("customer_id", "city", "age_group")
     goods = products.select("product_id", "category", F.col("name").alias("product_name"), "cost_price")
     cost = (F.col("cost_price") * F.col("quantity")).cast(MONEY)
@@ -145,12 +152,15 @@ def product_days(fact: DataFrame) -> DataFrame:
 
 
 def mart_product_performance(fact: DataFrame) -> DataFrame:
-    """Sales per day and product with the product's revenue rank of the day.
+    """Sales per day and product with the product's revenue rank of the day; only a plan, nothing runs.
 
-    The aggregate is written to shared scratch once, because ranking reads it twice; the fact is
-    scanned once. A busy day is ranked by many tasks.
+    Ranking reads the aggregate twice. A job stores it first and calls ``ranked_products``.
     """
-    sales = materialise(product_days(fact), "product-days")
+    return ranked_products(product_days(fact))
+
+
+def ranked_products(sales: DataFrame) -> DataFrame:
+    """``product_days`` with each product's revenue rank of the day. A busy day is ranked by many tasks."""
     return rank_descending(sales, "report_date", "revenue", "revenue_rank")
 
 

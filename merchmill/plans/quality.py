@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from merchmill import values
 
@@ -73,13 +73,33 @@ def _failures(test: ColumnTest) -> Column:
     return F.count_distinct(F.when(~column.isin(*test.accepted), column))
 
 
-def report(tables: dict[str, DataFrame], tests: Sequence[ColumnTest] = SHOP_TESTS) -> DataFrame:
+def report(
+    tables: dict[str, DataFrame], tests: Sequence[ColumnTest] = SHOP_TESTS,
+    views: dict[str, tuple[str, Callable[[], Column]]] | None = None,
+) -> DataFrame:
     """One row per test with the number of failing rows or values.
 
     All ``not_null`` and ``accepted_values`` tests of a table are one aggregate over it, each
-    ``unique`` test is one grouping. Tables should be stored or otherwise cheap to read.
+    ``unique`` test is one grouping. ``views`` names tables that are rows of another one, with the
+    condition they are kept on: where both have the same ``unique`` test, one grouping answers both.
+    Tables should be stored or otherwise cheap to read.
     """
     parts = []
+    both = [
+        (t, ColumnTest(base, t.column, UNIQUE), kept) for view, (base, kept) in (views or {}).items()
+        for t in tests if t.table == view and t.kind == UNIQUE and ColumnTest(base, t.column, UNIQUE) in tests
+    ]
+    for of_view, of_base, kept in both:
+        column = F.col(of_base.column)
+        counts = tables[of_base.table].where(column.isNotNull()).groupBy(column).agg(
+            F.count(F.lit(1)).alias("n_base"), F.count_if(kept()).alias("n_view"))
+        repeated = counts.agg(F.count_if(F.col("n_base") > 1).alias("n_base"), F.count_if(F.col("n_view") > 1).alias("n_view"))
+        lines = [
+            F.struct(*[F.lit(v).alias(n) for n, v in _labels(t)], F.col(c).alias("failures"))
+            for t, c in ((of_base, "n_base"), (of_view, "n_view"))
+        ]
+        parts.append(repeated.select(F.inline(F.array(*lines))))
+    tests = [t for t in tests if not any(t in pair for pair in both)]
     for table, df in tables.items():
         own = [t for t in tests if t.table == table]
         simple = [t for t in own if t.kind != UNIQUE]
@@ -111,7 +131,3 @@ def require_passed(results: DataFrame) -> list[dict]:
             f"{r['table_name']}.{r['column_name']} {r['test']}: {r['failures']}" for r in failed
         ))
     return rows
-
-
-def stored_tables(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(path) for name, path in paths.items()}

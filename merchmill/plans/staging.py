@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from merchmill import values
 from merchmill.functions import age_group, cents, percent
-from merchmill.operators import first_failed, first_per_key, known_keys
+from merchmill.operators import first_failed, first_per_key, known_keys, matching_keys
 from merchmill.schemas import MONEY
 
 
@@ -82,15 +82,22 @@ def stage_products(raw_products: DataFrame, run_date: date | None = None) -> Dat
 
 
 def check_orders(
-    raw_orders: DataFrame, raw_customers: DataFrame, raw_products: DataFrame, run_date: date | None = None
+    raw_orders: DataFrame, raw_customers: DataFrame, raw_products: DataFrame, run_date: date | None = None,
+    few: bool = False,
 ) -> DataFrame:
     """Order lines with amount, date and verdict, one output row per input row.
 
-    References are looked up among all ingested customers and products of any day, valid or not.
+    References are looked up among all ingested customers and products of any day, valid or not. ``few``
+    says that the lines are those of some days: the tables looked up are then cut to the lines' keys first,
+    so they are scanned but not shuffled.
     """
     day = F.col("order_date") if "order_date" in raw_orders.columns else F.to_date("created_at")
+    raw_orders = _of_day(raw_orders, run_date)
+    if few:
+        raw_customers = matching_keys(raw_customers.select("customer_id"), raw_orders, ["customer_id"])
+        raw_products = matching_keys(raw_products.select("product_id"), raw_orders, ["product_id"])
     lines = (
-        _of_day(raw_orders, run_date)
+        raw_orders
         .withColumn("order_date", day)
         .join(known_keys(raw_customers, "customer_id", "_customer"), "customer_id", "left")
         .join(known_keys(raw_products, "product_id", "_product"), "product_id", "left")
@@ -113,10 +120,11 @@ def stage_orders(
     raw_products: DataFrame,
     run_date: date | None = None,
     key: Sequence[str] = ("order_id",),
+    few: bool = False,
 ) -> DataFrame:
     """Checked order lines, one per ``key``: of an order's lines the lowest product id is kept.
 
     The line is chosen before the lookups, so they run on the kept lines only.
     """
     lines = first_per_key(_of_day(raw_orders, run_date), key, ["product_id", "created_at"])
-    return check_orders(lines, raw_customers, raw_products)
+    return check_orders(lines, raw_customers, raw_products, few=few)

@@ -74,7 +74,8 @@ def scan_csv(
 
 def scan_source(spark: SparkSession, config: ShopConfig, name: str) -> DataFrame:
     position = FILE_POSITION if name == "customers" else None
-    return scan_csv(spark, source_path(config, name), SOURCE_SCHEMAS[name], position=position)
+    return scan_csv(spark, source_path(config, name), SOURCE_SCHEMAS[name], multiline=name in config.multiline_files,
+                    position=position)
 
 
 def scan_query(spark: SparkSession, query: str, jdbc: dict[str, str] | None = None, **tables: DataFrame) -> DataFrame:

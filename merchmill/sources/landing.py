@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from merchmill.config import ShopConfig
 from merchmill.schemas import LOAD_SCHEMAS, REQUIRED_COLUMNS
-from merchmill.sources.storage import exists, has_data, materialise
+from merchmill.sources.storage import delete, exists, has_data, materialise
 from merchmill.sources.tables import (
     PLAIN, Layout, append_table, overwrite_table, read_table, replace_folders,
 )
@@ -25,12 +25,15 @@ def valid_rows(staged: DataFrame, table: str, order_day: date | None = None) ->
 
 
 def export_table(rows: DataFrame, config: ShopConfig, table: str, run_date: date) -> str | None:
-    """Write the landing folder of one table and day. No rows, no folder: returns None."""
-    if rows.isEmpty():
-        return None
+    """Write the landing folder of one table and day. No rows, no folder: returns None.
+
+    The write itself counts the rows. A folder that an earlier run left for the day goes as well.
+    """
     path = config.landing_path(table, run_date)
-    rows.write.mode("overwrite").parquet(path)
-    return path
+    if overwrite_table(rows, path):
+        return path
+    delete(rows.sparkSession, path)
+    return None
 
 
 def declared(rows: DataFrame, table: str) -> DataFrame:
@@ -79,6 +82,7 @@ def _replace_days(spark: SparkSession, rows: DataFrame, target: str, layout: Lay
     stay = stored.select(*rows.columns).alias("s").join(
         days.alias("d"), F.col("s.order_date").eqNullSafe(F.col("d.order_date")), "left_anti"
     )
-    merged = materialise(stay.unionByName(rows), "load-orders")
-    replace_folders(merged, target, layout)
-    return rows.count()
+    fresh = F.lit(True).alias("_fresh")
+    merged = materialise(stay.withColumn("_fresh", F.lit(False)).unionByName(rows.select("*", fresh)), "load-orders")
+    replace_folders(merged.drop("_fresh"), target, layout)
+    return merged.where("_fresh").count()

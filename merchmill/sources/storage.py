@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -31,6 +32,18 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def fingerprint(spark: SparkSession, sources: dict[str, DataFrame]) -> str:
+    """Changes when the files behind some DataFrames change, or the DataFrames themselves."""
+    seen = hashlib.md5()
+    for name in sorted(sources):
+        seen.update(f"{name}:{sources[name].semanticHash()}".encode())
+        for file in sorted(sources[name].inputFiles()):
+            fs, path = _file_system(spark, file)
+            status = fs.getFileStatus(path)
+            seen.update(f"{file}:{status.getLen()}:{status.getModificationTime()}".encode())
+    return seen.hexdigest()
+
+
 #: scratch folders of this process
 _made: list[str] = []
 

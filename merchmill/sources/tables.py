@@ -6,14 +6,16 @@ detection, so a table has one writer at a time.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from merchmill.operators.keys import first_per_key, without_keys
-from merchmill.sources.storage import delete, exists, has_data
+from merchmill.sources.storage import delete, exists, has_data, materialise
 
 
 @dataclass(frozen=True)
@@ -107,18 +109,37 @@ def replace_folders(df: DataFrame, path: str, layout: Layout) -> int:
     return _write(df, path, layout, "overwrite", overwrite="dynamic")
 
 
+def _observed(seen: Observation, name: str) -> int:
+    """An observed count; 0 where Spark knew beforehand that there are no rows, and so observed none."""
+    try:
+        return seen.get[name]
+    except Py4JJavaError:
+        return 0
+
+
 def insert_if_absent(
     batch: DataFrame, path: str, keys: Sequence[str], order_by: Sequence[str | Column] | None, layout: Layout = PLAIN
 ) -> int:
     """Append the rows whose key the table lacks; of equal keys in the batch the first in order counts.
 
-    ``order_by=None`` says that the batch is known to hold each key once.
+    ``order_by=None`` says that the batch is known to hold each key once. A row with a NULL in its key has
+    none to be known by again: such rows are left out, and a warning says how many there were. The batch is
+    evaluated once.
     """
     spark = batch.sparkSession
-    fresh = batch if order_by is None else first_per_key(batch, keys, order_by)
+    keyless = F.lit(False)
+    for k in keys:
+        keyless = keyless | F.col(k).isNull()
+    seen = Observation()
+    counted = batch.observe(seen, F.count_if(keyless).alias("keyless")).where(~keyless)
+    fresh = counted if order_by is None else first_per_key(counted, keys, order_by)
     if has_data(spark, path):
-        fresh = without_keys(fresh, read_table(spark, path, layout), keys)
-    return append_table(fresh, path, layout)
+        fresh = without_keys(materialise(fresh, "insert-batch"), read_table(spark, path, layout), keys)
+    written = append_table(fresh, path, layout)
+    left_out = _observed(seen, "keyless")
+    if left_out:
+        warnings.warn(f"{left_out} rows without a key were left out of {path}", stacklevel=2)
+    return written
 
 
 def folder_path(path: str, layout: Layout, folder: date | None) -> str:
@@ -132,14 +153,30 @@ def _folders(df: DataFrame, layout: Layout) -> list[date | None]:
     return [row[0] for row in df.select(day.alias("folder")).distinct().collect()]
 
 
-def _redo(spark: SparkSession, path: str, layout: Layout) -> list[date | None]:
+def note_folders(spark: SparkSession, pending: str, folders: Sequence[date | None], whole: bool = False) -> None:
+    """Add folders to the list of those whose followers are still to be refreshed; ``whole`` stands for all."""
+    noted = [(f, False) for f in folders] + ([(None, True)] if whole else [])
+    spark.createDataFrame(noted, "folder date, whole boolean").coalesce(1).write.mode("append").parquet(pending)
+
+
+def noted_folders(spark: SparkSession, pending: str) -> tuple[list[date | None], bool]:
+    """(folders noted, whether all are)."""
+    if not has_data(spark, pending):
+        return [], False
+    rows = spark.read.schema("folder date, whole boolean").parquet(pending).distinct().collect()
+    return [r["folder"] for r in rows if not r["whole"]], any(r["whole"] for r in rows)
+
+
+def _redo(spark: SparkSession, path: str, layout: Layout, pending: str | None = None) -> list[date | None]:
     """Carry a prepared upsert into the table: swap the rewritten folders, drop the emptied ones.
 
     All inputs are in ``path/_upsert``, so this gives the same result when it is run again after a
-    failure at any point.
+    failure at any point. The folders are noted in ``pending`` before the first of them changes.
     """
     rows = spark.read.parquet(f"{path}/_upsert/rows")
     touched = [r[0] for r in spark.read.parquet(f"{path}/_upsert/touched").collect()]
+    if pending is not None:
+        note_folders(spark, pending, touched)
     replace_folders(rows, path, layout)
     kept = set(_folders(rows, layout))
     for folder in touched:
@@ -150,24 +187,33 @@ def _redo(spark: SparkSession, path: str, layout: Layout) -> list[date | None]:
     return touched
 
 
-def upsert(source: DataFrame, path: str, keys: Sequence[str], layout: Layout) -> list[date | None]:
-    """Update the rows whose key the table has, insert the others. Returns the folders written.
+def upsert(
+    source: DataFrame, path: str, keys: Sequence[str], layout: Layout, pending: str | None = None
+) -> list[date | None]:
+    """Update the rows whose key the table has, insert the others. Returns the folders written, together
+    with those of an earlier upsert that this one had to finish; ``pending`` keeps a list of them.
 
     Only folders that the source touches are rewritten: those of its own dates, and those in which
     its keys sit now, as a row may move to another date. The rewritten rows are first stored whole
     under ``path/_upsert``; a run that fails later is finished by the next one.
 
-    Fails, like a database merge, when the source repeats a key.
+    Fails, like a database merge, when the source repeats a key, and when a key has a NULL in it.
     """
     spark = source.sparkSession
     keys = list(keys)
+    if not source.where(" OR ".join(f"`{k}` IS NULL" for k in keys)).isEmpty():
+        raise ValueError(f"source of the upsert has a NULL in its key {keys}")
     if source.groupBy(*keys).count().where("count > 1").limit(1).count():
         raise ValueError(f"source of the upsert repeats a key {keys}")
     if exists(spark, f"{path}/_upsert/rows/_SUCCESS"):
-        _redo(spark, path, layout)
+        recovered = _redo(spark, path, layout, pending)
+    else:
+        recovered = []
     if not has_data(spark, path):
+        if pending is not None:
+            note_folders(spark, pending, [], whole=True)
         append_table(source, path, layout)
-        return _folders(source, layout)
+        return list({*recovered, *_folders(source, layout)})
     target = read_table(spark, path, layout, keep_folder=True)
     sits = target.select(layout.folder, *keys).join(source.select(*keys), keys, "left_semi")
     touched = set(_folders(source, layout)) | {r[0] for r in sits.select(layout.folder).distinct().collect()}
@@ -177,4 +223,4 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], layout: Layout) ->
     delete(spark, f"{path}/_upsert")
     spark.createDataFrame([(f,) for f in touched], schema).write.parquet(f"{path}/_upsert/touched")
     rows.write.parquet(f"{path}/_upsert/rows")
-    return _redo(spark, path, layout)
+    return list({*recovered, *_redo(spark, path, layout, pending)})

@@ -114,6 +114,62 @@ def test_history_equals_day_by_day(spark, shop, folder):
     assert rows(table(spark, daily, "warehouse", "fct_orders").drop("loaded_at")) == whole
 
 
+@pytest.mark.parametrize("broken_mart", list(models.MARTS))
+def test_marts_catch_up_after_a_run_that_stopped(spark, shop, monkeypatch, broken_mart):
+    config = shop(daily_orders=None)
+    days = [FIRST + timedelta(days=n) for n in (1, 2)]
+    for day in days:
+        jobs.run_day(spark, config, day, NOW)
+    moved = table(spark, config, "warehouse", "fct_orders").limit(1).withColumn("order_date", F.lit(days[0]))
+    jobs.upsert(moved, config.path("warehouse", "fct_orders"), ["order_id"], jobs.fact_layout(config), jobs.pending_path(config))
+    write, path = jobs.replace_folders, config.path("marts", broken_mart)
+
+    def stop(df, target, layout):
+        return 1 / 0 if target == path else write(df, target, layout)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(jobs, "replace_folders", stop)
+        with pytest.raises(ZeroDivisionError):
+            jobs.build_marts(spark, config, [])
+    jobs.build_marts(spark, config, [])
+    found = {m: rows(table(spark, config, "marts", m)) for m in models.MARTS}
+    jobs.build_marts(spark, config)
+    assert found == {m: rows(table(spark, config, "marts", m)) for m in models.MARTS}
+    assert not has_data(spark, jobs.pending_path(config))
+
+
+def test_a_later_day_reads_only_its_folder_of_the_stored_history(spark, shop, folder):
+    config = shop()
+    src = jobs.read_sources(spark, config)
+    history = jobs.stored_history(spark, config, src)
+    assert jobs.stored_history(spark, config, jobs.read_sources(spark, config)) == history
+    lines = jobs.day_lines(spark, config, history, FIRST + timedelta(days=1), NOW)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "PartitionFilters: [isnotnull(order_date#" in plan
+    write_sources(folder, orders=70)
+    assert jobs.stored_history(spark, config, jobs.read_sources(spark, config)) != history
+
+
+def test_a_day_without_rows_leaves_no_landing_folder(spark, shop):
+    from merchmill.sources import landing
+
+    config = shop()
+    landed = spark.createDataFrame([("c1", "n", "e@x", "city", 30, "26-35")], "customer_id string, full_name string, email string, city string, age int, age_group string")
+    assert landing.export_table(landed, config, "customers", FIRST)
+    assert landing.export_table(landed.where("false"), config, "customers", FIRST) is None
+    assert landing.load_table(spark, config, "customers", FIRST) is None
+
+
+def test_steps_run_alone(shop, monkeypatch, capsys):
+    config = shop()
+    monkeypatch.setenv("SHOP_ROOT", config.root)
+    monkeypatch.setenv("SHOP_SOURCE_DIR", config.source_dir)
+    args = ["--date", "2018-03-31", "--limit", "5", "--load-mode", "append", "--lookback-days", "9", "--threads", "2"]
+    assert config_from(parse(args)).lookback_days == 9 and config_from(parse(args)).load_mode == "append"
+    done = {step: main([*args, "--step", step])[step] for step in ("ingest", "stage", "export", "load", "fact", "marts", "test")}
+    assert done["ingest"]["orders"] == 5 and all(t["passed"] for t in done["test"])
+
+
 def test_late_orders_need_a_full_refresh(spark, shop):
     config = shop(daily_orders=None)
     last = FIRST + timedelta(days=4)

@@ -118,16 +118,24 @@ def test_no_limit_means_no_cap_and_no_top_up(spark):
 
 
 @pytest.mark.parametrize("own, count", [(30, 20), (5, 20), (5, 200), (0, 7), (20, 20)])
-def test_large_batches_choose_the_same_rows(spark, monkeypatch, own, count):
+def test_batches_of_any_size_are_the_plain_sorted_head(spark, own, count):
     df = orders(spark, own, 50)
-    small = ids(op.take_batch(df, DAY, count, 42, KEYS))
-    monkeypatch.setattr(batches, "PLAIN_TOP_K", 0)
-    assert ids(op.take_batch(df, DAY, count, 42, KEYS)) == small
+    other = F.col("order_date") != F.lit(DAY)
+    plain = df.orderBy(other, F.when(other, batches.draw_order(42, KEYS)), *KEYS).limit(count)
+    assert ids(op.take_batch(df, DAY, count, 42, KEYS)) == ids(plain)
+
+
+def test_head_rows_with_null_keys_and_one_common_prefix(spark):
+    rows = [(None, i) for i in range(3)] + [(f"ORD-{i:06d}", i) for i in range(40)]
+    df = spark.createDataFrame(rows, "k string, n int").repartition(5)
+    for count in (2, 10, 43, 99):
+        head = op.head_rows(df, count, ["k", "n"])
+        assert sorted((r.k or "", r.n) for r in head.collect()) == sorted((k or "", n) for k, n in rows)[:count]
+        assert "GlobalLimit" not in head._jdf.queryExecution().optimizedPlan().toString()
 
 
 @pytest.mark.parametrize("count", [0, 1, 49, 50, 51, 99, 100, 500])
-def test_head_rows_at_every_cut(spark, monkeypatch, count):
+def test_head_rows_at_every_cut(spark, count):
     texts = [f"{i // 10:04d}-{i % 10}" for i in range(100)]
     df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(6)
-    monkeypatch.setattr(batches, "PLAIN_TOP_K", -1)
     assert sorted(r.t for r in op.head_rows(df, count, ["t"]).collect()) == texts[:count]

@@ -107,6 +107,31 @@ def test_empty_batches_and_tables(spark, folder):
     assert content(spark, path, layout) == same(("a", 1, D1))
 
 
+def test_rows_without_a_key_are_left_out_and_told(spark, folder):
+    path = f"{folder}/t"
+    batch = frame(spark, ("a", 1, D1), (None, 2, D1), (None, 3, D2))
+    for added in (1, 0, 0):
+        with pytest.warns(UserWarning, match="2 rows without a key"):
+            assert insert_if_absent(batch, path, ["k"], ["v"], Layout("d")) == added
+    assert content(spark, path, Layout("d")) == same(("a", 1, D1))
+    with pytest.raises(ValueError, match="NULL in its key"):
+        upsert(batch, path, ["k"], Layout("d"))
+
+
+def test_an_upsert_tells_the_folders_of_the_one_it_finishes(spark, folder, monkeypatch):
+    from merchmill.sources import tables
+
+    path, pending, layout = f"{folder}/t", f"{folder}/pending", Layout("d")
+    overwrite_table(frame(spark, ("a", 1, D1), ("b", 2, D2)), path, layout)
+    with monkeypatch.context() as broken:
+        broken.setattr(tables, "replace_folders", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            upsert(frame(spark, ("a", 5, D3)), path, ["k"], layout, pending)
+    assert set(tables.noted_folders(spark, pending)[0]) == {D1, D3}
+    assert set(upsert(frame(spark, ("b", 7, D2)), path, ["k"], layout, pending)) == {D1, D2, D3}
+    assert content(spark, path, layout) == same(("a", 5, D3), ("b", 7, D2))
+
+
 @pytest.mark.parametrize("layout", LAYOUTS[:2])
 def test_row_counts_and_folder_replacement(spark, folder, layout):
     path = f"{folder}/t"
