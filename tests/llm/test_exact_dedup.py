@@ -1,0 +1,53 @@
+import hashlib
+from collections import defaultdict
+
+from pyspark.sql import functions as F
+
+from merchmill.llm.exact_dedup import exact_groups, keep_first_copies
+
+SCHEMA = "doc_id long, text string, digest string, norm string"
+ROWS = [(1, "Same Text"), (2, "same text"), (3, "SAME TEXT"), (4, "other"), (5, None), (6, ""), (7, "ÄB"), (8, "äb"), (9, "Äb"),
+        (None, "other"), (None, "alone"), (10, "x" * 200_000), (11, "X" * 200_000), (12, "dup"), (12, "dup"), (13, " dup")]
+
+
+def norm(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def expected(rows):
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[norm(t)].append(i)
+    out = []
+    for i, t in rows:
+        ids = groups[norm(t)]
+        keep = max((x for x in ids if x is not None), default=None)
+        out.append((i, keep, len(ids), i == keep, hashlib.sha256(norm(t).encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, "a", "b") for i, t in rows], SCHEMA).repartition(5)
+
+
+def test_equals_brute_force_with_nulls_ties_and_clashing_names(spark):
+    got = exact_groups(frame(spark, ROWS)).collect()
+    assert sorted(map(tuple, got), key=repr) == expected(ROWS)
+
+
+def test_contents_decide_when_digests_collide(spark):
+    few = exact_groups(frame(spark, ROWS), digest=lambda c: F.substring(F.sha2(c, 256), 1, 1)).collect()
+    assert sorted(map(tuple, few), key=repr) == expected(ROWS)
+
+
+def test_a_hot_text_and_no_rows(spark):
+    rows = [(i, "hot") for i in range(300)] + [(1000 + i, f"t{i}") for i in range(50)]
+    assert sorted(map(tuple, exact_groups(frame(spark, rows)).collect()), key=repr) == expected(rows)
+    assert exact_groups(frame(spark, rows).limit(0)).count() == 0
+
+
+def test_keeps_whole_rows_of_one_copy(spark):
+    kept = keep_first_copies(frame(spark, ROWS))
+    assert kept.columns == ["doc_id", "text", "digest", "norm"]
+    texts = [norm(r.text) for r in kept.collect()]
+    assert sorted(texts) == sorted({norm(t) for _, t in ROWS})

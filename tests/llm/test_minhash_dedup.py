@@ -1,0 +1,100 @@
+import random
+import re
+from collections import defaultdict
+
+import pytest
+
+from merchmill.llm import minhash_dedup
+from merchmill.llm.components import components
+
+
+def sets_of(text, words):
+    t = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    return {tuple(w[i:i + words]) for i in range(max(1, len(w) - words + 1))} if w else set()
+
+
+def expected(rows, words, percent):
+    sets = [(i, sets_of(t, words)) for i, t in rows]
+    parent = {i: i for i, _ in rows if i is not None}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    index = defaultdict(list)
+    for k, (i, s) in enumerate(sets):
+        for x in s:
+            index[x].append(k)
+    pairs = {(a, b) for ks in index.values() for a in ks for b in ks if a < b}
+    for a, b in pairs:
+        (i, s), (j, t) = sets[a], sets[b]
+        if i is not None and j is not None and 100 * len(s & t) >= percent * len(s | t):
+            i, j = sorted((root(i), root(j)))
+            parent[j] = i
+    return sorted(((i, len(s), None if i is None else root(i), i is None or root(i) == i) for i, s in sets), key=repr)
+
+
+def made(seed=4):
+    rng = random.Random(seed)
+    words = ["w%d" % i for i in range(400)]
+    prose = lambda n: [rng.choice(words) for _ in range(n)]
+    rows, doc = [], 0
+    for size in (30, 80, 200):
+        for _ in range(6):
+            base = prose(size)
+            for _ in range(rng.randint(1, 8)):
+                copy = list(base)
+                for _ in range(rng.randint(0, max(1, size // 25))):
+                    copy[rng.randrange(size)] = rng.choice(words)
+                rows.append((doc, " ".join(copy)))
+                doc += 1
+            for step in range(4):  # a chain: ends are less similar than neighbours
+                base = base[size // 30:] + prose(size // 30)
+                rows.append((doc, " ".join(base)))
+                doc += 1
+    hub = prose(60)
+    rows += [(5000 + i, " ".join(hub[:k] + ["odd%d" % rng.randrange(50)] * 2 + hub[k + 3:])) for i, k in enumerate(rng.choices(range(50), k=120))]
+    rows += [(6000, None), (6001, ""), (6002, " \n"), (6003, "one"), (6004, "ONE"), (6005, "one two"), (6006, "Ö a b"), (6007, "ö a b"), (None, "one two"),
+             (6008, rows[0][1].upper()), (6008, rows[0][1].upper()), (6009, "long " * 30_000), (6010, "long " * 20_000)]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("words, percent", [(3, 85), (5, 80)])
+def test_equals_brute_force(spark, words, percent):
+    rows = made()
+    docs = spark.createDataFrame([(i, t, 1, "b") for i, t in rows], "doc_id long, text string, id int, bucket string").repartition(5)
+    got = minhash_dedup.near_groups(docs, words, percent)
+    assert sorted(map(tuple, got.collect()), key=repr) == expected(rows, words, percent)
+    kept = minhash_dedup.keep_one_of_each_group(docs, words, percent)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {i for i, _, _, k in expected(rows, words, percent) if k}
+
+
+def test_no_rows(spark):
+    assert minhash_dedup.near_groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_chunks_leave_few_misses():
+    assert minhash_dedup.chunks_for(85) == 8 and minhash_dedup.chunks_for(80) == 11 and minhash_dedup.chunks_for(95) < 8
+
+
+def test_spread_never_leaves_out_a_similar_pair():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        both = rng.integers(0, 2**63, rng.integers(1, 900)).astype(np.uint64)
+        a, b = (np.r_[both, rng.integers(0, 2**63, rng.integers(0, 120)).astype(np.uint64)] for _ in range(2))
+        if 100 * len(both) >= 85 * (len(a) + len(b) - len(both)):
+            x, y = (np.frombuffer(minhash_dedup._spread(s), np.uint8)[None] for s in (a, b))
+            assert minhash_dedup._may_be_similar(x, y, np.array([len(a)]), np.array([len(b)]), 85)[0]
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(300)] + [(7, 7), (500, 501), (501, 500), (501, 499)]
+    got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(41)}, 100: 100, **{200 + i: 100 for i in range(300)}, 499: 499, 500: 499, 501: 499}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
