@@ -55,7 +55,10 @@ def keep_first_copies(docs: DataFrame) -> DataFrame:
 
     Rows of the same doc_id and text are one document: one of them stays.
     """
-    kept = exact_groups(docs).where("kept").select("doc_id", F.lit(True).alias("kept")).distinct()
-    columns = docs.columns
-    one = docs.dropDuplicates(["doc_id", "text"]) if "text" in columns else docs
-    return one.join(kept, one["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").select(*[one[c] for c in columns])
+    keys = [F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("id_key")]
+    kept = exact_groups(docs).where("kept").select(*keys, "text_sha256").distinct()
+    text_key = F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256).alias("text_sha256")
+    rows = docs.select(*keys, text_key, F.struct(*[docs[c] for c in docs.columns]).alias("whole_row"))
+    # both steps go by the same keys, so rows are shuffled once
+    once = rows.join(kept, ["id_key", "text_sha256"], "left_semi").dropDuplicates(["id_key", "text_sha256"])
+    return once.select("whole_row.*")
