@@ -15,7 +15,7 @@ from merchmill.operators import draw_order, head_rows, other_rows, restamp
 from merchmill.plans import ingest, models, quality, staging
 from merchmill.sources import landing
 from merchmill.sources.files import check_sources, scan_source
-from merchmill.sources.storage import delete, exists, fingerprint, has_data, materialise
+from merchmill.sources.storage import delete, exists, fingerprint, has_data, materialise, own_scratch
 from merchmill.sources.tables import (
     PLAIN, Layout, folder_path, insert_if_absent, note_folders, noted_folders, overwrite_table, read_table,
     replace_folders, rows_between, upsert,
@@ -347,9 +347,10 @@ def run_day(
     is the start of ``run_date``, so that a run for any day stages what it ingested.
     """
     now = now or datetime(run_date.year, run_date.month, run_date.day)
-    done: dict[str, object] = {"ingested": ingest_day(spark, config, run_date, now, sources)}
-    done["staged"] = stage_day(spark, config, run_date, stamped=now.date())
-    return {**done, **_publish(spark, config, run_date, full_refresh, whole_marts)}
+    with own_scratch(spark):
+        done: dict[str, object] = {"ingested": ingest_day(spark, config, run_date, now, sources)}
+        done["staged"] = stage_day(spark, config, run_date, stamped=now.date())
+        return {**done, **_publish(spark, config, run_date, full_refresh, whole_marts)}
 
 
 def run_history(
@@ -358,9 +359,10 @@ def run_history(
 ) -> dict[str, object]:
     """Backfill: seed all history, then stage, land, load and model all of it in one run."""
     now = now or datetime(run_date.year, run_date.month, run_date.day)
-    done: dict[str, object] = {"ingested": seed_history(spark, config, now, sources)}
-    done["staged"] = stage_day(spark, config, None)
-    return {**done, **_publish(spark, config, run_date, full_refresh=True, whole_marts=True, whole_history=True)}
+    with own_scratch(spark):
+        done: dict[str, object] = {"ingested": seed_history(spark, config, now, sources)}
+        done["staged"] = stage_day(spark, config, None)
+        return {**done, **_publish(spark, config, run_date, full_refresh=True, whole_marts=True, whole_history=True)}
 
 
 def _publish(

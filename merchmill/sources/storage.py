@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,6 +66,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def own_scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end of a job whose result doesn't read them, the scratch folders made since its start."""
+    before = len(_made)
+    try:
+        yield
+    finally:
+        for path in _made[before:]:
+            delete(spark, path)
+        del _made[before:]
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the scratch folders this process made; for the end of a job, when no result is read any more."""
     while _made:

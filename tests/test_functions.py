@@ -31,6 +31,7 @@ def test_initcap_breaks_at_blanks_and_marks_only(spark):
 
 def test_trim_blank_takes_every_white_space(spark):
     assert column(spark, ["\t a b \n", "   ", None], fn.trim_blank) == ["a b", "", None]
+    assert column(spark, ["\u00a0 a\u00a0b\u2003", "\u3000"], fn.trim_blank) == ["a\u00a0b", ""]
 
 
 def test_statuses(spark):
