@@ -63,11 +63,9 @@ def _located(hashes: np.ndarray) -> np.ndarray:
     return (hashes & ~_LOW) | np.arange(len(hashes), dtype=np.uint64)
 
 
-def anchors(data: np.ndarray, heads: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, number of windows, anchor's hash) of texts that start at ``heads`` in ``data``."""
+def anchors(data: np.ndarray, heads: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, number of windows, anchor's hash) of texts that start at ``heads`` in ``data``, and all hashes."""
     n = len(data)
-    if n < length:
-        return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),)
     hashes = _hashes(np.r_[data, np.zeros(ANCHOR, np.uint8)], ANCHOR)
     at = (_smallest(_located(hashes), length - ANCHOR + 1) & _LOW).astype(np.int64)
     ends = np.repeat(np.r_[heads[1:], n], np.diff(np.r_[heads, n]))
@@ -76,7 +74,7 @@ def anchors(data: np.ndarray, heads: np.ndarray, length: int) -> tuple[np.ndarra
     new = valid & np.r_[True, ~valid[:-1] | (at[1:] != at[:-1]) | (text[1:] != text[:-1])]
     first = np.flatnonzero(new)
     count = np.add.reduceat(valid.astype(np.int64), first) if len(first) else np.empty(0, np.int64)
-    return first, count, hashes[at[first]]
+    return first, count, hashes[at[first]], hashes
 
 
 def _blocks(raw: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -108,18 +106,52 @@ def _utf8(column: pa.Array) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
-def _finer(stretch: bytes, length: int) -> Iterator[tuple[int, int, int]]:
-    """(first window, number of windows, key) of parts of a stretch, by the smallest 8-byte hashes in the
-    first and the last 40 bytes of a window."""
-    data = np.frombuffer(stretch, np.uint8)
-    keys = _located(_hashes(np.r_[data, np.zeros(8, np.uint8)], 8))
-    low = _smallest(keys, 40 - 7)
-    n = len(data) - length + 1
-    left, right = low[:n], low[length - 40:length - 40 + n]
-    first = np.flatnonzero(np.r_[True, (left[1:] != left[:-1]) | (right[1:] != right[:-1])])
-    for f, count in zip(first.tolist(), np.diff(np.r_[first, n]).tolist()):
-        key = int(left[f] & ~_LOW) * 31 + int(right[f] & ~_LOW)
-        yield f, count, (key ^ key >> 31) & 0x7FFFFFFFFFFFFFFF
+def _gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of runs of the given lengths, one run after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
+
+
+def _finer(data: np.ndarray, first: np.ndarray, count: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(stretch, first window, number of windows, key) of parts of stretches, by the smallest 8-byte hashes in
+    the first and the last 40 bytes of a window."""
+    if not len(first):
+        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
+    low = _smallest(_located(_hashes(np.r_[data, np.zeros(8, np.uint8)], 8)), 40 - 7)
+    of, at = np.repeat(np.arange(len(first)), count), _gather(first, count)
+    left, right = low[at], low[at + length - 40]
+    new = np.flatnonzero(np.r_[True, (left[1:] != left[:-1]) | (right[1:] != right[:-1]) | (of[1:] != of[:-1])])
+    key = (left[new] & ~_LOW) * np.uint64(31) + (right[new] & ~_LOW)
+    return of[new], at[new], np.diff(np.r_[new, len(at)]), key ^ key >> np.uint64(31)
+
+
+def _marks(hashes: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of whole stretches, from those of the 32 bytes at every 32nd place and at the end."""
+    out = size.astype(np.uint64)
+    for skip in range(0, int(size.max(initial=0)), ANCHOR):
+        out = (out ^ hashes[first + np.minimum(skip, size - ANCHOR)]) * np.uint64(0xD6E8FEB86659FD93)
+        out ^= out >> np.uint64(32)
+    return out
+
+
+def _distinct(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(one stretch of each different content, number of each stretch's content): equal marks are compared in full."""
+    order = np.lexsort((sizes, marks))
+    m, n = marks[order], sizes[order]
+    new = np.r_[True, (m[1:] != m[:-1]) | (n[1:] != n[:-1])] if len(order) else np.empty(0, bool)
+    other, like = order[~new], order[new][np.cumsum(new)[~new] - 1]
+    bytes_before = np.cumsum(sizes[other])
+    differs = np.zeros(len(starts), bool)
+    for s in range(0, int(bytes_before[-1]) if len(other) else 0, _BLOCK):
+        here = slice(*np.searchsorted(bytes_before, [s, s + _BLOCK], side="left"))
+        a, b, size = other[here], like[here], sizes[other[here]]
+        if len(a):
+            equal = data[_gather(starts[a], size)] == data[_gather(starts[b], size)]
+            differs[a] = ~np.logical_and.reduceat(equal, np.cumsum(size) - size)
+    new |= differs[order]  # a mark shared by chance: on its own, which the suffix order puts right
+    number = np.empty(len(starts), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
 
 
 def anchor_places(keyed: DataFrame, length: int) -> DataFrame:
@@ -129,12 +161,12 @@ def anchor_places(keyed: DataFrame, length: int) -> DataFrame:
             raw = _utf8(batch.column(2))
             k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for data, heads, of, skipped in _blocks(raw, length):
-                first, _, seed = anchors(data, heads, length)
+                first, _, seed, _ = anchors(data, heads, length)
                 part = np.searchsorted(heads, first, side="right") - 1
-                yield pa.record_batch([pa.array(seed.view(np.int64)), pa.array(k1[of[part]]), pa.array(k2[of[part]]), pa.array(first - heads[part] + skipped[part])],
+                yield pa.record_batch([pa.array(seed.view(np.int64)), pa.array(k1[of[part]]), pa.array(k2[of[part]]), pa.array(first - heads[part] + skipped[part], pa.int32())],
                                       ["anchor", "k1", "k2", "first"])
 
-    return keyed.mapInArrow(find, "anchor long, k1 long, k2 long, first long")
+    return keyed.mapInArrow(find, "anchor long, k1 long, k2 int, first int")
 
 
 def repeated_places(places: DataFrame) -> DataFrame:
@@ -146,85 +178,100 @@ def repeated_places(places: DataFrame) -> DataFrame:
 
 
 def stretches(found: DataFrame, length: int, shards: int) -> DataFrame:
-    """shard, stretch, places (k1, k2, start as 64-bit integers) from rows of k1, k2, text, places."""
+    """Rows for shards, each of many stretches: their bytes, sizes, marks, how many places each has, and the
+    places (k1, k2, start), from rows of k1, k2, text, places."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows_of(batches):
+        for batch in rows_of(batches, 1024):
             raw = _utf8(batch.column(2))
             k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             wanted = batch.column(3)
             owner = np.repeat(np.arange(batch.num_rows), np.diff(wanted.offsets.to_numpy()))
-            value = wanted.flatten().to_numpy()
+            value = wanted.flatten().to_numpy().astype(np.int64)
             often_too = value < 0
             value = owner << 40 | np.where(often_too, -1 - value, value)
-            sent: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
             for data, heads, of, skipped in _blocks(raw, length):
-                first, count, seed = anchors(data, heads, length)
+                first, count, seed, hashes = anchors(data, heads, length)
                 part = np.searchsorted(heads, first, side="right") - 1
-                start, text = first - heads[part] + skipped[part], of[part]
-                mine = text << 40 | start
-                often = np.isin(mine, value[often_too])
-                keep = often | np.isin(mine, value[~often_too])
-                whole = data.tobytes()
-                for f, n, s, at, i, often_here in zip(*(x[keep].tolist() for x in (first, count, seed, start, text, often))):
-                    stretch = whole[f:f + n + length - 1]
-                    if often_here:
-                        for f2, n2, key in _finer(stretch, length):
-                            sent.setdefault((key % shards, stretch[f2:f2 + n2 + length - 1]), []).append((int(k1[i]), int(k2[i]), at + f2))
-                    else:
-                        sent.setdefault((s % shards, stretch), []).append((int(k1[i]), int(k2[i]), at))
-            yield pa.record_batch([
-                pa.array([s for s, _ in sent], pa.int64()), pa.array([x for _, x in sent], pa.binary()),
-                pa.array([np.array(p, np.int64).tobytes() for p in sent.values()], pa.binary())], ["shard", "stretch", "places"])
-
-    return found.mapInArrow(cut, "shard long, stretch binary, places binary")
-
-
-def repeats_in_shard(texts: list[bytes], places: list[np.ndarray], length: int) -> Iterator[tuple[int, int, int, int]]:
-    """(k1, k2, start, bytes) of repeats, from distinct stretches and all their places (rows k1, k2, start)."""
-    lowest = np.zeros((len(texts), 3), np.int64)
-    for i, p in enumerate(places):
-        p = np.unique(p, axis=0)
-        lowest[i] = p[0]
-        for k1, k2, start in p[1:].tolist():  # every window of these is in the first place too
-            yield k1, k2, start, len(texts[i])
+                mine = of[part] << 40 | (first - heads[part] + skipped[part])
+                often, plain = np.isin(mine, value[often_too]), np.isin(mine, value[~often_too])
+                within, f2, n2, key2 = _finer(data, first[often], count[often], length)
+                at, windows = np.r_[first[plain], f2], np.r_[count[plain], n2]
+                text, key = np.r_[part[plain], part[often][within]], np.r_[seed[plain], key2]
+                yield from _sent(data, at, windows + length - 1, key % np.uint64(shards), hashes,
+                                 np.stack([k1[of[text]], k2[of[text]], at - heads[text] + skipped[text]], axis=1).astype(np.int64))
+
+    return found.mapInArrow(cut, "shard long, bytes binary, sizes binary, marks binary, counts binary, places binary")
+
+
+def _sent(data: np.ndarray, at: np.ndarray, size: np.ndarray, shard: np.ndarray, hashes: np.ndarray, places: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row for each shard; a content that occurs several times is sent once."""
+    marks = _marks(hashes, at, size)
+    # a content's anchor, and so its shard, is always the same
+    some, number = _distinct(data, at, size, marks ^ shard)
+    turn = np.argsort(shard[some], kind="stable")
+    rank = np.empty(len(some), np.int64)
+    rank[turn] = np.arange(len(some))
+    some, number = some[turn], rank[number]
+    places, counts = places[np.argsort(number, kind="stable")], np.bincount(number, minlength=len(some))
+    ends, upto = np.flatnonzero(np.r_[np.diff(shard[some]) != 0, len(some) > 0]) + 1, np.r_[0, np.cumsum(counts)]
+    rows, a = [], 0
+    for b in ends.tolist():
+        x = some[a:b]
+        rows.append((int(shard[x[0]]), data[_gather(at[x], size[x])].tobytes(), size[x].astype("<i4").tobytes(), marks[x].tobytes(),
+                     counts[a:b].astype("<i4").tobytes(), places[upto[a]:upto[b]].tobytes()))
+        a = b
+    columns = list(zip(*rows)) or [[]] * 6
+    yield pa.record_batch([pa.array(columns[0], pa.int64()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
+                          ["shard", "bytes", "sizes", "marks", "counts", "places"])
+
+
+def repeats_in_shard(data: np.ndarray, sizes: np.ndarray, marks: np.ndarray, counts: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
+    """Rows k1, k2, start, bytes of repeats, from stretches put together and all their places."""
+    starts = np.cumsum(sizes) - sizes
+    some, number = _distinct(data, starts, sizes, marks)
+    sizes, starts, owner = sizes[some], starts[some], np.repeat(number, counts)
+    order = np.lexsort((places[:, 2], places[:, 1], places[:, 0], owner))
+    owner, places = owner[order], places[order]
+    fresh = np.r_[True, (owner[1:] != owner[:-1]) | (places[1:] != places[:-1]).any(1)]
+    owner, places = owner[fresh], places[fresh]
+    lead = np.r_[True, owner[1:] != owner[:-1]]
+    lowest = places[lead]
+    # every window of a later place is in the first place too
+    later = np.column_stack([places[~lead], sizes[owner[~lead]]])
     # bytes of UTF-8 are below 248: one more leaves 0 to end a stretch
-    text = np.frombuffer(b"\xff".join(texts) + b"\xff", np.uint8) + np.uint8(1)
-    heads = np.cumsum([0, *[len(t) + 1 for t in texts[:-1]]])
-    of = np.repeat(np.arange(len(texts)), np.diff(np.r_[heads, len(text)]))
-    inside = np.arange(len(text)) - heads[of]
-    full = inside + length <= np.array([len(t) for t in texts])[of]
+    heads = np.cumsum(sizes + 1) - sizes - 1
+    text = np.zeros(int(sizes.sum()) + len(sizes), np.uint8)
+    text[_gather(heads, sizes)] = data[_gather(starts, sizes)] + np.uint8(1)
+    of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
+    inside = (np.arange(len(text)) - heads[of]).astype(np.int32)
+    full = inside + length <= sizes[of]
     repeated = np.zeros(len(text), bool)
     for at, shared in sorted_buckets(text, length):
-        same = np.r_[False, shared[1:] >= length] if len(at) else np.empty(0, bool)
-        group = np.cumsum(~same)
-        at_, group = at[full[at]].astype(np.int64), group[full[at]]
+        group = np.cumsum(np.r_[True, shared[1:] < length])
+        at, group = at[full[at]].astype(np.int64), group[full[at]]
         many = np.bincount(group)[group] > 1 if len(group) else np.empty(0, bool)
-        at_, group = at_[many], group[many]
-        if not len(at_):
-            continue
-        low = lowest[of[at_]]
-        start = low[:, 2] + inside[at_]
-        order = np.lexsort((start, low[:, 1], low[:, 0], group))
-        earliest = np.r_[True, group[order][1:] != group[order][:-1]]
-        repeated[at_[order][~earliest]] = True
+        at, group = at[many], group[many]
+        low = lowest[of[at]]
+        order = np.lexsort((low[:, 2] + inside[at], low[:, 1], low[:, 0], group))
+        group = group[order]
+        repeated[at[order][np.r_[False, group[1:] == group[:-1]][: len(group)]]] = True
     hit = np.flatnonzero(repeated)
-    run = np.flatnonzero(np.r_[True, (np.diff(hit) != 1) | (of[hit[1:]] != of[hit[:-1]])]) if len(hit) else hit
-    for a, b in zip(hit[run].tolist(), hit[np.r_[run[1:] - 1, len(hit) - 1]].tolist() if len(hit) else ()):
-        k1, k2, start = lowest[of[a]].tolist()
-        yield k1, k2, start + int(inside[a]), b - a + length
+    new = np.r_[True, (np.diff(hit) != 1) | (of[hit[1:]] != of[hit[:-1]])][: len(hit)]
+    a, b = hit[new], hit[np.r_[new[1:], True][: len(hit)]]
+    low = lowest[of[a]]
+    return np.concatenate([later, np.column_stack([low[:, 0], low[:, 1], low[:, 2] + inside[a], b - a + length])])
 
 
 def repeats(sent: DataFrame, length: int) -> DataFrame:
     """k1, k2, start, bytes: spans of repeats, which may overlap."""
     def sort_shard(table: pa.Table) -> pa.Table:
-        merged: dict[bytes, list[np.ndarray]] = {}
-        for stretch, places in zip(table.column("stretch").to_pylist(), table.column("places").to_pylist()):
-            merged.setdefault(stretch, []).append(np.frombuffer(places, np.int64).reshape(-1, 3))
-        rows = list(repeats_in_shard(list(merged), [np.concatenate(p) for p in merged.values()], length))
-        columns = list(zip(*rows)) or [[]] * 4
-        return pa.table([pa.array(c, pa.int64()) for c in columns], ["k1", "k2", "start", "bytes"])
+        read = lambda c, kind: np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
+        rows = repeats_in_shard(read("bytes", np.uint8), read("sizes", "<i4").astype(np.int64), read("marks", np.uint64),
+                                read("counts", "<i4"), read("places", np.int64).reshape(-1, 3), length)
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+        return pa.table([pa.array(rows[:, i], k) for i, k in enumerate(kinds)], ["k1", "k2", "start", "bytes"])
 
-    return sent.groupBy("shard").applyInArrow(sort_shard, "k1 long, k2 long, start long, bytes long")
+    return sent.groupBy("shard").applyInArrow(sort_shard, "k1 long, k2 int, start int, bytes int")
 
 
 def _spans(found: list | None) -> list[tuple[int, int]]:
@@ -239,7 +286,7 @@ def _spans(found: list | None) -> list[tuple[int, int]]:
 
 
 def _keys() -> list[Column]:
-    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("k1"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("k2")]
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("k1"), F.shiftright(F.xxhash64(F.coalesce("text", F.lit(""))), 32).cast("int").alias("k2")]
 
 
 def removed_spans(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
@@ -251,7 +298,7 @@ def removed_spans(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Dat
     dealt = keyed.repartition(shards, "k1", "k2")
     places = repeated_places(anchor_places(keyed, length))
     found = dealt.join(places, ["k1", "k2"]).select("k1", "k2", "text", "places")
-    spans = repeats(stretches(found, length, shards), length).distinct().groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "bytes")).alias("spans"))
+    spans = repeats(stretches(found, length, shards), length).groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "bytes")).alias("spans"))
     return dealt, spans
 
 
