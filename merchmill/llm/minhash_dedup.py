@@ -9,12 +9,12 @@ further apart than that: below one in 100,000 at the similarity threshold, and r
 
 Documents of one set are one node. In a first pass a bucket compares its rows with its leaders only, which
 joins large groups of near copies by few links. A second pass then compares the rows of a bucket that are
-still in different components, so no link is lost.
+still in different components, so no link is lost. Of those it leaves out the pairs that can't be similar
+enough by the spread of their shingles over 256 cells: sets differ by as much as their counts do at least.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from math import comb
 
@@ -24,12 +24,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchmill.llm.common import LOWER, UPPER, rows_of, stored
+from merchmill.llm.common import rows_of, stored
 from merchmill.llm.components import components
 
 PLACES = 4  # of a chunk
-_WORDS = re.compile(r"[^\x20\x09-\x0D]+")
-_LOWER = str.maketrans(UPPER, LOWER)
 _KNOWN_WORDS = 200_000  # hashes kept beside a task; only speed depends on it
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63,
                      0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
@@ -60,7 +58,7 @@ class Shingler:
         self.words, self.known = words, {}
 
     def __call__(self, text: str | None) -> np.ndarray:
-        found = _WORDS.findall(text.lower() if text.isascii() else text.translate(_LOWER)) if text else []
+        found = text.encode("utf-8", "replace").lower().split() if text else []  # of bytes, both know ASCII only
         if not found:
             return np.empty(0, np.uint64)
         if len(self.known) > _KNOWN_WORDS:
@@ -99,7 +97,7 @@ def _signatures(sets: list[np.ndarray], places: int) -> np.ndarray:
 
 
 def document_sets(docs: DataFrame, words: int, chunks: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (a digest of the set), signature; the last two null for an empty set."""
+    """doc_id, n_shingles, set_key (a digest of the set), signature, spread; the last three null for an empty set."""
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(words)
         for batch in rows_of(batches):
@@ -109,11 +107,12 @@ def document_sets(docs: DataFrame, words: int, chunks: int) -> DataFrame:
             yield pa.record_batch([
                 batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                pa.array([next(made).tobytes() if len(s) else None for s in sets], pa.binary())],
-                ["doc_id", "n_shingles", "set_key", "signature"])
+                pa.array([next(made).tobytes() if len(s) else None for s in sets], pa.binary()),
+                pa.array([_spread(s) if len(s) else None for s in sets], pa.binary())],
+                ["doc_id", "n_shingles", "set_key", "signature", "spread"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        features, "doc_id long, n_shingles long, set_key binary, signature binary")
+        features, "doc_id long, n_shingles long, set_key binary, signature binary, spread binary")
 
 
 def _index_rows(sets: DataFrame, chunks: int) -> DataFrame:
@@ -147,6 +146,18 @@ def _near(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, bucket:
     return fits & (first * PLACES + wrong == (bucket.astype(np.uint64) >> np.uint64(48)).astype(np.int64))
 
 
+def _spread(members: np.ndarray) -> bytes:
+    """How many members fall into each of 256 cells, up to 255."""
+    return np.minimum(np.bincount((members >> np.uint64(40)).astype(np.int64) & 255, minlength=256), 255).astype(np.uint8).tobytes()
+
+
+def _may_be_similar(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of spreads ``a`` and ``b`` may share enough: each cell's counts differ by members of one set only."""
+    apart = np.abs(a.astype(np.int16) - b.astype(np.int16)).sum(1, dtype=np.int64)
+    total = na.astype(np.int64) + nb
+    return 100 * (total - apart) >= percent * (total + apart)
+
+
 def _runs(batches: Iterator[pa.RecordBatch], least: int = 1 << 15) -> Iterator[pa.Table]:
     """Whole buckets, some at a time, of rows sorted by bucket."""
     held: list[pa.RecordBatch] = []
@@ -176,6 +187,7 @@ def _candidates(rows: DataFrame, chunks: int, percent: int, across: bool) -> Dat
             key, ids, n = (table.column(c).to_numpy() for c in ("bucket", "id", "n"))
             sig = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(len(key), -1)
             label = table.column("component").to_numpy() if across else ids
+            spread = np.frombuffer(b"".join(table.column("spread").to_pylist()), np.uint8).reshape(len(key), -1) if across else sig
             heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             size = np.diff(np.r_[heads, len(key)])
             found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -185,6 +197,9 @@ def _candidates(rows: DataFrame, chunks: int, percent: int, across: bool) -> Dat
                 for s in range(0, len(i), 1 << 14):
                     x, y = i[s:s + (1 << 14)], j[s:s + (1 << 14)]
                     near[s:s + (1 << 14)] = _near(sig[x], sig[y], n[x], n[y], key[x], chunks, percent, across)
+                    if across:
+                        at = s + np.flatnonzero(near[s:s + (1 << 14)])
+                        near[at] = _may_be_similar(spread[i[at]], spread[j[at]], n[i[at]], n[j[at]], percent)
                 found.append((ids[i[near]], ids[j[near]]))
                 return near
 
@@ -255,7 +270,9 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, miss: float
     first = components(near)
     labelled = together.join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
-    rest = _candidates(in_order(labelled.join(mixed, "bucket", "left_semi")), chunks, percent, True)
+    apart = stored(labelled.join(mixed, "bucket", "left_semi"), "mixed-buckets")
+    spread = nodes.select(F.col("doc_id").alias("id"), F.col("n_shingles").cast("int").alias("n"), "signature", "spread")
+    rest = _candidates(in_order(apart.join(spread, ["id", "n", "signature"])), chunks, percent, True)
     rest = stored(rest.join(near, ["a", "b"], "left_anti"), "rest-pairs")
     links = near.union(members)
     if not rest.isEmpty():
