@@ -10,8 +10,6 @@ fixed part of its places is masked and learnt, while scoring predicts every plac
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,10 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchmill.llm.common import LOWER, UPPER, rows_of
-
-_WORDS = re.compile(r"[^\x20\x09-\x0D]+")
-_LOWER = str.maketrans(UPPER, LOWER)
+from merchmill.llm.common import rows_of
 
 
 @dataclass(frozen=True)
@@ -52,27 +47,25 @@ def word_counts(docs: DataFrame) -> DataFrame:
             seen: Counter = Counter()
             for text in batch.column(0).to_pylist():
                 seen.update(_split(text))
-            yield pa.record_batch([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["word", "n"])
+            yield pa.record_batch([pa.array(seen.keys(), pa.binary()).cast(pa.string()), pa.array(seen.values(), pa.int64())], ["word", "n"])
 
     return docs.select(F.col("text").cast("string")).mapInArrow(words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _split(text: str | None) -> list[str]:
-    return _WORDS.findall(text.lower() if text.isascii() else text.translate(_LOWER)) if text else []
+def _split(text: str | None) -> list[bytes]:
+    return text.encode("utf-8", "replace").lower().split() if text else []  # of bytes, both know ASCII only
 
 
-def vocabulary(docs: DataFrame, shape: Shape) -> dict[str, int]:
+def vocabulary(docs: DataFrame, shape: Shape) -> dict[bytes, int]:
     """The most frequent words and their classes, spread over the groups by rank. Bounded by ``shape``."""
     top = word_counts(docs).orderBy(F.desc("n"), "word").limit(shape.classes - shape.hashed).collect()
-    return {r["word"]: shape.hashed + i for i, r in enumerate(top)}
+    return {r["word"].encode(): shape.hashed + i for i, r in enumerate(top)}
 
 
-def classes_of(text: str | None, known: dict[str, int], shape: Shape) -> np.ndarray:
-    words = _split(text)
-    out = np.fromiter((known.get(w, -1) for w in words), np.int32, len(words))
-    for i in np.flatnonzero(out < 0):
-        out[i] = zlib.crc32(words[i].encode("utf-8", "replace")) % shape.hashed
-    return out
+def classes_of(text: str | None, known: dict[bytes, int], shape: Shape) -> np.ndarray:
+    """Classes of the words; one that isn't known gets a class by its length and its outer bytes."""
+    words, n = _split(text), shape.hashed
+    return np.array([known[w] if w in known else (31 * w[0] + 7 * w[-1] + len(w)) % n for w in words], np.int32)
 
 
 def new_network(shape: Shape) -> dict[str, np.ndarray]:
@@ -136,7 +129,7 @@ def log_probabilities(net: dict[str, np.ndarray], target: np.ndarray, around: np
     return out
 
 
-def train_round(docs: DataFrame, net: dict[str, np.ndarray], known: dict[str, int], shape: Shape) -> dict[str, np.ndarray]:
+def train_round(docs: DataFrame, net: dict[str, np.ndarray], known: dict[bytes, int], shape: Shape) -> dict[str, np.ndarray]:
     """Average, over all tasks, of copies of ``net`` that each learnt the task's documents."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((net, known))  # both bounded by ``shape``
@@ -186,7 +179,7 @@ def train_round(docs: DataFrame, net: dict[str, np.ndarray], known: dict[str, in
     return {k: done[k].reshape(v.shape).astype(np.float32) if k in done else v for k, v in net.items()}
 
 
-def train(docs: DataFrame, shape: Shape = Shape()) -> tuple[dict[str, np.ndarray], dict[str, int]]:
+def train(docs: DataFrame, shape: Shape = Shape()) -> tuple[dict[str, np.ndarray], dict[bytes, int]]:
     """(network, vocabulary) learnt from all rows of ``docs``; no words give the untrained network."""
     known, net = vocabulary(docs, shape), new_network(shape)
     for r in range(shape.rounds):
@@ -195,7 +188,7 @@ def train(docs: DataFrame, shape: Shape = Shape()) -> tuple[dict[str, np.ndarray
     return net, known
 
 
-def score(docs: DataFrame, net: dict[str, np.ndarray], known: dict[str, int], shape: Shape = Shape()) -> DataFrame:
+def score(docs: DataFrame, net: dict[str, np.ndarray], known: dict[bytes, int], shape: Shape = Shape()) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, log_likelihood (summed), mean_log_likelihood.
 
     Whole texts are scored. A text without words (null, empty, blank) has 0 tokens, a sum of 0 and a null
@@ -210,7 +203,7 @@ def score(docs: DataFrame, net: dict[str, np.ndarray], known: dict[str, int], sh
             sums, full = np.zeros(len(found)), [i for i, d in enumerate(found) if len(d)]
             if full:
                 target, around = contexts([found[i] for i in full], shape)
-                logs = np.concatenate([log_probabilities(weights, target[s:s + 4 * shape.batch], around[s:s + 4 * shape.batch], shape) for s in range(0, len(target), 4 * shape.batch)])
+                logs = np.concatenate([log_probabilities(weights, target[s:s + shape.batch], around[s:s + shape.batch], shape) for s in range(0, len(target), shape.batch)])
                 heads = np.cumsum([0, *[len(found[i]) for i in full[:-1]]])
                 sums[full] = np.add.reduceat(logs.astype(np.float64), heads)
             n = np.array([len(d) for d in found], np.int64)
