@@ -1,24 +1,32 @@
 """Masked pseudo-likelihood scores from a bidirectional window network, trained in numpy.
 
 The network sees the words on both sides of a place and predicts the word there; a document's score is the
-sum of the log-probabilities of all its words, each given its neighbours. Words are the most frequent ones
-of the whole corpus, the others share hashed classes. The output is a two-level softmax: a group of words,
-then a word of the group. Training is data-parallel: in each round every task trains a copy on its share of
+sum of the log-probabilities of all its words, each given its neighbours. The most frequent words of the
+whole corpus are classes of their own, the others share hashed classes; the network predicts the class, and
+a word of a shared class has its probability within the class from the word counts of the whole corpus, a
+table that is joined. The output is a two-level softmax: a group of classes, then a class of it. Training is data-parallel: in each round every task trains a copy on its share of
 the documents, and the copies are averaged by their number of words. Each document is trained on once; a
 fixed part of its places is masked and learnt, while scoring predicts every place.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress, count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchmill.llm.common import rows_of
+from merchmill.llm.common import rows_of, stored
+
+#: So many words outside the vocabulary, or a batch with more, are looked up together.
+CHUNK = 1 << 20
+#: The log-probability of a byte, or of the end, in the spelling of a word that the corpus doesn't have.
+PER_BYTE = -np.log(257)
 
 
 @dataclass(frozen=True)
@@ -56,18 +64,41 @@ def _split(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").lower().split() if text else []  # of bytes, both know ASCII only
 
 
-def vocabulary(docs: DataFrame, shape: Shape) -> dict[bytes, int]:
+def vocabulary(counts: DataFrame, shape: Shape) -> dict[bytes, int]:
     """The most frequent words and their classes, spread over the groups by rank. Bounded by ``shape``."""
-    top = word_counts(docs).orderBy(F.desc("n"), "word").limit(shape.classes - shape.hashed).collect()
+    top = counts.orderBy(F.desc("n"), "word").limit(shape.classes - shape.hashed).collect()
     return {r["word"].encode(): shape.hashed + i for i, r in enumerate(top)}
 
 
 def classes_of(text: str | None, known: dict[bytes, int], shape: Shape) -> np.ndarray:
     """Classes of the words; one that isn't known gets a class by its length and its outer bytes."""
-    words, n = _split(text), shape.hashed
+    return _classes(_split(text), known, shape)
+
+
+def _classes(words: list[bytes], known: dict[bytes, int], shape: Shape) -> np.ndarray:
+    n = shape.hashed
     return np.array([known[w] if w in known else (31 * w[0] + 7 * w[-1] + len(w)) % n for w in words], np.int32)
 
 
+def shared_totals(counts: DataFrame, known: dict[bytes, int], shape: Shape) -> tuple[np.ndarray, np.ndarray]:
+    """(occurrences, different words) of each shared class over the whole of ``counts``."""
+    shared = counts.sparkSession.sparkContext.broadcast(known)
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, shape.classes), np.int64)
+        for batch in rows_of(batches, 4096):
+            at = _classes([w.encode() for w in batch.column(0).to_pylist()], shared.value, shape)
+            np.add.at(sums[0], at, batch.column(1).to_numpy(zero_copy_only=False))
+            sums[1] += np.bincount(at, minlength=shape.classes)
+        yield pa.record_batch([pa.array(np.arange(shape.hashed)), *map(pa.array, sums[:, :shape.hashed])], ["class", "n", "words"])
+
+    rows = counts.select("word", "n").mapInArrow(totals, "class long, n long, words long").groupBy("class").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).collect()
+    out = np.zeros((2, shape.hashed), np.int64)
+    for r in rows:
+        out[:, r["class"]] = r["n"], r["words"]
+    return out[0], out[1]
+
+
 def new_network(shape: Shape) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(shape.seed)
     normal = lambda *s: rng.normal(0, 0.1, s).astype(np.float32)
@@ -179,41 +210,115 @@ def train_round(docs: DataFrame, net: dict[str, np.ndarray], known: dict[bytes,
     return {k: done[k].reshape(v.shape).astype(np.float32) if k in done else v for k, v in net.items()}
 
 
-def train(docs: DataFrame, shape: Shape = Shape()) -> tuple[dict[str, np.ndarray], dict[bytes, int]]:
-    """(network, vocabulary) learnt from all rows of ``docs``; no words give the untrained network."""
-    known, net = vocabulary(docs, shape), new_network(shape)
+def train(docs: DataFrame, shape: Shape = Shape(), counts: DataFrame | None = None) -> tuple[dict[str, np.ndarray], dict[bytes, int]]:
+    """(network, vocabulary) learnt from all rows of ``docs``; no words give the untrained network. ``counts``: ``word_counts`` of them."""
+    known, net = vocabulary(word_counts(docs) if counts is None else counts, shape), new_network(shape)
     for r in range(shape.rounds):
         share = docs.where(F.pmod(F.xxhash64("text"), F.lit(shape.rounds)) == r)
         net = train_round(share, net, known, shape)
     return net, known
 
 
-def score(docs: DataFrame, net: dict[str, np.ndarray], known: dict[bytes, int], shape: Shape = Shape()) -> DataFrame:
+def _class_sums(classes: list[np.ndarray], net: dict[str, np.ndarray], shape: Shape, less: np.ndarray | None = None) -> np.ndarray:
+    """The summed log-probabilities of each document's classes, each lowered by its entry in ``less``."""
+    sums, full = np.zeros(len(classes)), [i for i, d in enumerate(classes) if len(d)]
+    if full:
+        target, around = contexts([classes[i] for i in full], shape)
+        logs = np.concatenate([log_probabilities(net, target[s:s + shape.batch], around[s:s + shape.batch], shape) for s in range(0, len(target), shape.batch)]).astype(np.float64)
+        heads = np.cumsum([0, *[len(classes[i]) for i in full[:-1]]])
+        sums[full] = np.add.reduceat(logs if less is None else logs - less[target], heads)
+    return sums
+
+
+def _scores(ids: pa.Array, n: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch([ids, pa.array(n), pa.array(sums), pa.array(sums / np.maximum(n, 1), mask=n == 0)],
+                           ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
+
+
+SCORES = "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double"
+
+
+def score(docs: DataFrame, net: dict[str, np.ndarray], known: dict[bytes, int], shape: Shape = Shape(), counts: DataFrame | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, log_likelihood (summed), mean_log_likelihood.
 
     Whole texts are scored. A text without words (null, empty, blank) has 0 tokens, a sum of 0 and a null
-    mean. Rows of equal texts get equal scores. Only doc_id and text are read.
+    mean. Rows of equal texts get equal scores. Only doc_id and text are read. Without ``counts``, the
+    corpus' ``word_counts``, these are the log-probabilities of the classes alone.
     """
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    if counts is not None:
+        return _score_words(texts, net, known, shape, counts)
     shared = docs.sparkSession.sparkContext.broadcast((net, known))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, words = shared.value
         for batch in rows_of(batches, 128):
             found = [classes_of(t, words, shape) for t in batch.column(1).to_pylist()]
-            sums, full = np.zeros(len(found)), [i for i, d in enumerate(found) if len(d)]
-            if full:
-                target, around = contexts([found[i] for i in full], shape)
-                logs = np.concatenate([log_probabilities(weights, target[s:s + shape.batch], around[s:s + shape.batch], shape) for s in range(0, len(target), shape.batch)])
-                heads = np.cumsum([0, *[len(found[i]) for i in full[:-1]]])
-                sums[full] = np.add.reduceat(logs.astype(np.float64), heads)
-            n = np.array([len(d) for d in found], np.int64)
-            yield pa.record_batch([batch.column(0), pa.array(n), pa.array(sums), pa.array(sums / np.maximum(n, 1), mask=n == 0)],
-                                  ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
+            yield _scores(batch.column(0), np.array([len(d) for d in found], np.int64), _class_sums(found, weights, shape))
+
+    return texts.mapInArrow(scored, SCORES)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        scored, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double")
+
+def _score_words(texts: DataFrame, net: dict[str, np.ndarray], known: dict[bytes, int], shape: Shape, counts: DataFrame) -> DataFrame:
+    """Scores of words: log P(class | neighbours) + log P(word | class) at each place.
+
+    Within a shared class of N occurrences of T different words, a word seen n times has n / (N + T), and all
+    words that the corpus doesn't have T / (N + T), times the probability of their spelling. Documents are taken
+    in chunks; the different words of a chunk are joined with the counts, and their logarithms go back to it.
+    """
+    n_shared, t_shared = shared_totals(counts, known, shape)
+    less, new = np.zeros(shape.classes), np.log(np.maximum(t_shared, 1))
+    less[:shape.hashed] = np.log(np.maximum(n_shared + t_shared, 1))
+    shared = texts.sparkSession.sparkContext.broadcast((net, known, less, new))
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, words, lowered, unseen = shared.value
+        names = ["ids", "tokens", "sums", "rare", "places", "words", "unseen"]
+
+        def chunk(held: list[tuple], index: dict[bytes, int]) -> pa.RecordBatch:
+            ids, tokens, sums, rare, places = zip(*held)
+            of = _classes(list(index), words, shape)
+            spelt = unseen[of] + PER_BYTE * (np.fromiter(map(len, index), np.int64, len(index)) + 1)
+            columns = [pa.concat_arrays(ids), *[pa.array(np.concatenate(x)) for x in (tokens, sums, rare, places)],
+                       pa.array(index.keys(), pa.binary()).cast(pa.string()), pa.array(spelt)]
+            return pa.record_batch([pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns], names)
+
+        held, size, index = [], 0, defaultdict(count().__next__)
+        for batch in rows_of(batches, 128):
+            split = [_split(t) for t in batch.column(1).to_pylist()]
+            found = [_classes(x, words, shape) for x in split]
+            outside = [list(compress(x, (c < shape.hashed).tolist())) for x, c in zip(split, found)]
+            held.append((batch.column(0), np.array([len(d) for d in found], np.int64), _class_sums(found, weights, shape, lowered),
+                         np.array([len(x) for x in outside], np.int32),
+                         np.fromiter((index[w] for x in outside for w in x), np.int32)))
+            size += len(held[-1][-1]) + batch.num_rows
+            if size >= CHUNK:
+                yield chunk(held, index)
+                held, size, index = [], 0, defaultdict(count().__next__)
+        if held:
+            yield chunk(held, index)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows_of(batches, 1):
+            ids, tokens, sums, rare, places, at, logs = [c.flatten() for c in batch.columns]
+            n, sums, rare = tokens.to_numpy(), sums.to_numpy().copy(), rare.to_numpy()
+            if len(at):
+                by_word = np.empty(len(at))
+                by_word[at.to_numpy()] = logs.to_numpy()
+                full = np.flatnonzero(rare)
+                sums[full] += np.add.reduceat(by_word[places.to_numpy()], (np.cumsum(rare) - rare)[full])
+            yield _scores(ids, n, sums)
+
+    lists = "ids array<long>, tokens array<long>, sums array<double>, rare array<int>, places array<int>"
+    table = stored(texts.mapInArrow(chunks, f"{lists}, words array<string>, unseen array<double>").withColumn("chunk", F.monotonically_increasing_id()), "lm-chunks")
+    wanted = table.select("chunk", F.posexplode(F.arrays_zip("words", "unseen")).alias("at", "w")).select("chunk", "at", "w.words", "w.unseen")
+    logs = wanted.join(counts.select(F.col("word").alias("words"), F.log("n").alias("seen")), "words", "left").select("chunk", "at", F.coalesce("seen", "unseen").alias("log"))
+    back = logs.groupBy("chunk").agg(F.collect_list(F.struct("at", "log")).alias("l"))  # of one chunk, so bounded
+    return table.drop("words", "unseen").join(back, "chunk", "left").select(
+        *[x.split()[0] for x in lists.split(", ")], F.coalesce(F.col("l.at"), F.array().cast("array<int>")).alias("at"), F.coalesce(F.col("l.log"), F.array().cast("array<double>")).alias("log")).mapInArrow(summed, SCORES)
 
 
 def pseudo_likelihood(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
     """Train on all of ``docs`` and score each of its rows, see ``score``."""
-    return score(docs, *train(docs, shape), shape)
+    counts = stored(word_counts(docs), "lm-words")
+    return score(docs, *train(docs, shape, counts), shape, counts)

@@ -86,3 +86,40 @@ def test_words_of_all_documents_are_counted(spark):
     got = {r.word: r.n for r in lm.word_counts(docs).collect()}
     want = Counter(w.decode() for r in docs.collect() for w in lm._split(r.text))
     assert got == want
+
+
+def test_each_word_of_a_shared_class_has_its_own_probability(spark, monkeypatch):
+    monkeypatch.setattr(lm, "CHUNK", 50)  # so that there are many chunks
+    docs = frame(spark, [(i, t + " rare" * (i % 3) + f" only{i % 40}") for i, t in enumerate(sentences(60))] + ODD)
+    counts = lm.word_counts(docs)
+    net, known = lm.train(docs, SHAPE, counts)
+    n = {r.word.encode(): r.n for r in counts.collect()}
+    total, different = Counter(), Counter()
+    for w in n.keys() - known.keys():
+        c = int(lm.classes_of(w.decode(), known, SHAPE)[0])
+        total[c] += n[w]
+        different[c] += 1
+
+    def of_word(w):
+        if w in known:
+            return 0.0
+        c = int(lm.classes_of(w.decode(), known, SHAPE)[0])
+        all_of = math.log(total[c] + different[c])
+        return math.log(n[w]) - all_of if w in n else math.log(different[c]) - all_of - (len(w) + 1) * math.log(257)
+
+    new = docs.union(frame(spark, [(2000, "the unheard-of cat"), (2001, "the rare cat")]).select(docs.columns))
+    words = {r.doc_id: r for r in lm.score(new, net, known, SHAPE, counts).collect()}
+    classes = {r.doc_id: r for r in lm.score(new, net, known, SHAPE).collect()}
+    assert len(words) == len(classes) and lm.score(new, net, known, SHAPE, counts).count() == new.count()
+    for r in new.collect():
+        got, split = words[r.doc_id], lm._split(r.text)
+        assert got.n_tokens == len(split)
+        assert got.log_likelihood == pytest.approx(classes[r.doc_id].log_likelihood + sum(map(of_word, split)), rel=1e-6, abs=1e-6)
+        assert got.mean_log_likelihood == (pytest.approx(got.log_likelihood / got.n_tokens) if split else None)
+
+
+def test_rare_and_frequent_words_of_a_class_score_differently(spark):
+    docs = frame(spark, [(i, t) for i, t in enumerate(sentences(60))] + [(100 + i, "the zebra sat") for i in range(9)] + [(200, "the zeira sat")])
+    shape = lm.Shape(groups=3, width=6, hashed=1, rounds=1, batch=64, masked=1)  # one shared class
+    scores = {r.doc_id: r.log_likelihood for r in lm.pseudo_likelihood(docs, shape).collect()}
+    assert scores[100] - scores[200] == pytest.approx(math.log(9), abs=1e-4)
