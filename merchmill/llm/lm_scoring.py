@@ -15,6 +15,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import compress, count
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,8 @@ from merchmill.llm.common import rows_of, stored
 
 #: So many words outside the vocabulary, or a batch with more, are looked up together.
 CHUNK = 1 << 20
+#: Words whose hashed class a task remembers.
+KEPT = 1 << 17
 #: The log-probability of a byte, or of the end, in the spelling of a word that the corpus doesn't have.
 PER_BYTE = -np.log(257)
 
@@ -70,14 +73,26 @@ def vocabulary(counts: DataFrame, shape: Shape) -> dict[bytes, int]:
     return {r["word"].encode(): shape.hashed + i for i, r in enumerate(top)}
 
 
-def classes_of(text: str | None, known: dict[bytes, int], shape: Shape) -> np.ndarray:
-    """Classes of the words; one that isn't known gets a class by its length and its outer bytes."""
-    return _classes(_split(text), known, shape)
+class Classes(dict):
+    """word -> class: that of the vocabulary, else by a hash of the whole word."""
+
+    def __init__(self, known: dict[bytes, int], shape: Shape) -> None:
+        super().__init__(known)
+        self.hashed, self.most = shape.hashed, len(known) + KEPT
+
+    def __missing__(self, word: bytes) -> int:
+        c = crc32(word) % self.hashed
+        if len(self) < self.most:
+            self[word] = c
+        return c
 
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
-def _classes(words: list[bytes], known: dict[bytes, int], shape: Shape) -> np.ndarray:
-    n = shape.hashed
-    return np.array([known[w] if w in known else (31 * w[0] + 7 * w[-1] + len(w)) % n for w in words], np.int32)
+
+def classes_of(text: str | None, known: dict[bytes, int], shape: Shape) -> np.ndarray:
+    """Classes of the words; one that isn't known gets a class by a hash of all its bytes."""
+    return (known if isinstance(known, Classes) else Classes(known, shape)).of(_split(text))
 
 
 def shared_totals(counts: DataFrame, known: dict[bytes, int], shape: Shape) -> tuple[np.ndarray, np.ndarray]:
@@ -85,9 +100,9 @@ def shared_totals(counts: DataFrame, known: dict[bytes, int], shape: Shape) -> t
     shared = counts.sparkSession.sparkContext.broadcast(known)
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, shape.classes), np.int64)
+        sums, classes = np.zeros((2, shape.classes), np.int64), Classes(shared.value, shape)
         for batch in rows_of(batches, 4096):
-            at = _classes([w.encode() for w in batch.column(0).to_pylist()], shared.value, shape)
+            at = classes.of([w.encode() for w in batch.column(0).to_pylist()])
             np.add.at(sums[0], at, batch.column(1).to_numpy(zero_copy_only=False))
             sums[1] += np.bincount(at, minlength=shape.classes)
         yield pa.record_batch([pa.array(np.arange(shape.hashed)), *map(pa.array, sums[:, :shape.hashed])], ["class", "n", "words"])
@@ -168,6 +183,7 @@ def train_round(docs: DataFrame, net: dict[str, np.ndarray], known: dict[bytes,
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, words = shared.value
+        words = Classes(words, shape)
         own, places = {k: v.copy() for k, v in start.items()}, 0
         held: list[np.ndarray] = []
 
@@ -252,6 +268,7 @@ def score(docs: DataFrame, net: dict[str, np.ndarray], known: dict[bytes, int],
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, words = shared.value
+        words = Classes(words, shape)
         for batch in rows_of(batches, 128):
             found = [classes_of(t, words, shape) for t in batch.column(1).to_pylist()]
             yield _scores(batch.column(0), np.array([len(d) for d in found], np.int64), _class_sums(found, weights, shape))
@@ -273,11 +290,12 @@ def _score_words(texts: DataFrame, net: dict[str, np.ndarray], known: dict[bytes
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, words, lowered, unseen = shared.value
+        words = Classes(words, shape)
         names = ["ids", "tokens", "sums", "rare", "places", "words", "unseen"]
 
         def chunk(held: list[tuple], index: dict[bytes, int]) -> pa.RecordBatch:
             ids, tokens, sums, rare, places = zip(*held)
-            of = _classes(list(index), words, shape)
+            of = words.of(list(index))
             spelt = unseen[of] + PER_BYTE * (np.fromiter(map(len, index), np.int64, len(index)) + 1)
             columns = [pa.concat_arrays(ids), *[pa.array(np.concatenate(x)) for x in (tokens, sums, rare, places)],
                        pa.array(index.keys(), pa.binary()).cast(pa.string()), pa.array(spelt)]
@@ -286,7 +304,7 @@ def _score_words(texts: DataFrame, net: dict[str, np.ndarray], known: dict[bytes
         held, size, index = [], 0, defaultdict(count().__next__)
         for batch in rows_of(batches, 128):
             split = [_split(t) for t in batch.column(1).to_pylist()]
-            found = [_classes(x, words, shape) for x in split]
+            found = [words.of(x) for x in split]
             outside = [list(compress(x, (c < shape.hashed).tolist())) for x, c in zip(split, found)]
             held.append((batch.column(0), np.array([len(d) for d in found], np.int64), _class_sums(found, weights, shape, lowered),
                          np.array([len(x) for x in outside], np.int32),

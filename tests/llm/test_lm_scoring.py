@@ -1,3 +1,4 @@
+import itertools
 import math
 from collections import Counter
 
@@ -123,3 +124,11 @@ def test_rare_and_frequent_words_of_a_class_score_differently(spark):
     shape = lm.Shape(groups=3, width=6, hashed=1, rounds=1, batch=64, masked=1)  # one shared class
     scores = {r.doc_id: r.log_likelihood for r in lm.pseudo_likelihood(docs, shape).collect()}
     assert scores[100] - scores[200] == pytest.approx(math.log(9), abs=1e-4)
+
+
+def test_all_bytes_of_a_word_decide_its_shared_class():
+    shape = lm.Shape()
+    inner = ["t" + "".join(p) + "y" for p in itertools.permutations("hinlegb")]  # alike in start, end and length
+    sizes = Counter(lm.classes_of(" ".join(inner), {}, shape).tolist())
+    assert len(sizes) == shape.hashed and max(sizes.values()) < 2 * len(inner) / shape.hashed
+    assert lm.classes_of("thinly", {}, shape) == lm.classes_of("THINLY", {}, shape) != lm.classes_of("tlnihy", {}, shape)
