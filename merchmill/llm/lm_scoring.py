@@ -5,8 +5,8 @@ sum of the log-probabilities of all its words, each given its neighbours. The mo
 whole corpus are classes of their own, the others share hashed classes; the network predicts the class, and
 a word of a shared class has its probability within the class from the word counts of the whole corpus, a
 table that is joined. The output is a two-level softmax: a group of classes, then a class of it. Training is data-parallel: in each round every task trains a copy on its share of
-the documents, and the copies are averaged by their number of words. Each document is trained on once; a
-fixed part of its places is masked and learnt, while scoring predicts every place.
+the documents, and the copies are averaged by their number of words. Every place of every
+document is learnt once, in steps that each mask a part of the places, and every place is scored.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ class Shape:
     width: int = 16  # of an embedding
     hashed: int = 128  # classes of words that aren't among the most frequent
     rounds: int = 2  # of training; a document belongs to one
-    masked: int = 4  # one place in so many is learnt
+    masked: int = 4  # a step masks one place in so many of a lot of documents; the lot's steps mask all
     rate: float = 0.5
     batch: int = 8192  # places in a step of training
     seed: int = 11
@@ -132,46 +132,55 @@ def contexts(documents: list[np.ndarray], shape: Shape) -> tuple[np.ndarray, np.
     return flat[here], np.stack([flat[here + o] for o in offsets], axis=1)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x: np.ndarray, at: np.ndarray, learn: float) -> np.ndarray:
+    """Log-probability of row at[i] in column i of ``x``; with ``learn``, ``x`` becomes the gradient of their sum."""
+    here = np.arange(len(at))
+    x -= x.max(axis=0)
+    out = x[at, here]
+    total = np.exp(x, out=x).sum(axis=0)
+    if learn:
+        x /= -total
+        x[at, here] += 1
+    return out - np.log(total)
 
 
 def log_probabilities(net: dict[str, np.ndarray], target: np.ndarray, around: np.ndarray, shape: Shape, learn: float = 0.0) -> np.ndarray:
     """Log-probability of each target; with ``learn`` also one step of gradient ascent on ``net``."""
     n = len(target)
-    h = np.tanh(sum(net["seen"][j][around[:, j]] for j in range(around.shape[1])) + net["hidden"])
-    group, word = target // shape.groups, target % shape.groups
-    by_group = _log_softmax(h @ net["group"] + net["group_bias"])
-    out = by_group[np.arange(n), group]
+    order = np.argsort((target // shape.groups).astype(np.min_scalar_type(shape.groups)), kind="stable")  # small integers: by radix
+    (group, word), around = np.divmod(target[order], shape.groups), around.take(order, axis=0)
+    h = net["seen"][0].take(around[:, 0], axis=0)
+    for j in range(1, around.shape[1]):
+        h += net["seen"][j].take(around[:, j], axis=0)
+    h += net["hidden"]
+    np.tanh(h, out=h)
+    d = net["group"].T @ h.T + net["group_bias"][:, None]  # a column for each place
+    logs = _softmax(d, group, learn)
     step = learn / max(n, 1)
     if learn:
-        d = -np.exp(by_group)
-        d[np.arange(n), group] += 1
-        dh = d @ net["group"].T
-        net["group"] += step * 4 * (h.T @ d)
-        net["group_bias"] += step * 4 * d.sum(0)
-    order = np.argsort(group, kind="stable")
-    ends = np.searchsorted(group[order], np.arange(shape.groups + 1))
+        dh = d.T @ net["group"].T
+        net["group"] += step * 4 * (d @ h).T
+        net["group_bias"] += step * 4 * d.sum(axis=1)
+    ends = np.searchsorted(group, np.arange(shape.groups + 1))
     for g in range(shape.groups):
-        rows = order[ends[g]:ends[g + 1]]
-        if not len(rows):
+        a, b = ends[g], ends[g + 1]
+        if a == b:
             continue
-        inside = _log_softmax(h[rows] @ net["word"][g] + net["word_bias"][g])
-        out[rows] += inside[np.arange(len(rows)), word[rows]]
+        d = net["word"][g].T @ h[a:b].T + net["word_bias"][g][:, None]
+        logs[a:b] += _softmax(d, word[a:b], learn)
         if learn:
-            d = -np.exp(inside)
-            d[np.arange(len(rows)), word[rows]] += 1
-            dh[rows] += d @ net["word"][g].T
-            net["word"][g] += step * 8 * (h[rows].T @ d)
-            net["word_bias"][g] += step * 8 * d.sum(0)
+            dh[a:b] += d.T @ net["word"][g].T
+            net["word"][g] += step * 8 * (d @ h[a:b]).T
+            net["word_bias"][g] += step * 8 * d.sum(axis=1)
     if learn:
         dh *= 1 - h * h
-        net["hidden"] += step * dh.sum(0)
-        for j in range(around.shape[1]):  # sum the steps of equal words
-            order = np.argsort(around[:, j], kind="stable")
-            seen, heads = np.unique(around[order, j], return_index=True)
-            net["seen"][j][seen] += step * 16 * np.add.reduceat(dh[order], heads, axis=0)
+        net["hidden"] += step * dh.sum(axis=0)
+        column, steps = np.arange(h.shape[1]), step * 16 * dh.ravel().astype(np.float64)
+        for j, seen in enumerate(net["seen"]):  # sum the steps of equal words
+            cells = around[:, j].astype(np.int64)[:, None] * h.shape[1] + column
+            seen += np.bincount(cells.ravel(), steps, seen.size).reshape(seen.shape)
+    out = np.empty_like(logs)
+    out[order] = logs
     return out
 
 
@@ -185,12 +194,12 @@ def train_round(docs: DataFrame, net: dict[str, np.ndarray], known: dict[bytes,
         start, words = shared.value
         words = Classes(words, shape)
         own, places = {k: v.copy() for k, v in start.items()}, 0
-        held: list[np.ndarray] = []
+        held, rng = [], np.random.default_rng(shape.seed)
 
         def step(documents: list[np.ndarray]) -> int:
             target, around = contexts(documents, shape)
-            chosen = np.arange(len(target)) % shape.masked == shape.seed % shape.masked
-            target, around = target[chosen], around[chosen]
+            mixed = rng.permutation(len(target))  # each place is in one step
+            target, around = target[mixed], around.take(mixed, axis=0)
             for s in range(0, len(target), shape.batch):
                 log_probabilities(own, target[s:s + shape.batch], around[s:s + shape.batch], shape, shape.rate)
             return len(target)

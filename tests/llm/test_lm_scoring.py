@@ -132,3 +132,14 @@ def test_all_bytes_of_a_word_decide_its_shared_class():
     sizes = Counter(lm.classes_of(" ".join(inner), {}, shape).tolist())
     assert len(sizes) == shape.hashed and max(sizes.values()) < 2 * len(inner) / shape.hashed
     assert lm.classes_of("thinly", {}, shape) == lm.classes_of("THINLY", {}, shape) != lm.classes_of("tlnihy", {}, shape)
+
+
+def test_every_place_is_learnt_in_the_production_setting(spark):
+    docs = frame(spark, [(i, "one two three four " * 20) for i in range(2400)])  # one place in four always has the same word
+    shape = lm.Shape()
+    net, known = lm.train(docs, shape)
+    for word in ("one", "two", "three", "four"):
+        target, around = lm.contexts([lm.classes_of(docs.first().text, known, shape)], shape)
+        at = target == known[word.encode()]
+        learnt, at_first = (lm.log_probabilities(n, target, around, shape)[at].mean() for n in (net, lm.new_network(shape)))
+        assert learnt > at_first + 1, word
