@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from merchmill.llm import (exact_dedup, lm_scoring, minhash_dedup, packing, quality_classifier, quality_rules, suffix_dedup,
-                           token_counts, unigram_pieces, warc)
+                           token_counts, token_store, unigram_pieces, warc)
 from merchmill.llm.common import shared_path, table
 
 
@@ -53,9 +53,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op11_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.round_trip(table(spark, sf_dir, "documents"), shared_path(spark, "token-store")).drop("copy", "shard")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_lm_scoring, op2_exact_dedup, op3_best_fit_packing, op4_quality_classifier, op5_unigram_pieces, op6_suffix_dedup, op7_warc, op8_quality_rules, op9_minhash_near_dedup, op10_token_counts)
+        op1_lm_scoring, op2_exact_dedup, op3_best_fit_packing, op4_quality_classifier, op5_unigram_pieces, op6_suffix_dedup, op7_warc, op8_quality_rules, op9_minhash_near_dedup, op10_token_counts,
+        op11_token_store)
 }
 
 ORACLES: dict[str, str] = {

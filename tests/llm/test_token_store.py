@@ -1,0 +1,119 @@
+import zlib
+from itertools import accumulate
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from merchmill.llm import token_store
+from merchmill.llm.common import shared_path, vocabulary_paths
+
+TEXTS = ["", None, "one two", "x <|endoftext|> y", "! and !! is id 0", "né 你好 🙂 İ", "\x00\x1f odd", "a" * 9000, "word " * 30000, "tail  "]
+
+
+def docs_of(spark):
+    rows = [(3 * i - 5, t, i, "p") for i, t in enumerate(TEXTS)] + [(1, "one two", 0, "q")] * 40 + [(1, "other", 0, "q"), (None, "no key", 1, "r"), (None, None, 1, "r")]
+    return spark.createDataFrame(rows, "doc_id long, text string, n_tokens int, shard string").repartition(5)
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(vocabulary_paths()[0])
+
+
+def ids_of(tokenizer, text):
+    return np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+
+
+def expected(rows, tokenizer):
+    """Per doc_id the sorted (n_tokens, crc) of its rows, and the span of ids that they fill."""
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    ids = [ids_of(tokenizer, r[1]) for r in order]
+    ends = list(accumulate(map(len, ids)))
+    want = {}
+    for (doc, _), i, end in zip(order, ids, ends):
+        first, last, sums = want.get(doc, (end - len(i), 0, []))
+        want[doc] = (first, end, sorted([*sums, (len(i), zlib.crc32(i.tobytes()))]))
+    return want
+
+
+def check(got, want):
+    by_doc = {}
+    for r in got:
+        by_doc.setdefault(r.doc_id, []).append(r)
+    assert set(by_doc) == set(want)
+    for doc, rows in by_doc.items():
+        rows.sort(key=lambda r: r.start)
+        assert sorted(r.copy for r in rows) == list(range(len(rows)))
+        assert [r.start for r in rows] == [want[doc][0] + s for s in accumulate([0] + [r.n_tokens for r in rows[:-1]])]
+        assert rows[-1].start + rows[-1].n_tokens == want[doc][1]
+        assert sorted((r.n_tokens, r.ids_crc32) for r in rows) == want[doc][2]
+
+
+@pytest.fixture
+def many_shards(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_round_trip(spark, tokenizer, many_shards):
+    docs = docs_of(spark)
+    got = token_store.round_trip(docs, shared_path(spark, "test-store")).collect()
+    check(got, expected([(r.doc_id, r.text) for r in docs.collect()], tokenizer))
+    assert len({r.shard for r in got}) > 1  # copies and starts go on from shard to shard
+
+
+def test_lookup_reads_ids_and_misses_unknown_keys(spark, tokenizer, monkeypatch):
+    monkeypatch.setattr(token_store, "BUCKET", 4)
+    path, width = shared_path(spark, "test-store"), token_store.id_width(vocabulary_paths()[0])
+    assert width == 2
+    token_store.write_store(docs_of(spark), path)
+    index = spark.read.parquet(f"{path}/index").collect()
+    assert len(index) > 4 and sum(r.n for r in index) == docs_of(spark).count()
+    keys = spark.createDataFrame([(-5, 0), (19, 0), (19, 1), (16, 0), (1, 41), (1, 42), (2, 0), (None, 1), (4, 0), (4, 0)], "doc_id long, copy long")
+    got = token_store.read_ids(token_store.locate(keys, path), path, width, with_ids=True).collect()
+    assert sorted((r.doc_id is not None, r.doc_id or 0, r.copy) for r in got) == [(False, 0, 1), (True, -5, 0), (True, 1, 41), (True, 4, 0), (True, 16, 0), (True, 19, 0)]
+    texts = {-5 + 3 * i: t for i, t in enumerate(TEXTS)}
+    for r in got:
+        if r.doc_id not in (None, 1):
+            assert r.ids == ids_of(tokenizer, texts[r.doc_id]).tolist()
+
+
+def test_files_hold_raw_ids_in_order_of_keys(spark, tokenizer, folder, many_shards):
+    docs = docs_of(spark).where("doc_id > 1")
+    token_store.write_store(docs, folder + "/store")
+    raw = b""
+    for name in token_store._shard_files(folder + "/store"):
+        with open(f"{folder}/store/shards/{name}", "rb") as file:
+            data = file.read()
+        n_docs, n_ids = np.frombuffer(data[-26:-10], "<i8")
+        assert len(data) == 2 * n_ids + 17 * n_docs + 26
+        raw += data[: 2 * n_ids]
+    want = np.concatenate([ids_of(tokenizer, r.text) for r in sorted(docs.collect(), key=lambda r: r.doc_id)])
+    assert np.frombuffer(raw, "<u2").tolist() == want.tolist()
+
+
+def test_no_documents(spark):
+    docs = docs_of(spark).where("false")
+    assert token_store.round_trip(docs, shared_path(spark, "test-store")).collect() == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2**64 - 1), st.integers(0, 2**64 - 1)), unique=True, max_size=300), st.integers(0, 2**64 - 1))
+def test_hash_is_minimal_and_perfect(keys, other):
+    a, b = (np.array([k[i] for k in keys], np.uint64) for i in (0, 1))
+    sizes, words, number = token_store.build_hash(a, b)
+    assert sorted(number.tolist()) == list(range(len(keys)))
+    assert token_store.hash_numbers(sizes, words, a, b).tolist() == number.tolist()
+    strange = token_store.hash_numbers(sizes, words, np.array([other], np.uint64), np.array([other], np.uint64))
+    assert -1 <= strange[0] < max(1, len(keys))
+
+
+def test_repeated_keys_are_refused():
+    same = np.array([7, 7], np.uint64)
+    with pytest.raises(ValueError):
+        token_store.build_hash(same, same)
