@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from merchmill.llm import (exact_dedup, lm_scoring, minhash_dedup, packing, quality_classifier, quality_rules, suffix_dedup,
-                           token_counts, token_store, unigram_pieces, warc)
+from merchmill.llm import (clustering, exact_dedup, lm_scoring, minhash_dedup, packing, quality_classifier, quality_rules, suffix_dedup,
+                           token_counts, token_store, unigram_pieces, warc, whitening)
 from merchmill.llm.common import shared_path, table
 
 
@@ -57,10 +58,19 @@ def op11_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.round_trip(table(spark, sf_dir, "documents"), shared_path(spark, "token-store")).drop("copy", "shard")
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster_vectors(table(spark, sf_dir, "embeddings")).drop("measured")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_lm_scoring, op2_exact_dedup, op3_best_fit_packing, op4_quality_classifier, op5_unigram_pieces, op6_suffix_dedup, op7_warc, op8_quality_rules, op9_minhash_near_dedup, op10_token_counts,
-        op11_token_store)
+        op11_token_store, op12_embedding_whitening, op13_centroid_clustering)
 }
 
 ORACLES: dict[str, str] = {
@@ -78,6 +88,7 @@ SELECT page_id, size AS payload_bytes, sha256(p.html) AS payload_digest,
 FROM p LEFT JOIN f ON p.html = f.html
 """,
     "op8_quality_rules": quality_rules.SQL,
+    "op13_centroid_clustering": clustering.SQL,
     "op9_minhash_near_dedup": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, [x for x in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') if x <> ''] AS w

@@ -22,7 +22,7 @@ def counted(columns, rows):
 @pytest.mark.parametrize("name", queries.ORACLES)
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "labels"):
+    for table in ("documents", "pages", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     result = con.execute(queries.ORACLES[name])
     want = counted([d[0] for d in result.description], result.fetchall())
@@ -31,7 +31,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 12))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stage_by_stage(spark):

@@ -1,0 +1,124 @@
+import math
+
+import numpy as np
+import pytest
+
+from merchmill.llm import queries, whitening
+
+SCHEMA = "vec_id long, embedding array<float>, n int, component string"
+
+
+def frame(spark, vectors, ids=None):
+    ids = ids or range(len(vectors))
+    return spark.createDataFrame([(i, v if v is None else [None if c is None else float(c) for c in v], 1, "c") for i, v in zip(ids, vectors)], SCHEMA).repartition(3)
+
+
+def usable(vectors):
+    return [v for v in vectors if v is not None and len(v) and all(c is not None and math.isfinite(c) for c in v)]
+
+
+def brute(vectors):
+    x = np.array([[math.floor(64 * float(np.float32(c))) + 1000000 for c in v] for v in vectors])
+    fit = np.unique(x, axis=0)
+    centred = fit - fit.mean(0)
+    values, vectors = np.linalg.eigh(centred.T @ centred / len(fit))
+    return x, fit, values[::-1], vectors[:, ::-1].T
+
+
+def check(rows, vectors, components=16):
+    x, fit, values, axes = brute(vectors)
+    n, sums = len(fit), fit.sum(0)
+    kept = min(components, int((values > 1e-10 * values[0]).sum()))
+    assert len(rows) == len(vectors) * kept
+    by_component = {}
+    for r in rows:
+        assert r.n == n
+        by_component.setdefault(r.component, {}).setdefault(r.vec_id, []).append(r)
+    deviation = {}
+    for i, row in enumerate(x.tolist()):
+        deviation[i] = sum((n * a - int(s)) ** 2 for a, s in zip(row, sums))
+    signs = 0
+    for c in range(1, kept + 1):
+        want = (x - sums / n) @ axes[c - 1] / math.sqrt(values[c - 1])
+        got = np.array([by_component[c][i][0].whitened for i in range(len(x))])
+        sign = 1 if abs(got - want).max() < abs(got + want).max() else -1
+        signs += sign
+        np.testing.assert_allclose(got, sign * want, atol=1e-6)
+        for i in range(len(x)):
+            r = by_component[c][i][0]
+            assert int(r.deviation) == deviation[i]
+            assert r.explained == pytest.approx(values[c - 1] / values.sum(), rel=1e-9)
+            assert 0 <= r.identity_error < 1e-8
+    return kept
+
+
+def test_against_eigenvectors(spark):
+    random = np.random.default_rng(5)
+    vectors = (random.normal(size=(300, 20)) * np.linspace(3, 0.3, 20)).tolist()
+    vectors += vectors[:60] + [vectors[0]] * 40  # repeated rows count once in the fit
+    assert check(whitening.whitened(frame(spark, vectors)).collect(), vectors) == 16
+
+
+def test_unusable_rows_are_left_out_and_the_others_whole(spark):
+    random = np.random.default_rng(6)
+    good = random.normal(size=(40, 6)).tolist()
+    bad = [None, [], [None] * 6, [1.0] * 5 + [None], [float("nan")] + [0.0] * 5, [float("inf")] * 6, [1.0] * 7]
+    df = frame(spark, good + bad)
+    rows = whitening.whitened(df).collect()
+    assert {r.vec_id for r in rows} == set(range(40))
+    check(rows, good)
+
+
+def test_dependent_and_constant_dimensions(spark):
+    random = np.random.default_rng(7)
+    base = random.integers(-40, 40, size=(80, 4)) / 64
+    vectors = np.c_[base, base[:, :1] + base[:, 1:2], np.full(80, 0.25), 2 * base[:, 3]].tolist()
+    assert check(whitening.whitened(frame(spark, vectors)).collect(), vectors) == 4
+
+
+def test_badly_conditioned_rows_need_the_shift(spark, monkeypatch):
+    random = np.random.default_rng(8)
+    shifted = []
+    whole = whitening.factor
+    monkeypatch.setattr(whitening, "factor", lambda gram, n: shifted.append(np.linalg.cond(gram)) or whole(gram, n))
+    common = random.normal(size=(200, 1)) * 1e6
+    vectors = (common @ np.ones((1, 5)) + random.normal(size=(200, 5)) * 0.5).astype(np.float32).astype(float).tolist()
+    rows = whitening.whitened(frame(spark, vectors), components=5).collect()
+    x, fit, values, axes = brute(vectors)
+    assert shifted[0] > 1e10 and len(shifted) > 1 and len(rows) == 5 * len(vectors)
+    assert max(r.identity_error for r in rows) < 1e-4
+    r_values = np.linalg.svd(fit - fit.mean(0), compute_uv=False) ** 2
+    got = {r.component: r.explained for r in rows}
+    np.testing.assert_allclose([got[c] for c in range(1, 6)], r_values / r_values.sum(), rtol=1e-5)
+
+
+def test_deviation_is_exact_beyond_64_bits():
+    n, sums = 400_000_000_003, [400_000_000_003 * 1_000_007 + 17, -5]
+    centre = whitening.Centre(n, sums)
+    x = np.array([[1_000_007 + 3_000_000, 12], [-40, 1 << 30]])
+    want = [sum((n * int(a) - s) ** 2 for a, s in zip(row, sums)) for row in x.tolist()]
+    assert want[0] > 1 << 63 and centre.deviation(x) == want and centre.deviation(x[:1]) == want[:1]
+
+
+def test_tables_without_variance_or_rows(spark):
+    assert whitening.whitened(frame(spark, [[1.0, 2.0]] * 3)).collect() == []
+    assert whitening.whitened(frame(spark, [[1.0]]).where("false")).collect() == []
+    assert whitening.whitened(frame(spark, [None, []])).collect() == []
+    one = whitening.whitened(frame(spark, [[1.0], [2.0], [2.0]], [None, 1, 1])).collect()
+    assert sorted((r.vec_id is not None, r.vec_id or 0, abs(round(r.whitened, 9))) for r in one) == [(False, 0, 1), (True, 1, 1), (True, 1, 1)]
+
+
+def test_entry_out_of_range_is_an_error(spark):
+    with pytest.raises(Exception, match="beyond"):
+        whitening.whitened(frame(spark, [[1e30], [0.0]])).collect()
+
+
+def test_query_on_the_smallest_table(spark):
+    from test_registered import SF
+
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
+    got = queries.op12_embedding_whitening(spark, SF)
+    assert dict(got.dtypes)["deviation"] == "bigint"
+    ids = {r.vec_id: i for i, r in enumerate(rows)}
+    assert ids == {i: i for i in range(len(rows))}
+    check(got.collect(), usable([r.embedding for r in rows]))
