@@ -30,13 +30,16 @@ def running_counts(
     ``null_groups`` rows of a NULL group are left out, and the bucket sums, the join and the last window
     share one partitioning by group and bucket.
     """
-    histogram = histogram.withColumn("_bucket", F.shiftright(value, _BUCKET_BITS))
+    # a bucket that can't be NULL adds no filter to one of the two uses of the histogram, and the greatest value
+    # makes the second one need the same columns: so Spark makes the histogram once and reuses its exchange
+    histogram = histogram.withColumn("_bucket", F.coalesce(F.shiftright(value, _BUCKET_BITS), F.lit(0)))
     if not null_groups:
         histogram = histogram.repartition(*group, "_bucket")
     in_group = W.partitionBy(*group)
-    buckets = histogram.groupBy(*group, "_bucket").agg(F.sum(count).alias("_rows")).select(
+    buckets = histogram.groupBy(*group, "_bucket").agg(F.sum(count).alias("_rows"), F.max(value).alias("_top")).select(
         *group,
         "_bucket",
+        "_top",
         F.sum("_rows").over(in_group.orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)).alias("bucket_upto"),
         F.sum("_rows").over(in_group).alias("total"),
         "_rows",
@@ -45,39 +48,59 @@ def running_counts(
         buckets = buckets.where(wanted)
     # groups may be NULL (a day that is not known), so match them null-safely
     buckets = buckets.select(*[F.col(g).alias(f"_b_{g}") for g in [*group, "_bucket"]],
-                             "bucket_below", "bucket_upto", "total")
+                             "bucket_below", "bucket_upto", "total", "_top")
     pairs = [(F.col(g), F.col(f"_b_{g}")) for g in [*group, "_bucket"]]
     same = [a.eqNullSafe(b) if null_groups else a == b for a, b in pairs]
-    joined = histogram.join(buckets, same, "inner")
+    at_most = F.coalesce(value, F.lit(0)) <= F.coalesce("_top", F.lit(0))
+    joined = histogram.join(buckets, [*same, at_most], "inner")
     in_bucket = W.partitionBy(*group, "_bucket").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
     below = F.col("bucket_below") + F.sum(count).over(in_bucket) - F.col(count)
     return joined.select(*group, value, count, below.alias("below"), "total")
 
 
-def exact_median(df: DataFrame, key: str, amount: str, out: str) -> DataFrame:
-    """Exact median of a two-place money column per key; NULL keys and amounts are left out.
+def value_counts(df: DataFrame, key: str, amount: str, value: str = "cents", count: str = "n") -> DataFrame:
+    """How many rows of a key have an amount: key, the amount in cents, rows. NULL keys and amounts are left out.
 
-    For an even number of rows it is the mean of the two middle ones, hence three decimal places.
+    Counts of several batches can be added up, so they can be stored and a median taken without the rows.
     """
-    histogram = (
-        df.where(F.col(key).isNotNull() & F.col(amount).isNotNull())
-        .groupBy(key, cents(F.col(amount)).alias("_cents"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    known = df.where(F.col(key).isNotNull() & F.col(amount).isNotNull())
+    return known.groupBy(key, cents(F.col(amount)).alias(value)).agg(F.count(F.lit(1)).alias(count))
+
+
+def median_of_counts(counts: DataFrame, key: str, value: str, count: str, out: str) -> DataFrame:
+    """Exact median per key from ``value_counts``, one row per key and value."""
     low = F.expr("(total - 1) div 2")
     high = F.expr("total div 2")
     hit = ((F.col("bucket_below") <= low) & (low < F.col("bucket_upto"))) | (
         (F.col("bucket_below") <= high) & (high < F.col("bucket_upto"))
     )
-    counted = running_counts(histogram, [key], "_cents", "_n", wanted=hit, null_groups=False)
-    upto = F.col("below") + F.col("_n")
+    counted = running_counts(counts, [key], value, count, wanted=hit, null_groups=False)
+    upto = F.col("below") + F.col(count)
     middle = counted.where(
         ((F.col("below") <= low) & (low < upto)) | ((F.col("below") <= high) & (high < upto))
     )
-    half = (F.min("_cents") + F.max("_cents")) * F.lit(5)
+    half = (F.min(value) + F.max(value)) * F.lit(5)
     return middle.groupBy(key).agg((half.cast("decimal(21,0)") / F.lit(1000)).cast("decimal(21,3)").alias(out))
 
 
+def exact_median(df: DataFrame, key: str, amount: str, out: str) -> DataFrame:
+    """Exact median of a two-place money column per key; NULL keys and amounts are left out.
+
+    For an even number of rows it is the mean of the two middle ones, hence three decimal places.
+    """
+    return median_of_counts(value_counts(df, key, amount), key, "cents", "n", out)
+
+
+def approx_median(df: DataFrame, key: str, amount: str, out: str, accuracy: int = 10_000) -> DataFrame:
+    """An amount that occurs, at a rank within 1 / ``accuracy`` of the middle; NULL keys and amounts are left out.
+
+    One shuffle of a bounded summary per key, where ``exact_median`` shuffles every distinct amount.
+    """
+    known = df.where(F.col(key).isNotNull() & F.col(amount).isNotNull())
+    middle = F.percentile_approx(cents(F.col(amount)), 0.5, accuracy)
+    return known.groupBy(key).agg((middle.cast("decimal(21,0)") / F.lit(100)).cast("decimal(21,3)").alias(out))
+
+
 def rank_descending(df: DataFrame, group: str, amount: str, out: str) -> DataFrame:
     """SQL RANK over a two-place money column, largest first, NULL last, per group.
 

@@ -29,6 +29,11 @@ def _row_order(customers: DataFrame, otherwise: str) -> list[str]:
     return [FILE_POSITION] if FILE_POSITION in customers.columns else [otherwise]
 
 
+def person_order(customers: DataFrame) -> list[str]:
+    """Which of a person's rows comes first: file order where the scan kept it, else the per-order customer id."""
+    return _row_order(customers, "customer_id")
+
+
 def dedupe_people(customers: DataFrame, order_by: list[str]) -> DataFrame:
     """One row per person; the source has one customer row per order."""
     return first_per_key(customers, ["customer_unique_id"], order_by)
@@ -42,7 +47,11 @@ def build_customers(
     ``order_by`` says which of a person's rows comes first: by default file order where the scan kept
     it, else the per-order customer id.
     """
-    people = dedupe_people(customers, order_by or _row_order(customers, "customer_id"))
+    return customer_rows(dedupe_people(customers, order_by or person_order(customers)), now, seed)
+
+
+def customer_rows(people: DataFrame, now: datetime, seed: int = values.DEFAULT_SEED) -> DataFrame:
+    """The customer table's rows of ``people``, one row per person."""
     person = F.col("customer_unique_id")
     return people.select(
         person.alias("customer_id"),
@@ -55,11 +64,15 @@ def build_customers(
 
 
 def build_products(products: DataFrame, items: DataFrame, translation: DataFrame, now: datetime) -> DataFrame:
-    """Product table: only products that were sold, priced at their exact median.
+    """Product table: only products that were sold, priced at their exact median."""
+    return product_rows(products, exact_median(items, "product_id", "price", "median_price"), translation, now)
+
+
+def product_rows(products: DataFrame, medians: DataFrame, translation: DataFrame, now: datetime) -> DataFrame:
+    """The product table's rows of those products that have a ``median_price``.
 
     The translation is left without a broadcast hint: Spark broadcasts it when its size allows.
     """
-    medians = exact_median(items, "product_id", "price", "median_price")
     named = (
         products.select("product_id", "product_category_name")
         .join(medians, "product_id", "inner")

@@ -11,14 +11,17 @@ from typing import TypeVar
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from merchmill.config import ShopConfig
-from merchmill.operators import draw_order, head_rows, other_rows, restamp
+from merchmill.operators import head_rows
 from merchmill.plans import ingest, models, quality, staging
+from merchmill.plans.history import (
+    History, day_lines, drawn_lines, history_layout, median_prices, people, stored_history,
+)
 from merchmill.sources import landing
 from merchmill.sources.files import check_sources, scan_source
-from merchmill.sources.storage import delete, exists, fingerprint, has_data, materialise, own_scratch
+from merchmill.sources.storage import delete, has_data, materialise, own_scratch
 from merchmill.sources.tables import (
     PLAIN, Layout, folder_path, insert_if_absent, note_folders, noted_folders, overwrite_table, read_table,
-    replace_folders, rows_between, upsert,
+    replace_folders, rows_between, table_exists, upsert,
 )
 
 TABLES = ("orders", "customers", "products")
@@ -82,76 +85,26 @@ def insert_raw(
     })
 
 
-def history_layout(config: ShopConfig) -> Layout:
-    return Layout("order_date", config.partition_by, cluster_by=("draw",))
-
-
-def stored_history(spark: SparkSession, config: ShopConfig, src: dict[str, DataFrame]) -> str:
-    """Folder of all order lines that the sources hold, built when the sources are new or have changed.
-
-    Lines lie by day, sorted by their place in the draw for top-ups. A line whose time can't be read has
-    neither time nor day here; it gets the time of the run that reads it.
-    """
-    used = {name: src[name] for name in ("orders", "order_items", "customers")}
-    base = config.path("history", f"seed={config.seed}-{config.partition_by}")
-    path = f"{base}/{fingerprint(spark, used)}"
-    if not exists(spark, f"{path}/_SUCCESS"):
-        delete(spark, base)  # built from older sources, or not to its end
-        lines = ingest.build_orders(src["orders"], src["order_items"], src["customers"], None)
-        overwrite_table(lines.withColumn("draw", draw_order(config.seed, ingest.LINE_KEY)), path, history_layout(config))
-    return path
-
-
 def seed_history(
     spark: SparkSession, config: ShopConfig, now: datetime, sources: dict[str, DataFrame] | None = None
 ) -> dict[str, int]:
     """Ingest everything the source files hold. Meant to run once, and harmless when repeated."""
     src = sources or read_sources(spark, config)
-    lines = read_table(spark, stored_history(spark, config, src), history_layout(config))
+    history = stored_history(spark, config, src)
+    lines = read_table(spark, f"{history.path}/days", history_layout(config))
     return insert_raw(
         config,
-        ingest.build_customers(src["customers"], now, config.seed),
-        ingest.build_products(src["products"], src["order_items"], src["translation"], now),
+        ingest.customer_rows(people(spark, history), now, config.seed),
+        ingest.product_rows(src["products"], median_prices(spark, history), src["translation"], now),
         ingest.timed_lines(lines, now),
     )
 
 
-def day_lines(spark: SparkSession, config: ShopConfig, history: str, run_date: date, now: datetime) -> DataFrame:
-    """The stored lines of one day; only its folder is read, and on the day of ``now`` that of lines without a time."""
-    layout = history_layout(config)
-    own = rows_between(spark, history, layout, run_date, run_date)
-    if now.date() == run_date:
-        bare = layout.in_folders(read_table(spark, history, layout, keep_folder=True), [None])
-        own = own.unionByName(bare.select(*own.columns))
-    return ingest.timed_lines(own, now)
-
-
-def drawn_lines(spark: SparkSession, config: ShopConfig, history: str, run_date: date, now: datetime, count: int) -> DataFrame:
-    """``count`` lines of other days in draw order, moved to ``run_date``.
-
-    Draws are spread evenly, so the share of the lines that is wanted says about how far to look. Files are
-    sorted by draw: what lies behind is skipped. The bound is raised until enough lines are before it.
-    """
-    lines = ingest.timed_lines(read_table(spark, history, history_layout(config)), now, keep=("draw",))
-    others = other_rows(lines, run_date)
-    share = 4 * count / max(1, spark.read.parquet(history).count())
-    while share < 1:
-        before = others.where(F.col("draw") < f"{int(share * 16**32):032x}")
-        if before.count() >= count:
-            others = before
-            break
-        share *= 4
-    return restamp(head_rows(others, count, ["draw", *ingest.LINE_KEY]).drop("draw"), run_date)
-
-
-def select_day(
-    spark: SparkSession, src: dict[str, DataFrame], config: ShopConfig, run_date: date, now: datetime
-) -> DataFrame:
+def select_day(spark: SparkSession, config: ShopConfig, history: History, run_date: date, now: datetime) -> DataFrame:
     """Order lines of one day, capped and topped up to ``config.daily_orders``.
 
-    The history is built once for its sources; a day reads its own folder, and a top-up only what it draws.
+    A day reads its own folder, and a top-up the first folders of the draw.
     """
-    history = stored_history(spark, config, src)
     own = materialise(day_lines(spark, config, history, run_date, now), "day-orders")
     limit = config.daily_orders
     if limit is None:
@@ -159,29 +112,26 @@ def select_day(
     missing = limit - own.count()
     if missing <= 0:
         return materialise(head_rows(own, limit, ingest.LINE_KEY), "day-batch")
-    return materialise(own.unionByName(drawn_lines(spark, config, history, run_date, now, missing)), "day-batch")
+    return materialise(own.unionByName(drawn_lines(spark, history, run_date, now, missing)), "day-batch")
 
 
 def ingest_day(
     spark: SparkSession, config: ShopConfig, run_date: date, now: datetime,
     sources: dict[str, DataFrame] | None = None,
 ) -> dict[str, int]:
-    """Ingest one day's batch with the customers and products it mentions."""
+    """Ingest one day's batch with the customers and products it mentions.
+
+    The history is built once for its sources. Persons and prices are read from the buckets that hold the
+    batch's; of the source files only the products are scanned.
+    """
     src = sources or read_sources(spark, config)
-    batch = select_day(spark, src, config, run_date, now)
-    people = ingest.build_customers(
-        src["customers"].join(
-            batch.select(F.col("customer_id").alias("customer_unique_id")), "customer_unique_id", "left_semi"
-        ),
-        now, config.seed,
-    )
-    goods = ingest.build_products(
-        ingest.batch_products(src["products"], batch),
-        ingest.batch_products(src["order_items"], batch),
-        src["translation"],
-        now,
+    history = stored_history(spark, config, src)
+    batch = select_day(spark, config, history, run_date, now)
+    persons = batch.select(F.col("customer_id").alias("customer_unique_id"))
+    goods = ingest.product_rows(
+        ingest.batch_products(src["products"], batch), median_prices(spark, history, batch), src["translation"], now
     )
-    return insert_raw(config, people, goods, batch)
+    return insert_raw(config, ingest.customer_rows(people(spark, history, persons), now, config.seed), goods, batch)
 
 
 # --- staging, landing, load ------------------------------------------------------------------
@@ -193,7 +143,7 @@ def stage_day(spark: SparkSession, config: ShopConfig, run_date: date | None, st
     it is not ``run_date``, as in a back-dated run.
     """
     paths = {t: config.path("ingest", t) for t in TABLES}
-    if not all(has_data(spark, p) for p in paths.values()):
+    if not all(table_exists(spark, p) for p in paths.values()):
         return {}
     customers, products = (read_table(spark, paths[t]) for t in ("customers", "products"))
     layout = order_layout(config)
@@ -222,7 +172,7 @@ def export_day(spark: SparkSession, config: ShopConfig, run_date: date, whole_hi
 
     def export(table: str) -> str | None:
         path = config.path("staged", table)
-        if not has_data(spark, path):
+        if not table_exists(spark, path):
             return None
         staged = (
             rows_between(spark, path, order_layout(config), day, day) if table == "orders"
@@ -268,7 +218,7 @@ def build_fact(spark: SparkSession, config: ShopConfig, as_of: date, full_refres
     path, layout = config.path("warehouse", "fct_orders"), fact_layout(config)
     raw_orders = config.path("raw", "orders")
     views = warehouse_views(spark, config)
-    if full_refresh or not has_data(spark, path):
+    if full_refresh or not table_exists(spark, path):
         fact = models.fct_orders(views["stg_orders"], views["stg_customers"], views["stg_products"])
         note_folders(spark, pending_path(config), [], whole=True)
         overwrite_table(fact, path, layout)
@@ -299,14 +249,14 @@ def build_marts(spark: SparkSession, config: ShopConfig, folders: Sequence[date
     def refresh(name: str) -> int:
         build, path, mart = models.MARTS[name], config.path("marts", name), mart_layout(config, name)
         build = products if name == "mart_product_performance" else build
-        if folders is None or not has_data(spark, path):
+        if folders is None or not table_exists(spark, path):
             return overwrite_table(build(read_table(spark, fact_path, layout)), path, mart)
         fact = layout.in_folders(read_table(spark, fact_path, layout, keep_folder=True), folders)
         written = replace_folders(build(fact), path, mart)
         for folder in folders:
             # a day that has no orders any more leaves the mart as well
-            if not has_data(spark, folder_path(fact_path, layout, folder)):
-                delete(spark, folder_path(path, mart, folder))
+            if not has_data(spark, folder_path(spark, fact_path, layout, folder)):
+                delete(spark, folder_path(spark, path, mart, folder))
         return written
 
     written = side_by_side(config, {name: partial(refresh, name) for name in models.MARTS})
@@ -372,7 +322,7 @@ def _publish(
     landed = export_day(spark, config, run_date, whole_history)
     loaded = load_day(spark, config, run_date)
     done: dict[str, object] = {"landed": landed, "loaded": loaded}
-    if not all(has_data(spark, config.path("raw", t)) for t in TABLES):
+    if not all(table_exists(spark, config.path("raw", t)) for t in TABLES):
         return done
     folders = build_fact(spark, config, run_date, full_refresh)
     done["fact_folders"] = folders

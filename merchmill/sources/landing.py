@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from merchmill.config import ShopConfig
 from merchmill.schemas import LOAD_SCHEMAS, REQUIRED_COLUMNS
-from merchmill.sources.storage import delete, exists, has_data, materialise
+from merchmill.sources.storage import delete, exists, materialise
 from merchmill.sources.tables import (
-    PLAIN, Layout, append_table, overwrite_table, read_table, replace_folders,
+    PLAIN, Layout, append_table, overwrite_table, read_table, replace_folders, table_exists, write_folder,
 )
 
 LANDED_COLUMNS = {name: schema.names for name, schema in LOAD_SCHEMAS.items()}
@@ -30,7 +30,7 @@ def export_table(rows: DataFrame, config: ShopConfig, table: str, run_date: date
     The write itself counts the rows. A folder that an earlier run left for the day goes as well.
     """
     path = config.landing_path(table, run_date)
-    if overwrite_table(rows, path):
+    if write_folder(rows, path):
         return path
     delete(rows.sparkSession, path)
     return None
@@ -74,7 +74,7 @@ def load_table(spark: SparkSession, config: ShopConfig, table: str, run_date: da
 
 def _replace_days(spark: SparkSession, rows: DataFrame, target: str, layout: Layout) -> int:
     """Day-wise replacement inside wider folders: keep the folder's other days, then swap the folder."""
-    if not has_data(spark, target):
+    if not table_exists(spark, target):
         return append_table(rows, target, layout)
     days = rows.select("order_date").distinct()
     folders = [r[0] for r in days.select(layout.folder_of(F.col("order_date")).alias("f")).distinct().collect()]

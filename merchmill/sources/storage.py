@@ -29,6 +29,51 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return any(not entry.getPath().getName().startswith(("_", ".")) for entry in fs.listStatus(hadoop_path))
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    fs, hadoop_path = _file_system(spark, path)
+    return [entry.getPath().getName() for entry in fs.listStatus(hadoop_path)] if fs.exists(hadoop_path) else []
+
+
+def data_summary(spark: SparkSession, path: str) -> list:
+    """What tells one state of a table folder from another: files, bytes, and when its parts last changed.
+
+    Files whose name starts with ``_`` or ``.`` don't count. No file is opened; there is one call for each
+    folder in the table.
+    """
+    fs, hadoop_path = _file_system(spark, path)
+    files, size, changed = 0, 0, hashlib.md5()
+    entries = fs.listStatus(hadoop_path) if fs.exists(hadoop_path) else []
+    for name, entry in sorted((entry.getPath().getName(), entry) for entry in entries):
+        if name.startswith(("_", ".")):
+            continue
+        whole = fs.getContentSummary(entry.getPath())
+        files, size = files + whole.getFileCount(), size + whole.getLength()
+        changed.update(f"{name}:{entry.getModificationTime()};".encode())
+    return [files, size, changed.hexdigest()]
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's content, None where there is none."""
+    fs, hadoop_path = _file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        return None
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str, replace: bool = True) -> None:
+    """Write a small file; without ``replace`` an existing one is an error."""
+    fs, hadoop_path = _file_system(spark, path)
+    stream = fs.create(hadoop_path, replace)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _file_system(spark, path)
     fs.delete(hadoop_path, True)

@@ -1,11 +1,18 @@
-"""Parquet tables: partitioned writes, insert-if-absent and upsert.
+"""Parquet tables: partitioned writes, whole replacement, insert-if-absent and upsert.
 
 Every write can be repeated with the same input and leaves the same table. Parquet has no conflict
 detection, so a table has one writer at a time.
+
+A table's rows lie in its folder until it is replaced as a whole. The new rows are then written to a version
+folder, ``_data/1``, ``_data/2`` and so on, and a pointer file of that number in ``_live`` makes it the one that
+readers see. A replacement that fails before that leaves the old table as it was. Read tables by ``read_table``,
+which follows the pointer; what hangs on the rows (an unfinished upsert, the key index) lies beside them.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -14,8 +21,9 @@ from datetime import date
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from merchmill.operators.keys import first_per_key, without_keys
-from merchmill.sources.storage import delete, exists, has_data, materialise
+from merchmill.operators.keys import first_per_key
+from merchmill.sources.keyindex import FOLDER, KeyIndex, find_index, open_index
+from merchmill.sources.storage import child_names, delete, exists, has_data, materialise, read_text, write_text
 
 
 @dataclass(frozen=True)
@@ -66,8 +74,39 @@ class Layout:
 PLAIN = Layout()
 
 
+def _pointers(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(n) for n in child_names(spark, f"{path}/_live") if n.isdigit())
+
+
+def table_folder(spark: SparkSession, path: str) -> str:
+    """The folder that holds the table's rows now."""
+    numbers = _pointers(spark, path)
+    return f"{path}/_data/{numbers[-1]}" if numbers else path
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the table holds committed data."""
+    return has_data(spark, table_folder(spark, path))
+
+
+def _make_live(spark: SparkSession, path: str, number: int) -> None:
+    """Switch readers to a version folder, then remove what was live before and what failed writes left."""
+    write_text(spark, f"{path}/_live/{number}", "", replace=False)
+    for name in child_names(spark, f"{path}/_data"):
+        if name != str(number):
+            delete(spark, f"{path}/_data/{name}")
+    for name in child_names(spark, path):
+        if name not in ("_live", "_data"):
+            delete(spark, f"{path}/{name}")
+    for old in _pointers(spark, path)[:-1]:
+        delete(spark, f"{path}/_live/{old}")
+
+
 def read_table(spark: SparkSession, path: str, layout: Layout = PLAIN, keep_folder: bool = False) -> DataFrame:
-    df = spark.read.parquet(path)
+    return _typed(spark.read.parquet(table_folder(spark, path)), layout, keep_folder)
+
+
+def _typed(df: DataFrame, layout: Layout, keep_folder: bool) -> DataFrame:
     if layout.folder is not None:
         df = df.withColumn(layout.folder, F.col(layout.folder).cast("date"))
         if layout.folder != layout.date_column and not keep_folder:
@@ -96,17 +135,29 @@ def _write(df: DataFrame, path: str, layout: Layout, mode: str, overwrite: str =
 
 
 def overwrite_table(df: DataFrame, path: str, layout: Layout = PLAIN) -> int:
-    """Replace the whole table. ``df`` must not read from it."""
+    """Replace the whole table; ``df`` may read from it. Readers see the old rows until all new ones are written.
+
+    Frames planned on the old rows can't be read after the switch, as these are removed.
+    """
+    spark = df.sparkSession
+    number = (_pointers(spark, path) or [0])[-1] + 1
+    written = _write(df, f"{path}/_data/{number}", layout, "overwrite")
+    _make_live(spark, path, number)
+    return written
+
+
+def write_folder(df: DataFrame, path: str, layout: Layout = PLAIN) -> int:
+    """Write a plain folder of Parquet files, in place of what was there, for readers that know no tables."""
     return _write(df, path, layout, "overwrite")
 
 
 def append_table(df: DataFrame, path: str, layout: Layout = PLAIN) -> int:
-    return _write(df, path, layout, "append")
+    return _write(df, table_folder(df.sparkSession, path), layout, "append")
 
 
 def replace_folders(df: DataFrame, path: str, layout: Layout) -> int:
     """Replace the folders that occur in ``df``; others stay. ``df`` must not read from the table."""
-    return _write(df, path, layout, "overwrite", overwrite="dynamic")
+    return _write(df, table_folder(df.sparkSession, path), layout, "overwrite", overwrite="dynamic")
 
 
 def _observed(seen: Observation, name: str) -> int:
@@ -126,25 +177,57 @@ def insert_if_absent(
     none to be known by again: such rows are left out, and a warning says how many there were. The batch is
     evaluated once.
     """
-    spark = batch.sparkSession
+    spark, keys = batch.sparkSession, list(keys)
     keyless = F.lit(False)
     for k in keys:
         keyless = keyless | F.col(k).isNull()
     seen = Observation()
     counted = batch.observe(seen, F.count_if(keyless).alias("keyless")).where(~keyless)
     fresh = counted if order_by is None else first_per_key(counted, keys, order_by)
-    if has_data(spark, path):
-        fresh = without_keys(materialise(fresh, "insert-batch"), read_table(spark, path, layout), keys)
-    written = append_table(fresh, path, layout)
+    if table_exists(spark, path):
+        index = _index(spark, path, keys, layout)
+        fresh = materialise(fresh, "insert-batch")
+        fresh = fresh.join(index.entries(fresh).select(*keys), keys, "left_anti")
+        written = append_table(fresh, path, layout)
+        index.add(_with_folder(fresh, layout))
+        index.commit()
+    else:
+        written = append_table(fresh, path, layout)
     left_out = _observed(seen, "keyless")
     if left_out:
         warnings.warn(f"{left_out} rows without a key were left out of {path}", stacklevel=2)
     return written
 
 
-def folder_path(path: str, layout: Layout, folder: date | None) -> str:
+def _index(spark: SparkSession, path: str, keys: Sequence[str], layout: Layout) -> KeyIndex:
+    """The key index of a table that exists."""
+    return open_index(spark, table_folder(spark, path), keys, layout.folder, lambda: read_table(spark, path, layout, keep_folder=True))
+
+
+def _with_folder(df: DataFrame, layout: Layout) -> DataFrame:
+    day = F.lit(None).cast("date") if layout.folder is None else layout.folder_of(F.col(layout.date_column))
+    return df.withColumn(FOLDER, day)
+
+
+def _folder_name(layout: Layout, folder: date | None) -> str:
     value = "__HIVE_DEFAULT_PARTITION__" if folder is None else f"{folder:%Y-%m-%d}"
-    return f"{path}/{layout.folder}={value}"
+    return f"{layout.folder}={value}"
+
+
+def folder_path(spark: SparkSession, path: str, layout: Layout, folder: date | None) -> str:
+    return f"{table_folder(spark, path)}/{_folder_name(layout, folder)}"
+
+
+def _read_folders(
+    spark: SparkSession, path: str, layout: Layout, folders: Sequence[date | None], columns: Sequence[str]
+) -> DataFrame | None:
+    """Rows of the listed folders, of which the others aren't even listed; None where there are none of them."""
+    live = table_folder(spark, path)
+    there = set(child_names(spark, live))
+    paths = [f"{live}/{n}" for n in (_folder_name(layout, f) for f in folders) if n in there]
+    if not paths:
+        return None
+    return _typed(spark.read.option("basePath", live).parquet(*paths), layout, keep_folder=True).select(*columns)
 
 
 def _folders(df: DataFrame, layout: Layout) -> list[date | None]:
@@ -167,23 +250,32 @@ def noted_folders(spark: SparkSession, pending: str) -> tuple[list[date | None],
     return [r["folder"] for r in rows if not r["whole"]], any(r["whole"] for r in rows)
 
 
-def _redo(spark: SparkSession, path: str, layout: Layout, pending: str | None = None) -> list[date | None]:
-    """Carry a prepared upsert into the table: swap the rewritten folders, drop the emptied ones.
+def _redo(
+    spark: SparkSession, path: str, keys: Sequence[str], layout: Layout, pending: str | None = None
+) -> list[date | None]:
+    """Carry a prepared upsert into table and key index: swap the rewritten folders, drop the emptied ones.
 
-    All inputs are in ``path/_upsert``, so this gives the same result when it is run again after a
-    failure at any point. The folders are noted in ``pending`` before the first of them changes.
+    All inputs are in the table's ``_upsert`` folder, so this gives the same result when it is run again after
+    a failure at any point. The folders are noted in ``pending`` before the first of them changes. The index
+    is told before that, and gets the keys after it; adding them a second time changes nothing.
     """
-    rows = spark.read.parquet(f"{path}/_upsert/rows")
-    touched = [r[0] for r in spark.read.parquet(f"{path}/_upsert/touched").collect()]
+    prepared = f"{table_folder(spark, path)}/_upsert"
+    rows = spark.read.parquet(f"{prepared}/rows")
+    touched = [f and date.fromisoformat(f) for f in json.loads(read_text(spark, f"{prepared}/touched"))]
     if pending is not None:
         note_folders(spark, pending, touched)
+    # an index that doesn't know of this upsert is left as it is: it no longer fits the table then, and is built anew
+    index = find_index(spark, table_folder(spark, path), keys, upsert=read_text(spark, f"{prepared}/name"))
     replace_folders(rows, path, layout)
     kept = set(_folders(rows, layout))
     for folder in touched:
         # a folder whose last row moved away is not part of the overwrite, so it is removed here
         if folder not in kept:
-            delete(spark, folder_path(path, layout, folder))
-    delete(spark, f"{path}/_upsert")
+            delete(spark, folder_path(spark, path, layout, folder))
+    if index is not None:
+        index.add(spark.read.parquet(f"{prepared}/keys"))
+        index.commit()
+    delete(spark, prepared)
     return touched
 
 
@@ -193,34 +285,37 @@ def upsert(
     """Update the rows whose key the table has, insert the others. Returns the folders written, together
     with those of an earlier upsert that this one had to finish; ``pending`` keeps a list of them.
 
-    Only folders that the source touches are rewritten: those of its own dates, and those in which
-    its keys sit now, as a row may move to another date. The rewritten rows are first stored whole
-    under ``path/_upsert``; a run that fails later is finished by the next one.
+    Only folders that the source touches are read and rewritten: those of its own dates, and those in which
+    its keys sit now, as a row may move to another date. The stored key index tells the latter, so the table
+    isn't scanned for them. The rewritten rows are first stored whole under ``_upsert`` beside the table's
+    rows; a run that fails later is finished by the next one, in the table and in the index.
 
     Fails, like a database merge, when the source repeats a key, and when a key has a NULL in it.
     """
-    spark = source.sparkSession
-    keys = list(keys)
-    if not source.where(" OR ".join(f"`{k}` IS NULL" for k in keys)).isEmpty():
-        raise ValueError(f"source of the upsert has a NULL in its key {keys}")
-    if source.groupBy(*keys).count().where("count > 1").limit(1).count():
-        raise ValueError(f"source of the upsert repeats a key {keys}")
-    if exists(spark, f"{path}/_upsert/rows/_SUCCESS"):
-        recovered = _redo(spark, path, layout, pending)
-    else:
-        recovered = []
-    if not has_data(spark, path):
+    spark, keys = source.sparkSession, list(keys)
+    keyless = " OR ".join(f"`{k}` IS NULL" for k in keys)
+    found = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(f"_rows > 1 OR {keyless}").head(1)
+    if found:
+        problem = "has a NULL in" if any(found[0][k] is None for k in keys) else "repeats"
+        raise ValueError(f"source of the upsert {problem} {'its' if 'NULL' in problem else 'a'} key {keys}")
+    prepared = f"{table_folder(spark, path)}/_upsert"
+    recovered = _redo(spark, path, keys, layout, pending) if exists(spark, f"{prepared}/name") else []
+    if not table_exists(spark, path):
         if pending is not None:
             note_folders(spark, pending, [], whole=True)
         append_table(source, path, layout)
         return list({*recovered, *_folders(source, layout)})
-    target = read_table(spark, path, layout, keep_folder=True)
-    sits = target.select(layout.folder, *keys).join(source.select(*keys), keys, "left_semi")
-    touched = set(_folders(source, layout)) | {r[0] for r in sits.select(layout.folder).distinct().collect()}
-    stay = layout.in_folders(target, list(touched)).join(source.select(*keys), keys, "left_anti")
-    rows = stay.select(*source.columns).unionByName(source)
-    schema = f"folder {source.schema[layout.date_column].dataType.simpleString()}"
-    delete(spark, f"{path}/_upsert")
-    spark.createDataFrame([(f,) for f in touched], schema).write.parquet(f"{path}/_upsert/touched")
-    rows.write.parquet(f"{path}/_upsert/rows")
-    return list({*recovered, *_redo(spark, path, layout, pending)})
+    index = _index(spark, path, keys, layout)
+    sits = index.folders(source).select(FOLDER).distinct().collect()  # one row per folder
+    touched = set(_folders(source, layout)) | {r[0] for r in sits}
+    delete(spark, prepared)
+    there = _read_folders(spark, path, layout, list(touched), source.columns)
+    rows = source if there is None else there.join(source.select(*keys), keys, "left_anti").select(*source.columns).unionByName(source)
+    write_text(spark, f"{prepared}/touched", json.dumps([f and f.isoformat() for f in touched]))
+    _with_folder(source, layout).select(*keys, FOLDER).write.parquet(f"{prepared}/keys")
+    rows.write.parquet(f"{prepared}/rows")
+    name = uuid.uuid4().hex
+    index.begin(name)
+    # from here on the upsert will be carried out, by this run or by the next one
+    write_text(spark, f"{prepared}/name", name)
+    return list({*recovered, *_redo(spark, path, keys, layout, pending)})

@@ -9,6 +9,7 @@ from merchmill.__main__ import config_from, main, parse
 from merchmill.config import ShopConfig
 from merchmill.plans import jobs, models
 from merchmill.sources.storage import has_data
+from merchmill.sources.tables import table_folder
 from merchmill.sources.tables import read_table
 
 FIRST = date(2018, 3, 30)
@@ -103,7 +104,7 @@ def test_history_equals_day_by_day(spark, shop, folder):
     done = jobs.run_history(spark, config, FIRST, NOW)
     assert done["ingested"]["orders"] == 120 and all(t["passed"] for t in done["tests"])
     whole = rows(table(spark, config, "warehouse", "fct_orders").drop("loaded_at"))
-    day_folder = f"{config.path('warehouse', 'fct_orders')}/order_date=2018-03-31"
+    day_folder = f"{table_folder(spark, config.path('warehouse', 'fct_orders'))}/order_date=2018-03-31"
     status = [r.status for r in spark.read.parquet(day_folder).coalesce(1).collect()]
     assert len(set(status)) > 1 and status == sorted(status)  # clustered inside the day
     assert jobs.seed_history(spark, config, NOW) == {"customers": 0, "products": 0, "orders": 0}

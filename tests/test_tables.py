@@ -166,7 +166,7 @@ def test_a_hot_day_is_written_by_many_tasks(spark, folder):
         overwrite_table(hot, path, layout)
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
-    files = [p for p in Path(f"{path}/d=2020-01-30").iterdir() if p.suffix == ".parquet"]
+    files = [p for p in Path(f"{tables.table_folder(spark, path)}/d=2020-01-30").iterdir() if p.suffix == ".parquet"]
     assert len(files) > 8
     assert read_table(spark, path, layout).count() == 200_000
 
@@ -197,3 +197,59 @@ def test_materialise_keeps_schema_of_no_rows(spark):
     df = frame(spark).where("false")
     stored = storage.materialise(df, "none")
     assert stored.schema.names == ["k", "v", "d"] and stored.count() == 0
+
+
+# --- whole replacement -----------------------------------------------------------------------
+
+@pytest.mark.parametrize("layout", LAYOUTS[:2])
+@pytest.mark.parametrize("first", [append_table, overwrite_table])
+def test_an_overwrite_that_fails_keeps_the_old_rows(spark, folder, layout, first):
+    path = f"{folder}/t"
+    first(frame(spark, ("a", 1, D1), ("b", 2, D3)), path, layout)
+    fails = frame(spark, ("c", 3, D1)).withColumn("v", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        overwrite_table(fails, path, layout)
+    assert content(spark, path, layout) == same(("a", 1, D1), ("b", 2, D3))
+    assert overwrite_table(frame(spark, ("d", 4, D2)), path, layout) == 1
+    assert content(spark, path, layout) == same(("d", 4, D2))
+
+
+@pytest.mark.parametrize("at", ["write_text", "delete"])
+def test_an_overwrite_that_stops_at_the_switch(spark, folder, monkeypatch, at):
+    """Before the pointer is written the old rows are read, after it the new ones, whatever is left behind."""
+    path, layout = f"{folder}/t", Layout("d")
+    overwrite_table(frame(spark, ("a", 1, D1)), path, layout)
+    with monkeypatch.context() as broken:
+        broken.setattr(tables, at, lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            overwrite_table(frame(spark, ("b", 2, D2)), path, layout)
+    assert content(spark, path, layout) == same(("a", 1, D1) if at == "write_text" else ("b", 2, D2))
+    overwrite_table(frame(spark, ("c", 3, D3)), path, layout)
+    assert content(spark, path, layout) == same(("c", 3, D3))
+    assert {p.name for p in Path(path).iterdir()} == {"_live", "_data"}
+    assert len([p for p in Path(f"{path}/_data").iterdir() if p.is_dir()]) == 1  # older versions are gone
+    assert len([p for p in Path(f"{path}/_live").iterdir() if p.name.isdigit()]) == 1
+
+
+def test_a_table_may_be_rebuilt_from_itself(spark, folder):
+    path, layout = f"{folder}/t", Layout("d", "month")
+    append_table(frame(spark, ("a", 1, D1), ("b", 2, D3)), path, layout)
+    for n in range(3):
+        overwrite_table(read_table(spark, path, layout).withColumn("v", F.col("v") + 10), path, layout)
+    append_table(frame(spark, ("c", 3, D3)), path, layout)
+    replace_folders(frame(spark, ("z", 9, D1)), path, layout)
+    assert content(spark, path, layout) == same(("z", 9, D1), ("b", 32, D3), ("c", 3, D3))
+
+
+def test_what_hangs_on_a_replaced_table_goes_with_it(spark, folder, monkeypatch):
+    """An upsert that stopped half way and the key index belong to the rows they were made for."""
+    path, layout = f"{folder}/t", Layout("d")
+    overwrite_table(frame(spark, ("a", 1, D1), ("b", 2, D2)), path, layout)
+    with monkeypatch.context() as broken:
+        broken.setattr(tables, "replace_folders", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            upsert(frame(spark, ("a", 5, D3)), path, ["k"], layout)
+    overwrite_table(frame(spark, ("x", 7, D1)), path, layout)
+    upsert(frame(spark, ("y", 8, D1)), path, ["k"], layout)
+    assert content(spark, path, layout) == same(("x", 7, D1), ("y", 8, D1))
+    assert insert_if_absent(frame(spark, ("a", 1, D1), ("x", 0, D1)), path, ["k"], ["v"], layout) == 1
