@@ -343,6 +343,18 @@ def test_report() -> str:
 
 _SELECTS: dict[str, str] = {
     "csv_scan": f"SELECT order_id, product_id, {money('price_cents')} AS price FROM csv_order_items",
+    "quarantine_faults": """
+SELECT source, column_name, value, reason FROM (
+  SELECT order_id, cast(order_id AS bigint) % 151 = 0 AS no_id, cast(order_id AS bigint) % 157 = 0 AS cut, customer_id, order_purchase_timestamp AS bought FROM csv_orders) AS o,
+LATERAL (
+  SELECT 'orders' AS source, NULL AS column_name, concat(CASE WHEN no_id THEN '' ELSE order_id END, ',', customer_id, ',"on') AS value, 'open quote' AS reason WHERE cut
+  UNION ALL SELECT 'orders', NULL, concat('hold",', coalesce(bought, '')), 'open quote' WHERE cut
+  UNION ALL SELECT 'orders', 'order_id', NULL, 'no key' WHERE no_id AND NOT cut
+  UNION ALL SELECT 'orders', 'order_purchase_timestamp', bought, 'unreadable time' WHERE bought = 'not-a-date' AND NOT cut) AS f
+UNION ALL
+SELECT 'order_items', 'product_id', NULL, 'no key' FROM csv_order_items WHERE product_id IS NULL
+UNION ALL
+SELECT 'order_items', 'price', 'free', 'unreadable value' FROM csv_order_items WHERE cast(order_id AS bigint) % 149 = 0""",
     "csv_scan_text": "SELECT * FROM csv_customers",
     "csv_scan_multiline": "SELECT * REPLACE (replace(customer_city, ' ', chr(10)) AS customer_city) FROM csv_customers",
     "customers_dedup": "SELECT customer_unique_id, customer_id, customer_city FROM people",
@@ -408,6 +420,9 @@ _SELECTS: dict[str, str] = {
     "fct_orders": f"SELECT {FACT_OUT} FROM fact",
     "fct_orders_incremental": f"SELECT {FACT_OUT} FROM fact WHERE order_date >= DATE '{AS_OF}' - 3",
     "fct_orders_merge": f"SELECT {FACT_OUT} FROM merged",
+    "fct_orders_late": f"SELECT {FACT_OUT} FROM fact",
+    "segment_customers_approx": "SELECT city, age_group, count(DISTINCT customer_id) AS total_customers, true AS within_bound "
+                                "FROM fact GROUP BY city, age_group",
     "mart_daily_revenue": "SELECT * FROM daily",
     "mart_product_performance": "SELECT * FROM product",
     "mart_customer_segments": "SELECT * FROM segment",

@@ -15,6 +15,7 @@ from merchmill.plans import ingest, jobs, models, quality, staging
 from merchmill.schemas import SOURCE_SCHEMAS
 from merchmill.sources import landing
 from merchmill.sources.files import scan_csv
+from merchmill.sources.quarantine import checked_source
 from merchmill.sources.storage import materialise, scratch_path
 from merchmill.sources.tables import (
     Layout, append_table, insert_if_absent, overwrite_table, read_table, rows_between, upsert,
@@ -127,6 +128,26 @@ def csv_scan_text(spark, sf):
     return plain(_csv_round_trip(spark, sf, "csv_customers", "customers"))
 
 
+def quarantine_faults(spark, sf):
+    """What is set aside of orders and items written with unreadable times and prices, open quotes and missing keys."""
+    folder = scratch_path(spark, "faulty-files")
+    number = F.col("order_id").cast("bigint")
+    orders = fixture(spark, sf, "csv_orders").withColumn(
+        "order_status", F.when(number % 157 == 0, F.lit("on\nhold")).otherwise(F.col("order_status"))
+    ).withColumn("order_id", F.when(number % 151 != 0, F.col("order_id")))
+    items = fixture(spark, sf, "csv_order_items").withColumn(
+        "price", F.when(number % 149 == 0, F.lit("free")).otherwise(F.col("price").cast("string")))
+    files = {"orders": "orders", "order_items": "items"}
+    found = []
+    for name, rows in (("orders", orders), ("order_items", items)):
+        rows.write.option("header", True).option("escape", '"').csv(f"{folder}/{files[name]}")
+        _, rejected = checked_source(
+            spark, f"{folder}/{files[name]}", SOURCE_SCHEMAS[name], f"{folder}/checked-{name}",
+            jobs.SOURCE_KEYS[name], jobs.SOURCE_TIMES.get(name, ()))
+        found.append(rejected.select(F.lit(name).alias("source"), "column_name", "value", "reason"))
+    return found[0].unionByName(found[1])
+
+
 def customers_dedup(spark, sf):
     rows = ingest.dedupe_people(fixture(spark, sf, "csv_customers"), ["customer_id"])
     return rows.select("customer_unique_id", "customer_id", "customer_city")
@@ -393,6 +414,23 @@ def fct_orders_incremental(spark, sf):
     return plain(models.fct_orders(orders, view["stg_customers"], view["stg_products"], few=True).drop("loaded_at"))
 
 
+def fct_orders_late(spark, sf):
+    """Orders of one month that arrive, and are loaded twice, after the fact was built from all others."""
+    config = scratch_config(spark, "late", load_mode="append", increment="ledger")
+    staged = {"orders": staged_orders(spark, sf), "customers": staged_customers(spark, sf), "products": staged_products(spark, sf)}
+    staged["orders"] = materialise(staged["orders"], "late-staged")
+    late = F.coalesce(F.trunc("order_date", "month") == F.lit(RUN_DATE.replace(day=1)), F.lit(False))
+    for day, rows in ((RUN_DATE, staged["orders"].where(~late)), (AS_OF, staged["orders"].where(late))):
+        for table in ("customers", "products"):
+            landing.export_table(landing.valid_rows(staged[table], table), config, table, day)
+        landing.export_table(landing.valid_rows(rows, "orders"), config, "orders", day)
+        for _ in range(2):
+            jobs.load_day(spark, config, day)
+        jobs.build_fact(spark, config, day)
+    facts = read_table(spark, config.path("warehouse", "fct_orders"), jobs.fact_layout(config))
+    return plain(facts.drop("loaded_at"))
+
+
 def fct_orders_merge(spark, sf):
     """All facts but the cancelled ones of the last 60 days, then those days' facts merged twice.
 
@@ -426,6 +464,20 @@ def mart_customer_segments(spark, sf):
     return plain(models.mart_customer_segments(fact(spark, sf)))
 
 
+def segment_customers_approx(spark, sf):
+    """Customers of each city and age group over all days, from stored daily sketches, beside the exact number."""
+    facts = materialise(fact(spark, sf), "sketch-fact")
+    path, layout = scratch_path(spark, "sketches"), Layout("report_date", "month")
+    overwrite_table(models.segment_sketches(facts), path, layout)
+    about = models.segment_customers(read_table(spark, path, layout)).select(
+        F.col("city").alias("c"), F.col("age_group").alias("a"), F.col("total_customers").alias("about"))
+    exact = facts.groupBy("city", "age_group").agg(F.countDistinct("customer_id").alias("total_customers"))
+    both = exact.join(about, F.col("city").eqNullSafe(F.col("c")) & F.col("age_group").eqNullSafe(F.col("a")), "left")
+    # three standard errors of the sketch, and one customer where there are few
+    near = F.abs(F.col("about") - F.col("total_customers")) <= 1 + 0.05 * F.col("total_customers")
+    return both.select("city", "age_group", "total_customers", F.coalesce(near, F.lit(False)).alias("within_bound"))
+
+
 def unmatched_orders(spark, sf):
     return models.unmatched_orders(fact(spark, sf))
 
@@ -494,6 +546,7 @@ QUERIES: dict[str, Query] = {
     "csv_scan": csv_scan,
     "csv_scan_text": csv_scan_text,
     "csv_scan_multiline": csv_scan_multiline,
+    "quarantine_faults": quarantine_faults,
     "customers_dedup": customers_dedup,
     "customers_build": customers_build,
     "median_price": median_price,
@@ -539,9 +592,11 @@ QUERIES: dict[str, Query] = {
     "fct_orders": fct_orders,
     "fct_orders_incremental": fct_orders_incremental,
     "fct_orders_merge": fct_orders_merge,
+    "fct_orders_late": fct_orders_late,
     "mart_daily_revenue": mart_daily_revenue,
     "mart_product_performance": mart_product_performance,
     "mart_customer_segments": mart_customer_segments,
+    "segment_customers_approx": segment_customers_approx,
     "unmatched_orders": unmatched_orders,
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,

@@ -29,6 +29,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--step", choices=STEPS, help="run one step of the day alone")
     parser.add_argument("--load-mode", choices=("replace", "append"))
     parser.add_argument("--lookback-days", type=int)
+    parser.add_argument("--increment", choices=("lookback", "ledger"), help="what a later build of the fact reads")
+    parser.add_argument("--quarantine", action="store_true", default=None, help="set aside what can't be read of the files")
     parser.add_argument("--threads", type=int)
     parser.add_argument("--multiline-files", nargs="*", help="source tables whose cells may hold line breaks")
     parser.add_argument("--root")
@@ -40,7 +42,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
 
 
 def config_from(args: argparse.Namespace) -> ShopConfig:
-    names = ("root", "source_dir", "target", "grain", "partition_by", "load_mode", "lookback_days", "threads", "multiline_files")
+    names = ("root", "source_dir", "target", "grain", "partition_by", "load_mode", "lookback_days", "increment", "quarantine",
+             "threads", "multiline_files")
     given = {n: getattr(args, n) for n in names if getattr(args, n) is not None}
     if "multiline_files" in given:
         given["multiline_files"] = tuple(given["multiline_files"])

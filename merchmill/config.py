@@ -30,10 +30,15 @@ class ShopConfig:
     partition_by: str = "day"
     #: how orders enter the warehouse: "replace" the loaded partitions, or "append"
     load_mode: str = "replace"
+    #: what a later build of the fact reads: the days of the look-back ("lookback"), or those of all loads that came
+    #: since the last build, however old they are ("ledger")
+    increment: str = "lookback"
     #: how many tables a step writes at the same time
     threads: int = 4
     #: source files whose quoted cells may hold line breaks; such a file is read by one task
     multiline_files: tuple[str, ...] = ()
+    #: set aside what can't be read of the source files, with its place and a reason, instead of failing or NULL
+    quarantine: bool = False
     source_files: dict[str, str] = field(default_factory=lambda: dict(values.SOURCE_FILES))
 
     def __post_init__(self):
@@ -43,6 +48,8 @@ class ShopConfig:
             raise ValueError(f"partition_by must be 'day' or 'month', not {self.partition_by!r}")
         if self.load_mode not in ("replace", "append"):
             raise ValueError(f"load_mode must be 'replace' or 'append', not {self.load_mode!r}")
+        if self.increment not in ("lookback", "ledger"):
+            raise ValueError(f"increment must be 'lookback' or 'ledger', not {self.increment!r}")
         if self.threads < 1:
             raise ValueError("threads must be positive")
         if self.daily_orders is not None and self.daily_orders < 1:

@@ -12,8 +12,9 @@ a small file, is written last, so a build that failed is not taken for a store.
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -21,12 +22,14 @@ from merchmill.config import ShopConfig
 from merchmill.operators import draw_order, head_rows, median_of_counts, other_rows, restamp, value_counts
 from merchmill.plans import ingest
 from merchmill.sources.buckets import bucket_count, read_buckets, write_buckets
-from merchmill.sources.storage import delete, fingerprint, read_text, write_text
+from merchmill.sources.storage import delete, file_bytes, fingerprint, read_text, side_by_side, write_text
 from merchmill.sources.tables import Layout, read_table, rows_between, write_folder
 
 #: lines of a draw folder and rows of a bucket on average
 LINES_PER_DRAW_FOLDER, ROWS_PER_BUCKET = 1 << 17, 1 << 18
 MOST_DRAW_BITS = 12
+#: a guess at the size of an item in the source files, for the number of buckets
+BYTES_PER_ITEM = 32
 
 PERSON = ["customer_unique_id"]
 PEOPLE = T.StructType([T.StructField(c, T.StringType()) for c in ("customer_unique_id", "customer_city")])
@@ -60,24 +63,32 @@ def stored_history(spark: SparkSession, config: ShopConfig, src: dict[str, DataF
     if known:
         return History(**json.loads(known))
     delete(spark, base)  # built from older sources, or not to its end
-    lines = ingest.build_orders(src["orders"], src["order_items"], src["customers"], None)
     layout = history_layout(config)
-    count = write_folder(lines.withColumn("draw", draw_order(config.seed, ingest.LINE_KEY)), f"{path}/days", layout)
-    bits = min(MOST_DRAW_BITS, max(0, (count // LINES_PER_DRAW_FOLDER).bit_length()))
-    history = History(path, count, bits, bucket_count(count, ROWS_PER_BUCKET))
-    write_draws(read_table(spark, f"{path}/days", layout), history)
-    add_prices(src["order_items"], history)
-    people = ingest.dedupe_people(src["customers"], ingest.person_order(src["customers"]))
-    write_buckets(people.select(*PEOPLE.names), f"{path}/people", PERSON, history.buckets)
+    history = History(path, 0, 0, bucket_count(file_bytes(spark, src["order_items"]) // BYTES_PER_ITEM, ROWS_PER_BUCKET))
+
+    def lines() -> tuple[int, int]:
+        built = ingest.build_orders(src["orders"], src["order_items"], src["customers"], None)
+        count = write_folder(built.withColumn("draw", draw_order(config.seed, ingest.LINE_KEY)), f"{path}/days", layout)
+        bits = min(MOST_DRAW_BITS, (count // LINES_PER_DRAW_FOLDER).bit_length())
+        write_draws(read_table(spark, f"{path}/days", layout), f"{path}/draws", bits)
+        return count, bits
+
+    def persons() -> None:
+        first = ingest.dedupe_people(src["customers"], ingest.person_order(src["customers"]))
+        write_buckets(first.select(*PEOPLE.names), f"{path}/people", PERSON, history.buckets)
+
+    done = side_by_side(config.threads, {"lines": lines, "people": persons, "prices": partial(add_prices, src["order_items"], history)})
+    count, bits = done["lines"]
+    history = replace(history, lines=count, draw_bits=bits)
     write_text(spark, f"{path}/_history", json.dumps(asdict(history)))
     return history
 
 
-def write_draws(lines: DataFrame, history: History) -> None:
+def write_draws(lines: DataFrame, path: str, bits: int) -> None:
     """Each task writes a range of draw values, so files don't overlap and a folder has few of them."""
     first = F.conv(F.substring("draw", 1, 4), 16, 10).cast("int")
-    placed = lines.withColumn("draw_folder", F.shiftright(first, 16 - history.draw_bits)).repartitionByRange("draw")
-    placed.sortWithinPartitions("draw_folder", "draw").write.mode("overwrite").partitionBy("draw_folder").parquet(f"{history.path}/draws")
+    placed = lines.withColumn("draw_folder", F.shiftright(first, 16 - bits)).repartitionByRange("draw")
+    placed.sortWithinPartitions("draw_folder", "draw").write.mode("overwrite").partitionBy("draw_folder").parquet(path)
 
 
 def day_lines(spark: SparkSession, config: ShopConfig, history: History, run_date: date, now: datetime) -> DataFrame:

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 from datetime import date, datetime
-from functools import partial
-from typing import TypeVar
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,9 +14,12 @@ from merchmill.plans import ingest, models, quality, staging
 from merchmill.plans.history import (
     History, day_lines, drawn_lines, history_layout, median_prices, people, stored_history,
 )
+from merchmill.schemas import SOURCE_SCHEMAS
 from merchmill.sources import landing
-from merchmill.sources.files import check_sources, scan_source
-from merchmill.sources.storage import delete, has_data, materialise, own_scratch
+from merchmill.sources.files import FILE_POSITION, check_sources, scan_source, source_path
+from merchmill.sources.ledger import Entry
+from merchmill.sources.quarantine import checked_source
+from merchmill.sources.storage import delete, has_data, materialise, own_scratch, read_text, side_by_side, write_text
 from merchmill.sources.tables import (
     PLAIN, Layout, folder_path, insert_if_absent, note_folders, noted_folders, overwrite_table, read_table,
     replace_folders, rows_between, table_exists, upsert,
@@ -33,16 +34,6 @@ MART_CLUSTERS = {
 }
 
 
-Result = TypeVar("Result")
-
-
-def side_by_side(config: ShopConfig, steps: dict[str, Callable[[], Result]]) -> dict[str, Result]:
-    """Run independent writes at the same time, so that one table's last tasks do not idle the cluster."""
-    with ThreadPoolExecutor(config.threads) as pool:
-        running = {name: pool.submit(step) for name, step in steps.items()}
-        return {name: step.result() for name, step in running.items()}
-
-
 # --- layouts ---------------------------------------------------------------------------------
 
 def order_layout(config: ShopConfig) -> Layout:
@@ -59,16 +50,39 @@ def mart_layout(config: ShopConfig, mart: str) -> Layout:
 
 # --- ingest ----------------------------------------------------------------------------------
 
+#: columns that a row of a source file can't do without, and those that hold times
+SOURCE_KEYS = {
+    "customers": ("customer_id", "customer_unique_id"), "orders": ("order_id",), "order_items": ("order_id", "product_id"),
+    "products": ("product_id",), "translation": ("product_category_name",),
+}
+SOURCE_TIMES = {"orders": ("order_purchase_timestamp",)}
+
+
 def read_sources(spark: SparkSession, config: ShopConfig) -> dict[str, DataFrame]:
+    """The source files; with ``config.quarantine`` those rows of them that can be used, see ``quarantined``."""
     check_sources(spark, config)
+    if config.quarantine:
+        return {name: _checked(spark, config, name)[0] for name in SOURCES}
     return {name: scan_source(spark, config, name) for name in SOURCES}
 
 
+def _checked(spark: SparkSession, config: ShopConfig, name: str) -> tuple[DataFrame, DataFrame]:
+    rows, faults = checked_source(spark, source_path(config, name), SOURCE_SCHEMAS[name], config.path("checked", name),
+                                  SOURCE_KEYS[name], SOURCE_TIMES.get(name, ()))
+    return (rows if name == "customers" else rows.drop(FILE_POSITION)), faults
+
+
+def quarantined(spark: SparkSession, config: ShopConfig) -> DataFrame:
+    """What was set aside of all source files: source, file, split, line, column_name, value, reason."""
+    found = [_checked(spark, config, name)[1].select(F.lit(name).alias("source"), "*") for name in SOURCES]
+    return reduce(DataFrame.unionByName, found)
+
+
 def insert_raw(
     config: ShopConfig, customers: DataFrame, products: DataFrame, orders: DataFrame
 ) -> dict[str, int]:
     """Add new customers, products and order lines to the ingest tables; known keys are left as they are."""
-    return side_by_side(config, {
+    return side_by_side(config.threads, {
         # the customer build already keeps one row per id
         "customers": partial(
             insert_if_absent, customers.select(*ingest.CUSTOMER_COLUMNS), config.path("ingest", "customers"),
@@ -157,7 +171,7 @@ def stage_day(spark: SparkSession, config: ShopConfig, run_date: date | None, st
         ),
     }
     # keys are unique here: ingest keeps one customer and product per id, and staging one line per order key
-    return side_by_side(config, {
+    return side_by_side(config.threads, {
         table: partial(insert_if_absent, rows, config.path("staged", table), keys, None, table_layout)
         for table, (rows, keys, table_layout) in staged.items()
     })
@@ -180,12 +194,12 @@ def export_day(spark: SparkSession, config: ShopConfig, run_date: date, whole_hi
         )
         return landing.export_table(landing.valid_rows(staged, table), config, table, run_date)
 
-    landed = side_by_side(config, {t: partial(export, t) for t in TABLES})
+    landed = side_by_side(config.threads, {t: partial(export, t) for t in TABLES})
     return {table: uri for table, uri in landed.items() if uri is not None}
 
 
 def load_day(spark: SparkSession, config: ShopConfig, run_date: date) -> dict[str, int | None]:
-    return side_by_side(config, {t: partial(landing.load_table, spark, config, t, run_date) for t in TABLES})
+    return side_by_side(config.threads, {t: partial(landing.load_table, spark, config, t, run_date) for t in TABLES})
 
 
 # --- models ----------------------------------------------------------------------------------
@@ -209,27 +223,46 @@ def pending_path(config: ShopConfig) -> str:
     return config.path("warehouse", "fct_orders_pending")
 
 
+def _loads_seen(spark: SparkSession, config: ShopConfig) -> int:
+    """The number of the last load that the fact has taken in."""
+    return int(read_text(spark, config.path("warehouse", "fct_orders_loads")) or 0)
+
+
+def _new_orders(spark: SparkSession, config: ShopConfig, as_of: date, loads: Sequence[Entry]) -> DataFrame:
+    """The raw orders that a build after the first one reads."""
+    path, layout = config.path("raw", "orders"), landing.warehouse_layout(config, "orders")
+    if config.increment == "lookback":
+        first = date.fromordinal(as_of.toordinal() - config.lookback_days)
+        return models.recent(models.stg_orders(rows_between(spark, path, layout, first, None)), as_of, config.lookback_days)
+    days = {d for load in loads for d in load.days}
+    rows = layout.in_folders(read_table(spark, path, layout, keep_folder=True), list({layout.folder_value(d) for d in days}))
+    of_day = F.col("order_date").isin(*(d for d in days if d is not None)) if days - {None} else F.lit(False)
+    rows = rows.where(F.coalesce(of_day, F.lit(None in days)))
+    return models.stg_orders(rows if layout.folder == layout.date_column else rows.drop(layout.folder))
+
+
 def build_fact(spark: SparkSession, config: ShopConfig, as_of: date, full_refresh: bool = False) -> Sequence[date | None] | None:
     """Bring the order fact up to date. Returns the folders written, None when it was built anew.
 
-    After the first build only orders of the look-back window are read and merged by key; orders that
-    arrive later than that need ``full_refresh``.
+    After the first build only new orders are read and merged by key. With ``config.increment="lookback"`` these
+    are the orders of the look-back window, and those that arrive later than that need ``full_refresh``; with
+    "ledger" the orders of all days that any load since the last build was about.
     """
     path, layout = config.path("warehouse", "fct_orders"), fact_layout(config)
-    raw_orders = config.path("raw", "orders")
     views = warehouse_views(spark, config)
+    loads = landing.load_ledger(spark, config).entries(after=_loads_seen(spark, config))
     if full_refresh or not table_exists(spark, path):
         fact = models.fct_orders(views["stg_orders"], views["stg_customers"], views["stg_products"])
         note_folders(spark, pending_path(config), [], whole=True)
         overwrite_table(fact, path, layout)
-        return None
-    first = date.fromordinal(as_of.toordinal() - config.lookback_days)
-    window = rows_between(spark, raw_orders, landing.warehouse_layout(config, "orders"), first, None)
-    fact = models.fct_orders(
-        models.recent(models.stg_orders(window), as_of, config.lookback_days),
-        views["stg_customers"], views["stg_products"], few=True,
-    )
-    return upsert(materialise(fact, "fact-batch"), path, config.order_key, layout, pending_path(config))
+        folders = None
+    else:
+        new = _new_orders(spark, config, as_of, loads)
+        fact = models.fct_orders(new, views["stg_customers"], views["stg_products"], few=True)
+        folders = upsert(materialise(fact, "fact-batch"), path, config.order_key, layout, pending_path(config))
+    if loads and (folders is None or config.increment == "ledger"):
+        write_text(spark, config.path("warehouse", "fct_orders_loads"), str(loads[-1].number))
+    return folders
 
 
 def build_marts(spark: SparkSession, config: ShopConfig, folders: Sequence[date | None] | None = None) -> dict[str, int]:
@@ -259,7 +292,7 @@ def build_marts(spark: SparkSession, config: ShopConfig, folders: Sequence[date
                 delete(spark, folder_path(spark, path, mart, folder))
         return written
 
-    written = side_by_side(config, {name: partial(refresh, name) for name in models.MARTS})
+    written = side_by_side(config.threads, {name: partial(refresh, name) for name in models.MARTS})
     delete(spark, pending_path(config))
     return written
 

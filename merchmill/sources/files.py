@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from merchmill import values
 from merchmill.config import ShopConfig
@@ -33,6 +33,39 @@ def check_sources(spark: SparkSession, config: ShopConfig, optional: Iterable[st
         raise FileNotFoundError(f"missing source files in {config.source_dir}: {', '.join(missing)}")
 
 
+#: how the files are written, for the reader and for single lines
+CSV_FORM = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+RAW_RECORD = "_raw_record"
+
+
+def header_names(spark: SparkSession, path: str, **options) -> list[str]:
+    """The columns of a header CSV as they are written."""
+    return spark.read.options(header=True, inferSchema=False, **CSV_FORM).options(**options).csv(path).columns
+
+
+def cells_of(
+    names: Iterable[str], schema: T.StructType, path: str, missing: Iterable[str], cell: Callable[[str], Column]
+) -> dict[str, Column]:
+    """The text of each declared column, found by name; the usual texts for "missing" are NULL."""
+    present = {name.strip().lstrip("\ufeff"): name for name in names}
+    absent = [field.name for field in schema if field.name not in present]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    missing = list(missing)
+    texts = {field.name: cell(present[field.name]) for field in schema}
+    return {name: F.when(~text.isin(*missing), text) if missing else text for name, text in texts.items()}
+
+
+def typed(text: Column, kind: T.DataType) -> Column:
+    """A cell's value; NULL where it can't be read."""
+    return text if isinstance(kind, T.StringType) else F.trim(text).try_cast(kind)
+
+
+def open_quote(line: Column) -> Column:
+    """Whether a quote that a line opens stays open at its end: it holds an odd number of quotes."""
+    return F.length(line) % 2 != F.length(F.replace(line, F.lit('"'))) % 2
+
+
 def scan_csv(
     spark: SparkSession, path: str, schema: T.StructType, missing: Iterable[str] = values.MISSING_TEXTS,
     multiline: bool = False, position: str | None = None, **options,
@@ -40,38 +73,41 @@ def scan_csv(
     """Header CSV with a declared schema; columns go by name, so files may hold more of them.
 
     Blanks around a cell are kept, a doubled quote is a quote, and the usual texts for "missing" are
-    NULL. ``multiline`` allows line breaks inside quotes, at the price of one task per file.
+    NULL. ``multiline`` allows line breaks inside quotes, at the price of one task per file. Without it a record
+    that goes on in the next line stops the read with an error that names the file; only where the header has a
+    single column can't it be told. A record with too few cells has NULL in the others.
     ``position`` names a column to add that sorts rows as they stand in the file.
     """
-    # the whole header is read as text and matched by name: a declared schema alone would go by position
+    # all cells are read as text and matched by name: a declared schema alone would go by position
+    names = header_names(spark, path, multiLine=multiline, **options)
+    whole = T.StructType([T.StructField(n, T.StringType()) for n in [*names, RAW_RECORD]])
+    # with all columns parsed, a record that was cut in two is seen by its number of cells in one half at least
     text = (
-        spark.read.option("header", True).option("quote", '"').option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-        .option("multiLine", multiline).option("inferSchema", False).options(**options).csv(path)
+        spark.read.schema(whole).options(header=True, multiLine=multiline, columnPruning=multiline, **CSV_FORM)
+        .option("columnNameOfCorruptRecord", RAW_RECORD).options(**options).csv(path)
     )
-    missing = list(missing)
-    present = {name.strip().lstrip("\ufeff"): name for name in text.columns}
-    absent = [field.name for field in schema if field.name not in present]
-    if absent:
-        raise ValueError(f"{path} has no column {', '.join(absent)}")
-    columns = []
-    for field in schema:
-        cell = F.col(f"`{present[field.name]}`")
-        cell = F.when(~cell.isin(*missing), cell) if missing else cell
-        if not isinstance(field.dataType, T.StringType):
-            cell = F.trim(cell).try_cast(field.dataType)
-        columns.append(cell.alias(field.name))
-    if position is not None:
-        # the running id only has to order rows of one split, which one task reads from front to back
-        place = F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("split"),
-            F.monotonically_increasing_id().alias("row"),
+    if not multiline and len(names) > 1:
+        problem = F.concat(
+            F.lit("a quoted cell holds a line break, read this file with multiline: "), F.col("_metadata.file_path"),
+            F.lit(", at "), F.col(RAW_RECORD), F.coalesce(F.left(f"`{names[0]}`", F.lit(0)), F.lit("")),
         )
-        columns.append(place.alias(position))
+        text = text.where(F.when(open_quote(F.col(RAW_RECORD)), F.raise_error(problem).cast("boolean")).otherwise(True))
+    cells = cells_of(names, schema, path, missing, lambda name: F.col(f"`{name}`"))
+    columns = [typed(cells[field.name], field.dataType).alias(field.name) for field in schema]
+    if position is not None:
+        columns.append(file_position().alias(position))
     return text.select(*columns)
 
 
+def file_position() -> Column:
+    """Sorts rows as they stand in a file: the running id only has to order those of one split, read by one task."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+
+
 def scan_source(spark: SparkSession, config: ShopConfig, name: str) -> DataFrame:
     position = FILE_POSITION if name == "customers" else None
     return scan_csv(spark, source_path(config, name), SOURCE_SCHEMAS[name], multiline=name in config.multiline_files,

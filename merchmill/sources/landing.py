@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from merchmill.config import ShopConfig
 from merchmill.schemas import LOAD_SCHEMAS, REQUIRED_COLUMNS
+from merchmill.sources.ledger import Ledger, digest_of
 from merchmill.sources.storage import delete, exists, materialise
 from merchmill.sources.tables import (
-    PLAIN, Layout, append_table, overwrite_table, read_table, replace_folders, table_exists, write_folder,
+    PLAIN, Layout, append_table, folder_path, overwrite_table, read_table, replace_folders, table_exists, write_folder,
 )
 
 LANDED_COLUMNS = {name: schema.names for name, schema in LOAD_SCHEMAS.items()}
@@ -52,11 +54,17 @@ def warehouse_layout(config: ShopConfig, table: str) -> Layout:
     return Layout("order_date", config.partition_by) if table == "orders" else PLAIN
 
 
+def load_ledger(spark: SparkSession, config: ShopConfig) -> Ledger:
+    """The order batches that the warehouse has taken."""
+    return Ledger(spark, config.path("raw", "orders_loads"))
+
+
 def load_table(spark: SparkSession, config: ShopConfig, table: str, run_date: date) -> int | None:
     """Load one landing folder into the warehouse; returns the rows loaded, None if there is no folder.
 
     Customers and products replace the table. Orders replace the partitions they cover, so loading a
-    day again does not repeat its rows; ``load_mode="append"`` adds them instead.
+    day again does not repeat its rows. ``load_mode="append"`` adds them instead, and adds a batch once: its
+    rows are known by a digest in the ledger of loads, and what a load that failed has added is removed first.
     """
     source = config.landing_path(table, run_date)
     if not exists(spark, source):
@@ -65,11 +73,20 @@ def load_table(spark: SparkSession, config: ShopConfig, table: str, run_date: da
     target, layout = config.path("raw", table), warehouse_layout(config, table)
     if table != "orders":
         return overwrite_table(rows, target, layout)
+    ledger, batch = load_ledger(spark, config), f"{run_date:%Y-%m-%d}"
+    ledger.undo_open()
+    digest, days = digest_of(rows)
     if config.load_mode == "append":
-        return append_table(rows, target, layout)
-    if config.partition_by != "day":
-        return _replace_days(spark, rows, target, layout)
-    return replace_folders(rows, target, layout)
+        if any((e.batch, e.digest) == (batch, digest) for e in ledger.entries()):
+            return 0
+        folders = {layout.folder_value(d) for d in days}
+        number = ledger.begin([folder_path(spark, target, layout, f) for f in folders])
+        written = append_table(rows, target, layout)
+    else:
+        number = ledger.begin([])  # a replacement that failed needs no undoing: the next one replaces the same days
+        written = (replace_folders if config.partition_by == "day" else partial(_replace_days, spark))(rows, target, layout)
+    ledger.finish(number, batch, digest, days)
+    return written
 
 
 def _replace_days(spark: SparkSession, rows: DataFrame, target: str, layout: Layout) -> int:

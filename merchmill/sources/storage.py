@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,6 +81,25 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def file_bytes(spark: SparkSession, df: DataFrame) -> int:
+    """Bytes of the files behind a DataFrame; 0 where there are none."""
+    total = 0
+    for file in df.inputFiles():
+        fs, path = _file_system(spark, file)
+        total += fs.getFileStatus(path).getLen()
+    return total
+
+
+Result = TypeVar("Result")
+
+
+def side_by_side(threads: int, steps: dict[str, Callable[[], Result]]) -> dict[str, Result]:
+    """Run independent writes at the same time, so that one table's last tasks do not idle the cluster."""
+    with ThreadPoolExecutor(threads) as pool:
+        running = {name: pool.submit(step) for name, step in steps.items()}
+        return {name: step.result() for name, step in running.items()}
+
+
 def fingerprint(spark: SparkSession, sources: dict[str, DataFrame]) -> str:
     """Changes when the files behind some DataFrames change, or the DataFrames themselves."""
     seen = hashlib.md5()

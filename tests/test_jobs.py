@@ -186,6 +186,39 @@ def test_late_orders_need_a_full_refresh(spark, shop):
     assert FIRST in {r.order_date for r in table(spark, config, "warehouse", "fct_orders").collect()}
 
 
+def test_the_ledger_brings_late_orders_and_takes_up_after_a_failure(spark, shop, monkeypatch):
+    config = shop(daily_orders=None, increment="ledger", load_mode="append")
+    last = FIRST + timedelta(days=4)
+    jobs.run_day(spark, config, last, NOW)
+    for day in (FIRST, FIRST + timedelta(days=1)):
+        jobs.ingest_day(spark, config, day, NOW)
+        jobs.stage_day(spark, config, day, NOW.date())
+        jobs.export_day(spark, config, day)
+        jobs.load_day(spark, config, day)
+    with monkeypatch.context() as broken:
+        broken.setattr(jobs, "upsert", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.build_fact(spark, config, last)
+    assert set(jobs.build_fact(spark, config, last)) == {FIRST, FIRST + timedelta(days=1)}
+    assert jobs.build_fact(spark, config, last) == []  # nothing was loaded since
+    fact = rows(table(spark, config, "warehouse", "fct_orders").drop("loaded_at"))
+    jobs.build_fact(spark, config, last, full_refresh=True)
+    assert rows(table(spark, config, "warehouse", "fct_orders").drop("loaded_at")) == fact
+
+
+def test_a_day_from_files_with_faults(spark, shop, folder):
+    """With quarantine a run goes on without the lines that can't be used, and says which they are."""
+    config = shop(daily_orders=None, quarantine=True)
+    with open(f"{folder}/{values.SOURCE_FILES['orders']}", "a", encoding="utf-8") as out:
+        out.write('o900,c1,"on\nhold",2018-03-31 10:00:00,1\n,c2,delivered,2018-03-31 10:00:00,1\n')
+    done = jobs.run_day(spark, config, FIRST, NOW)
+    found = {(r.source, r.column_name, r.reason) for r in jobs.quarantined(spark, config).collect()}
+    assert {("orders", None, "open quote"), ("orders", "order_id", "no key"), ("orders", "order_purchase_timestamp", "unreadable time")} <= found
+    assert all(t["passed"] for t in done["tests"])
+    with pytest.raises(Exception, match="multiline"):
+        jobs.run_day(spark, shop(daily_orders=None, target="prod"), FIRST, NOW)
+
+
 def test_arguments(spark, shop, capsys, monkeypatch):
     args = parse(["--date", "2018-03-31", "--limit", "0", "--grain", "line"])
     assert args.date == date(2018, 3, 31) and config_from(args).daily_orders is None

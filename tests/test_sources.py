@@ -6,7 +6,7 @@ import pytest
 from merchmill import values
 from merchmill.config import ShopConfig
 from merchmill.schemas import LOAD_SCHEMAS, SOURCE_SCHEMAS
-from merchmill.sources import landing
+from merchmill.sources import landing, quarantine
 from merchmill.sources.files import check_sources, scan_csv, scan_query
 from merchmill.sources.tables import read_table
 
@@ -96,7 +96,7 @@ def test_landing_of_an_empty_day_writes_nothing_and_the_load_skips_it(spark, fol
 
 
 @pytest.mark.parametrize("grain", ["day", "month"])
-def test_loading_a_day_again_replaces_it_and_append_repeats_it(spark, folder, grain):
+def test_loading_a_day_again_replaces_it_and_append_takes_a_batch_once(spark, folder, grain):
     other = date(2020, 1, 2)
     config = ShopConfig(root=folder, partition_by=grain)
     for day in (DAY, other, other):
@@ -108,8 +108,40 @@ def test_loading_a_day_again_replaces_it_and_append_repeats_it(spark, folder, gr
     assert sorted(r.order_id for r in loaded.collect()) == ["a", "b"]
     assert [(f.name, f.dataType) for f in loaded.schema] == [(f.name, f.dataType) for f in LOAD_SCHEMAS["orders"]]
     append = ShopConfig(root=folder, partition_by=grain, load_mode="append")
-    landing.load_table(spark, append, "orders", other)
-    assert read_table(spark, config.path("raw", "orders"), layout).count() == 3
+    assert landing.load_table(spark, append, "orders", other) == 0
+    more = landing.valid_rows(staged_orders(spark, ("c", other, True), ("c2", DAY, True), ("n", None, True)), "orders")
+    landing.export_table(more, config, "orders", date(2020, 1, 9))
+    assert [landing.load_table(spark, append, "orders", date(2020, 1, 9)) for _ in range(3)] == [3, 0, 0]
+    found = {r.order_id: r.order_date for r in read_table(spark, config.path("raw", "orders"), layout).collect()}
+    assert found == {"a": DAY, "b": other, "c": other, "c2": DAY, "n": None}
+    assert set(landing.load_ledger(spark, config).entries()[-1].days) == {DAY, other, None}
+
+
+@pytest.mark.parametrize("stop", ["append_table", "finish"])
+@pytest.mark.parametrize("grain", ["day", "month"])
+def test_an_append_that_failed_is_undone_and_taken_once(spark, folder, monkeypatch, grain, stop):
+    config = ShopConfig(root=folder, partition_by=grain, load_mode="append")
+    layout = landing.warehouse_layout(config, "orders")
+
+    def load(day, *rows):
+        landing.export_table(landing.valid_rows(staged_orders(spark, *rows), "orders"), config, "orders", day)
+        return landing.load_table(spark, config, "orders", day)
+
+    load(DAY, ("a", DAY, True))
+    append, late = landing.append_table, date(2020, 1, 5)
+
+    def half(rows, target, table_layout):
+        append(rows.limit(1), target, table_layout)
+        raise ZeroDivisionError
+
+    with monkeypatch.context() as broken:
+        broken.setattr(*((landing, stop, half) if stop == "append_table" else (landing.Ledger, stop, lambda *a: 1 / 0)))
+        with pytest.raises(ZeroDivisionError):
+            load(late, ("b", DAY, True), ("c", late, True))
+    assert landing.load_table(spark, config, "orders", late) == 2
+    assert landing.load_table(spark, config, "orders", late) == 0
+    assert sorted(r.order_id for r in read_table(spark, config.path("raw", "orders"), layout).collect()) == ["a", "b", "c"]
+    assert [e.number for e in landing.load_ledger(spark, config).entries()] == [1, 2]
 
 
 def test_load_refuses_null_in_a_required_column(spark, folder):
@@ -143,3 +175,78 @@ def test_config_checks_and_paths(monkeypatch):
     config = ShopConfig.from_env(target="prod")
     assert config.path("raw", "orders") == "s3a://shop/prod/raw/orders" and config.seed == 7
     assert config.landing_path("orders", DAY) == "s3a://shop/prod/landing/orders/date=2020-01-01"
+
+
+# --- records with line breaks, and what is set aside ------------------------------------------
+
+ORDERS = SOURCE_SCHEMAS["orders"]
+FAULTY = "\n".join([
+    "order_id,customer_id,order_status,order_purchase_timestamp,more",
+    'o1,c1,delivered,2018-01-01 10:00:00,"a ""quoted"" cell, with a comma"',
+    'o2,c2,"on', 'hold",2018-01-01,x',
+    "o3,c3,shipped,soon,y",
+    ",c4,shipped,2018-01-02,z",
+    "NA,c5,shipped,NaN,z",
+    "o6,c6",
+    "",
+    "o7,c7,created,,w",
+]) + "\n"
+
+
+def put(folder, name, text):
+    with open(f"{folder}/{name}", "w", encoding="utf-8", newline="") as out:
+        out.write(text)
+    return f"{folder}/{name}"
+
+
+@pytest.mark.parametrize("text", [
+    'product_id,product_category_name\np1,"a\nb"\n', 'product_category_name,product_id\n"a\nb",p1\n',
+    'product_id,x,product_category_name\np0,1,c\np1,"\n\n",d\n'])
+def test_a_record_with_a_line_break_is_refused_or_read_whole(spark, folder, text):
+    path = put(folder, "products.csv", text)
+    with pytest.raises(Exception, match="read this file with multiline"):
+        scan_csv(spark, path, SOURCE_SCHEMAS["products"]).collect()
+    with pytest.raises(Exception, match="products.csv"):
+        scan_csv(spark, path, SOURCE_SCHEMAS["products"]).count()
+    rows = scan_csv(spark, path, SOURCE_SCHEMAS["products"], multiline=True).where("product_id = 'p1'").collect()
+    assert [r.product_category_name for r in rows] in (["a\nb"], ["d"])
+
+
+def test_short_records_and_quotes_inside_cells_are_read(spark, folder):
+    path = put(folder, "p.csv", 'product_id,product_category_name,x\np1,"say ""hi"", you",1\np2\n')
+    rows = scan_csv(spark, path, SOURCE_SCHEMAS["products"]).collect()
+    assert sorted((r.product_id, r.product_category_name) for r in rows) == [("p1", 'say "hi", you'), ("p2", None)]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_faults_are_set_aside_with_place_and_reason(spark, folder, end):
+    path = put(folder, "orders.csv", FAULTY.replace("\n", end))
+    rows, rejected = quarantine.checked_source(spark, path, ORDERS, f"{folder}/checked", ["order_id"], ["order_purchase_timestamp"])
+    assert sorted((r.order_id, r.order_purchase_timestamp) for r in rows.collect()) == [("o1", "2018-01-01 10:00:00"), ("o3", "soon"), ("o7", None)]
+    found = sorted(rejected.collect(), key=lambda r: (r.split, r.line))
+    assert [(r.column_name, r.value, r.reason) for r in found] == [
+        (None, 'o2,c2,"on', "open quote"), (None, 'hold",2018-01-01,x', "open quote"),
+        ("order_purchase_timestamp", "soon", "unreadable time"), ("order_id", None, "no key"), ("order_id", None, "no key"),
+        (None, "o6,c6", "wrong number of cells")]
+    assert all(r.file.endswith("orders.csv") for r in found)
+
+
+def test_faults_are_counted_by_the_job_that_stores_them(spark, folder):
+    path = put(folder, "items.csv", "order_id,product_id,price\no1,p1,3.5\no1,p2,free\n,p3,12\n,,cheap\n")
+    checked = quarantine.scan_checked(spark, path, SOURCE_SCHEMAS["order_items"], ["order_id", "product_id"])
+    counts = quarantine.store_checked(checked, f"{folder}/stored")
+    assert counts == {"unreadable value": 2, "unreadable time": 0, "no key": 3, "open quote": 0, "wrong number of cells": 0}
+    empty = put(folder, "none.csv", "order_id,product_id,price\n")
+    checked = quarantine.scan_checked(spark, empty, SOURCE_SCHEMAS["order_items"])
+    assert set(quarantine.store_checked(checked, f"{folder}/none").values()) == {0}
+
+
+def test_a_source_is_parsed_again_when_it_changes(spark, folder, monkeypatch):
+    path = put(folder, "orders.csv", FAULTY)
+    args = (spark, path, ORDERS, f"{folder}/checked", ["order_id"])
+    first = quarantine.checked_source(*args)[0].count()
+    with monkeypatch.context() as broken:
+        broken.setattr(quarantine, "store_checked", lambda *a: 1 / 0)
+        assert quarantine.checked_source(*args)[0].count() == first
+    put(folder, "orders.csv", FAULTY + "o9,c9,created,2018-01-01,v\n")
+    assert quarantine.checked_source(*args)[0].count() == first + 1
