@@ -8,9 +8,13 @@ bucket. They are then confirmed on their full sets. What can be missed is only a
 further apart than that: below one in 100,000 at the similarity threshold, and rarer above it.
 
 Documents of one set are one node. In a first pass a bucket compares its rows with its leaders only, which
-joins large groups of near copies by few links. A second pass then compares the rows of a bucket that are
-still in different components, so no link is lost. Of those it leaves out the pairs that can't be similar
-enough by the spread of their shingles over 256 cells: sets differ by as much as their counts do at least.
+joins large groups of near copies by few links. Rounds follow in which a bucket that still has rows of several
+components draws a few leaders anew and compares them with the rows of other components; confirmed links join
+components, and what is one component now is compared no more. So a family whose members are linked in chains
+takes a number of comparisons in line with its size in each round, not all its pairs. A last pass compares the
+rows of a bucket that are still in different components, so no link is lost. Rounds and last pass leave out the
+pairs that can't be similar enough by the spread of their shingles over 256 cells: sets differ by as much as
+their counts do at least.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ from merchmill.llm.common import rows_of, stored
 from merchmill.llm.components import components
 
 PLACES = 4  # of a chunk
+#: Rounds at most, and leaders that a bucket draws in one; the result doesn't depend on them, as a last pass follows.
+ROUNDS, DRAWN = 6, 4
 _KNOWN_WORDS = 200_000  # hashes kept beside a task; only speed depends on it
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63,
                      0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
@@ -177,10 +183,11 @@ def _runs(batches: Iterator[pa.RecordBatch], least: int = 1 << 15) -> Iterator[p
         yield pa.Table.from_batches(held)
 
 
-def _candidates(rows: DataFrame, chunks: int, percent: int, across: bool) -> DataFrame:
+def _candidates(rows: DataFrame, chunks: int, percent: int, across: bool, turn: int | None = None) -> DataFrame:
     """Pairs a, b to be confirmed, from rows in buckets. Plain: every row with the leaders of its bucket,
-    which are the rows that are not near an earlier leader. ``across``: all rows of different ``component``.
-    Rows are compared in blocks of numpy arrays; ``across`` reports a pair in one bucket only.
+    which are the rows that are not near an earlier leader. ``across``: all rows of different ``component``,
+    or, with a ``turn``, a few leaders that the bucket draws in it and all rows of other components.
+    Rows are compared in blocks of numpy arrays; without a turn ``across`` reports a pair in one bucket only.
     """
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches):
@@ -196,7 +203,7 @@ def _candidates(rows: DataFrame, chunks: int, percent: int, across: bool) -> Dat
                 near = np.zeros(len(i), bool)
                 for s in range(0, len(i), 1 << 14):
                     x, y = i[s:s + (1 << 14)], j[s:s + (1 << 14)]
-                    near[s:s + (1 << 14)] = _near(sig[x], sig[y], n[x], n[y], key[x], chunks, percent, across)
+                    near[s:s + (1 << 14)] = _near(sig[x], sig[y], n[x], n[y], key[x], chunks, percent, across and turn is None)
                     if across:
                         at = s + np.flatnonzero(near[s:s + (1 << 14)])
                         near[at] = _may_be_similar(spread[i[at]], spread[j[at]], n[i[at]], n[j[at]], percent)
@@ -208,6 +215,12 @@ def _candidates(rows: DataFrame, chunks: int, percent: int, across: bool) -> Dat
             compare(small, small + 1)
             for head, count in zip(heads[size > 2], size[size > 2]):
                 left = np.arange(head, head + count)
+                if turn is not None:
+                    draw = _mix(ids[left].astype(np.uint64) * _FACTORS[turn % 8] + key[left].astype(np.uint64))
+                    for leader in left[np.argsort(draw, kind="stable")[:DRAWN]]:
+                        other = left[label[left] != label[leader]]
+                        compare(np.full(len(other), leader), other)
+                    continue
                 while len(left) > 1:
                     leader, rest = left[0], left[1:]
                     with_leader = np.full(len(rest), leader)
@@ -267,22 +280,49 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, miss: float
         _shared_buckets, "bucket long, id long, n int, signature binary"), "buckets")
     in_order = lambda df: df.repartition("bucket").sortWithinPartitions("bucket", "id")
     near = stored(_confirm(_candidates(in_order(together), chunks, percent, False), docs, words, percent), "near-pairs")
-    first = components(near)
-    labelled = together.join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
-    apart = stored(labelled.join(mixed, "bucket", "left_semi"), "mixed-buckets")
+    labels, links = components(near), near.union(members)
     spread = nodes.select(F.col("doc_id").alias("id"), F.col("n_shingles").cast("int").alias("n"), "signature", "spread")
-    rest = _candidates(in_order(apart.join(spread, ["id", "n", "signature"])), chunks, percent, True)
-    rest = stored(rest.join(near, ["a", "b"], "left_anti"), "rest-pairs")
-    links = near.union(members)
-    if not rest.isEmpty():
-        links = links.union(_confirm(rest, docs, words, percent))
+    apart = stored(_still_apart(together, labels).join(spread, ["id", "n", "signature"]), "apart")
+    for turn in range(ROUNDS + 1):
+        if turn:
+            apart = _still_apart(apart, labels)
+        drawn = turn if turn < ROUNDS else None
+        pairs = stored(_candidates(in_order(apart), chunks, percent, True, drawn).join(near, ["a", "b"], "left_anti"), "rest-pairs")
+        found = stored(_confirm(pairs, docs, words, percent), "rest-links") if not pairs.isEmpty() else pairs
+        if found.isEmpty():
+            if drawn is None or pairs.isEmpty() and apart.isEmpty():
+                break
+            # no leader found a link: the last pass looks at what is left
+            pairs = stored(_candidates(in_order(apart), chunks, percent, True).join(near, ["a", "b"], "left_anti"), "rest-pairs")
+            links = links if pairs.isEmpty() else links.union(_confirm(pairs, docs, words, percent))
+            break
+        links = links.union(found)
+        if drawn is not None:
+            labels = _joined(labels, found)
     groups = components(links)
     return features.join(groups, features["doc_id"] == groups["id"], "left").select(
         features["doc_id"], "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
         F.col("doc_id").eqNullSafe(F.coalesce("component", "doc_id")).alias("kept"))
 
 
+def _still_apart(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components, with their ``component``."""
+    labelled = rows.drop("component").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    mixed = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
+    return stored(labelled.join(mixed, "bucket", "left_semi"), "mixed-buckets")
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after new links between documents, by components of the labels that these bring together."""
+    of = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}"))
+    ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    ends = stored(ends.select("a", "b", F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b")), "label-links")
+    lower = components(ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")).distinct()).select(
+        F.col("id").alias("component"), F.col("component").alias("lower"))
+    known = labels.union(ends.select(F.explode(F.array(*[F.struct(F.col(c).alias("id"), F.col(f"of_{c}").alias("component")) for c in "ab"])).alias("e")).select("e.*")).distinct()
+    return stored(known.join(lower, "component", "left").select("id", F.coalesce("lower", "component").alias("component")), "labels")
+
+
 def _shared_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows, sorted by bucket, that have company in theirs."""
     for table in _runs(batches):

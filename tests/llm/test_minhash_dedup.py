@@ -98,3 +98,32 @@ def test_components_of_chains_stars_and_loops(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, **{200 + i: 100 for i in range(300)}, 699: 699, 700: 699, 701: 699}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def family(size, words=60):
+    """Texts of one base that differ from it in one word each; the base itself isn't there."""
+    base = [f"word{i}" for i in range(words)]
+    return [(i, " ".join([*base[:i % words], f"other{i}", *base[i % words + 1:]])) for i in range(size)]
+
+
+def test_comparisons_of_a_family_grow_in_line_with_it(spark, monkeypatch):
+    """Texts linked in chains: every pair of them would be compared if all met in the last pass."""
+    confirm, pairs = minhash_dedup._confirm, []
+    monkeypatch.setattr(minhash_dedup, "_confirm", lambda p, *a: pairs.append(p.count()) or confirm(p, *a))
+    made = {}
+    for size in (150, 600):
+        rows = family(size)
+        pairs.clear()
+        got = minhash_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()
+        made[size] = sum(pairs)
+        assert {r.component_id for r in got} == {0} and len(got) == size
+    assert made[600] < 7 * made[150]  # four times the texts; all pairs would be sixteen times as many
+
+
+def test_what_no_round_finds_is_found_by_the_last_pass(spark, monkeypatch):
+    rows = family(90) + [(1000 + i, t.replace("word5 ", "changed ")) for i, t in family(40)]
+    want = {(i, c) for i, _, c, _ in expected(rows, 5, 80)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for rounds in (0, 1, 6):
+        monkeypatch.setattr(minhash_dedup, "ROUNDS", rounds)
+        assert {(r.doc_id, r.component_id) for r in minhash_dedup.near_groups(docs, 5, 80).collect()} == want
