@@ -13,7 +13,7 @@ so that no shard has to hold everything around a text that a third of all docume
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -262,26 +262,42 @@ def repeats_in_shard(data: np.ndarray, sizes: np.ndarray, marks: np.ndarray, cou
     return np.concatenate([later, np.column_stack([low[:, 0], low[:, 1], low[:, 2] + inside[a], b - a + length])])
 
 
+def merged_spans(rows: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """(k1, k2 of each document, its spans as pairs start, end of 32-bit numbers), from rows k1, k2, start, bytes.
+
+    Spans that overlap or touch are one.
+    """
+    rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+    new_doc = np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(1)][: len(rows)]
+    # ends of different documents are kept apart by a step that is larger than any text
+    step = (np.cumsum(new_doc) - 1) << 32
+    reach = np.maximum.accumulate(rows[:, 2] + rows[:, 3] + step) if len(rows) else np.empty(0, np.int64)
+    new = new_doc | np.r_[True, rows[1:, 2] + step[1:] > reach[:-1]][: len(rows)]
+    spans = np.column_stack([rows[new, 2], (reach - step)[np.r_[new[1:], True][: len(rows)]]]).astype("<i4")
+    heads = np.flatnonzero(new_doc[new])
+    return rows[new_doc, :2], [spans[a:b].tobytes() for a, b in zip(heads, np.r_[heads[1:], len(spans)])]
+
+
 def repeats(sent: DataFrame, length: int) -> DataFrame:
-    """k1, k2, start, bytes: spans of repeats, which may overlap."""
+    """k1, k2, spans: the repeats that a shard found in a document, one row for each of both."""
     def sort_shard(table: pa.Table) -> pa.Table:
         read = lambda c, kind: np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
         rows = repeats_in_shard(read("bytes", np.uint8), read("sizes", "<i4").astype(np.int64), read("marks", np.uint64),
                                 read("counts", "<i4"), read("places", np.int64).reshape(-1, 3), length)
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-        return pa.table([pa.array(rows[:, i], k) for i, k in enumerate(kinds)], ["k1", "k2", "start", "bytes"])
+        keys, spans = merged_spans(rows)
+        return pa.table([pa.array(keys[:, 0], pa.int64()), pa.array(keys[:, 1], pa.int32()), pa.array(spans, pa.binary())], ["k1", "k2", "spans"])
 
-    return sent.groupBy("shard").applyInArrow(sort_shard, "k1 long, k2 int, start int, bytes int")
+    return sent.groupBy("shard").applyInArrow(sort_shard, "k1 long, k2 int, spans binary")
 
 
-def _spans(found: list | None) -> list[tuple[int, int]]:
-    """Maximal removed runs (start, end), sorted, from spans that may overlap or touch."""
+def _spans(found: list[bytes] | None) -> list[tuple[int, int]]:
+    """Maximal removed runs (start, end), sorted, from what the shards found."""
     out: list[tuple[int, int]] = []
-    for start, n in sorted((s["start"], s["bytes"]) for s in found or ()):
+    for start, end in sorted(map(tuple, np.frombuffer(b"".join(found or ()), "<i4").reshape(-1, 2).tolist())):
         if out and start <= out[-1][1]:
-            out[-1] = out[-1][0], max(out[-1][1], start + n)
+            out[-1] = out[-1][0], max(out[-1][1], end)
         else:
-            out.append((start, start + n))
+            out.append((start, end))
     return out
 
 
@@ -289,16 +305,20 @@ def _keys() -> list[Column]:
     return [F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("k1"), F.shiftright(F.xxhash64(F.coalesce("text", F.lit(""))), 32).cast("int").alias("k2")]
 
 
-def removed_spans(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
-    """(k1, k2, text of all documents, dealt by k1 and k2; k1, k2, spans of those that have repeats)."""
-    keyed = docs.select(*_keys(), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+def removed_spans(docs: DataFrame, length: int = LENGTH, carried: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(k1, k2, text of all documents, dealt by k1 and k2; k1, k2, spans of those that have repeats).
+
+    With ``carried`` columns the dealt rows have ``others`` too, a struct of them and of ``text`` being null.
+    """
+    others = F.struct(*[docs[c] for c in carried], docs["text"].isNull().alias("_text_is_null")).alias("others")
+    keyed = docs.select(*_keys(), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *([others] if carried else []))
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    # one shuffle of the texts serves both joins
+    # one shuffle of the texts serves both joins: both take all its columns, so that Spark reuses it
     dealt = keyed.repartition(shards, "k1", "k2")
-    places = repeated_places(anchor_places(keyed, length))
-    found = dealt.join(places, ["k1", "k2"]).select("k1", "k2", "text", "places")
-    spans = repeats(stretches(found, length, shards), length).groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "bytes")).alias("spans"))
+    places = repeated_places(anchor_places(keyed.select("k1", "k2", "text"), length))
+    found = dealt.join(places, ["k1", "k2"]).select("k1", "k2", "text", "places", *(["others"] if carried else []))
+    spans = repeats(stretches(found, length, shards), length).groupBy("k1", "k2").agg(F.collect_list("spans").alias("spans"))
     return dealt, spans
 
 
@@ -335,23 +355,21 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     No row goes, not even one whose text is empty now. A character of which a cut took bytes goes whole. A
     null text stays null, and a column n_chars counts the characters that are left.
     """
-    _, spans = removed_spans(docs, length)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    names = list(kinds)
-    whole = docs.select(*_keys(), F.col("text").cast("string").alias("raw"), F.struct(*[docs[c] for c in names]).alias("whole_row"))
-    joined = whole.join(spans, ["k1", "k2"], "left").select("raw", "spans", "whole_row")
+    carried = [n for n in kinds if n != "text"]
+    dealt, spans = removed_spans(docs, length, carried)
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
             texts = []
-            for raw, found in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
-                if raw is not None:
-                    gone = _spans(found)
-                    raw = b"".join(raw[a:b] for a, b in zip([0, *[e for _, e in gone]], [*[s for s, _ in gone], len(raw)])).decode("utf-8", "ignore")
-                texts.append(raw)
-            yield pa.record_batch([pa.array(texts, pa.string()), batch.column(2)], ["cleaned", "whole_row"])
-
-    row = ", ".join(f"`{n}`: {k}" for n, k in kinds.items())
-    cleaned = joined.mapInArrow(rewrite, f"cleaned string, whole_row struct<{row}>")
+            for raw, found, null in zip(_utf8(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).field("_text_is_null").to_pylist()):
+                gone = _spans(found)
+                kept = b"".join(raw[a:b] for a, b in zip([0, *[e for _, e in gone]], [*[s for s, _ in gone], len(raw)]))
+                texts.append(None if null else kept.decode("utf-8", "ignore"))
+            yield pa.record_batch([pa.array(texts, pa.string()), batch.column(2)], ["cleaned", "others"])
+
+    row = ", ".join([*(f"`{n}`: {kinds[n]}" for n in carried), "_text_is_null: boolean"])
+    cleaned = dealt.join(spans, ["k1", "k2"], "left").select("text", "spans", "others").mapInArrow(
+        rewrite, f"cleaned string, others struct<{row}>")
     changed = {"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast(kinds.get("n_chars", "long"))}
-    return cleaned.select(*[changed[n].alias(n) if n in changed else F.col("whole_row")[n].alias(n) for n in names])
+    return cleaned.select(*[changed[n].alias(n) if n in changed else F.col("others")[n].alias(n) for n in kinds])

@@ -85,3 +85,23 @@ def test_windows_belong_to_one_anchor_however_long_texts_are_cut(monkeypatch):
     assert windows() == every
     monkeypatch.setattr(suffix_dedup, "_BLOCK", 700)
     assert windows() == every
+
+
+def test_spans_of_a_document_are_merged_and_kept_apart_from_the_next():
+    import numpy as np
+
+    rows = np.array([[1, 0, 50, 100], [1, 0, 150, 10], [1, 0, 10, 5], [1, 1, 0, 9], [2, 1, 4, 3], [1, 0, 60, 5], [-3, 0, 1, 2]], np.int64)
+    keys, spans = suffix_dedup.merged_spans(rows)
+    assert keys.tolist() == [[-3, 0], [1, 0], [1, 1], [2, 1]]
+    assert [np.frombuffer(s, "<i4").reshape(-1, 2).tolist() for s in spans] == [[[1, 3]], [[10, 15], [50, 160]], [[0, 9]], [[4, 7]]]
+    assert suffix_dedup.merged_spans(rows[:0])[1] == []
+
+
+def test_a_very_long_text_through_the_job(spark):
+    import hashlib
+
+    words = [hashlib.md5(str(i).encode()).hexdigest() for i in range(40_000)]
+    long, part = " ".join(words), " ".join(words[20_000:20_050])
+    rows = [(1, long), (2, f"before {part} after"), (3, part)]
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == 0 and got[3] == len(part) and len(part) <= got[2] <= len(part) + 2
