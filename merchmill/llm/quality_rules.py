@@ -1,9 +1,13 @@
 """Quality rules with adaptive thresholds, in DataFrame operations only.
 
-The thresholds are not fixed: per language and source they are fences around the quartiles, read from
-mergeable quantile sketches. A sketch here is a histogram with buckets of bounded relative width (below
-16 exact, above that within one sixteenth), so sketches merge by adding counts, in any order and with the
-same result. A source with few documents uses the sketch of its language, a small language that of all.
+Every threshold is read from mergeable quantile sketches of the corpus, per language and source. A sketch here
+is a histogram with buckets of bounded relative width (below 16 exact, above that within one sixteenth), so
+sketches merge by adding counts, in any order and with the same result. A rate's fence lies ``REACH``
+interquartile ranges beyond the quartile, or at the quantile that leaves ``TAIL`` percent of the documents
+outside, whichever is further: where most documents have the same rate, such as none, the quartiles alone would
+set aside whoever differs at all. A group's fences are averaged with those of its language, and a language's with
+those of all documents, weighted by their documents and ``TRUST`` documents for the larger group, so that a small
+source is judged nearly as its language and a large one by itself, without a jump between.
 """
 
 from __future__ import annotations
@@ -15,11 +19,10 @@ from pyspark.sql.window import Window
 from merchmill.llm.common import stored
 from merchmill.llm.text_stats import text_counts
 
-#: Documents that a group needs for its own thresholds.
-LEAST_DOCUMENTS = 50
-#: A fence lies this many interquartile ranges beyond the quartile, and this far at least (in the rate's unit).
-REACH = 3
-LEAST_GAP = {"symbols": 500, "dup_lines": 5000, "repeats": 5000, "upper": 3000, "exclaims": 500, "word_length": 300}
+#: A fence lies this many interquartile ranges beyond the quartile, and at least where this share (percent) is outside.
+REACH, TAIL = 3, 10
+#: Documents of a language that count in the fences of each of its sources, and of all in those of each language.
+TRUST = 50
 
 #: name -> rate, an integer: parts of ten thousand, or hundredths of a character.
 RATES = {
@@ -51,33 +54,33 @@ def sketches(rates: DataFrame) -> DataFrame:
 
 
 def fences(sketch: DataFrame) -> DataFrame:
-    """Per group and level: n documents, and for each rate its fences <rate>_low and <rate>_high."""
+    """Per group and level: n documents, and for each rate its fences <rate>_low and <rate>_high, from its own sketch."""
     keys = ["level", "language", "origin", "rate"]
     order = Window.partitionBy(*keys).orderBy("bucket")  # buckets of one rate: some hundreds at most
     seen = sketch.withColumn("upto", F.sum("n").over(order)).withColumn("of", F.sum("n").over(Window.partitionBy(*keys)))
-    quartile = lambda k: F.min(F.when(F.col("upto") * 4 >= F.col("of") * k, F.col("bucket")))
-    by_rate = seen.groupBy(*keys).agg(quartile(1).alias("q1"), quartile(3).alias("q3"), F.max("of").alias("n"))
-    least = F.create_map(*[F.lit(x) for pair in LEAST_GAP.items() for x in pair])[F.col("rate")]
-    gap = F.greatest((F.col("q3") - F.col("q1")) * REACH, least)
+    quantile = lambda percent: F.min(F.when(F.col("upto") * 100 >= F.col("of") * percent, F.col("bucket")))
+    by_rate = seen.groupBy(*keys).agg(
+        quantile(25).alias("q1"), quantile(75).alias("q3"), quantile(TAIL).alias("first"), quantile(100 - TAIL).alias("last"), F.max("of").alias("n"))
+    gap = (F.col("q3") - F.col("q1")) * REACH
     at = lambda name, c: F.max(F.when(F.col("rate") == name, c))
-    return by_rate.withColumn("gap", gap).groupBy("level", "language", "origin").agg(
+    return by_rate.groupBy("level", "language", "origin").agg(
         F.max("n").alias("n"),
-        *[at(r, F.col("q3") + F.col("gap")).alias(f"{r}_high") for r in RATES],
-        *[at(r, F.col("q1") - F.col("gap")).alias(f"{r}_low") for r in RATES])
+        *[at(r, F.greatest(F.col("q3") + gap, "last")).alias(f"{r}_high") for r in RATES],
+        *[at(r, F.greatest(F.least(F.col("q1") - gap, "first"), F.lit(0))).alias(f"{r}_low") for r in RATES])
 
 
 def thresholds(rates: DataFrame) -> DataFrame:
-    """Fences for each (language, origin) that occurs, from its own, its language's or the whole sketch."""
+    """Fences for each (language, origin) that occurs: its own averaged with its language's, these with those of all."""
     levels = stored(fences(sketches(rates)), "fences")
     names = [f"{r}_{side}" for r in RATES for side in ("low", "high")]
     part = lambda level, tag: levels.where(F.col("level") == level).select(
         "language", "origin", F.col("n").alias(f"n_{tag}"), *[F.col(c).alias(f"{c}_{tag}") for c in names])
     own, lang = part(2, "own"), part(1, "lang").drop("origin")
     whole = part(0, "all").drop("language", "origin").withColumn("one", F.lit(1))  # one row
-    both = own.join(lang, "language", "left").withColumn("one", F.lit(1)).join(whole, "one", "left")
+    both = own.join(lang, "language").withColumn("one", F.lit(1)).join(whole, "one")
+    of_lang = lambda c: f"((n_lang * {c}_lang + {TRUST} * {c}_all) div (n_lang + {TRUST}))"
     return both.select("language", "origin", *[
-        F.when(F.col("n_own") >= LEAST_DOCUMENTS, F.col(f"{c}_own"))
-        .when(F.col("n_lang") >= LEAST_DOCUMENTS, F.col(f"{c}_lang")).otherwise(F.col(f"{c}_all")).alias(c) for c in names])
+        F.expr(f"(n_own * {c}_own + {TRUST} * {of_lang(c)}) div (n_own + {TRUST})").alias(c) for c in names])
 
 
 def quality_verdicts(docs: DataFrame) -> DataFrame:
@@ -142,16 +145,16 @@ seen AS (
   SELECT *, sum(n) OVER (PARTITION BY level, language, origin, rate ORDER BY bucket) AS upto,
          sum(n) OVER (PARTITION BY level, language, origin, rate) AS of_ FROM levels),
 q AS (
-  SELECT level, language, origin, rate, min(bucket) FILTER (upto * 4 >= of_) AS q1, min(bucket) FILTER (upto * 4 >= of_ * 3) AS q3, max(of_) AS n
-  FROM seen GROUP BY ALL),
-f AS (SELECT *, q3 + greatest((q3 - q1) * 3, gap) AS high, q1 - greatest((q3 - q1) * 3, gap) AS low
-      FROM (SELECT *, CASE WHEN rate IN ('symbols', 'exclaims') THEN 500 WHEN rate IN ('dup_lines', 'repeats') THEN 5000 WHEN rate = 'upper' THEN 3000 ELSE 300 END AS gap FROM q)),
+  SELECT level, language, origin, rate, max(of_) AS n, min(bucket) FILTER (upto * 100 >= of_ * 25) AS q1, min(bucket) FILTER (upto * 100 >= of_ * 75) AS q3,
+         min(bucket) FILTER (upto * 100 >= of_ * 10) AS first_, min(bucket) FILTER (upto * 100 >= of_ * 90) AS last_
+  FROM seen GROUP BY level, language, origin, rate),
+f AS (SELECT level, language, origin, rate, n::HUGEINT AS n, greatest(q3 + 3 * (q3 - q1), last_) AS high, greatest(least(q1 - 3 * (q3 - q1), first_), 0) AS low FROM q),
+lang AS (
+  SELECT l.language, l.rate, (l.n * l.high + 50 * a.high) // (l.n + 50) AS high, (l.n * l.low + 50 * a.low) // (l.n + 50) AS low
+  FROM f l JOIN f a ON a.level = 0 AND a.rate = l.rate WHERE l.level = 1),
 pick AS (
-  SELECT o.language, o.origin, o.rate,
-         CASE WHEN o.n >= 50 THEN o.high WHEN l.n >= 50 THEN l.high ELSE a.high END AS high,
-         CASE WHEN o.n >= 50 THEN o.low WHEN l.n >= 50 THEN l.low ELSE a.low END AS low
-  FROM f o JOIN f l ON l.level = 1 AND l.language = o.language AND l.rate = o.rate JOIN f a ON a.level = 0 AND a.rate = o.rate
-  WHERE o.level = 2),
+  SELECT o.language, o.origin, o.rate, (o.n * o.high + 50 * l.high) // (o.n + 50) AS high, (o.n * o.low + 50 * l.low) // (o.n + 50) AS low
+  FROM f o JOIN lang l ON l.language = o.language AND l.rate = o.rate WHERE o.level = 2),
 bad AS (
   SELECT DISTINCT r.rid FROM rated r JOIN pick p ON r.language = p.language AND r.origin = p.origin
   WHERE CASE p.rate WHEN 'symbols' THEN symbols WHEN 'dup_lines' THEN dup_lines WHEN 'repeats' THEN repeats WHEN 'upper' THEN upper_

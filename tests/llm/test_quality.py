@@ -63,6 +63,53 @@ def test_verdicts(spark):
     assert quality_rules.quality_verdicts(frame(spark, rows).limit(0)).count() == 0
 
 
+RULES = {
+    "symbols": lambda t: t.replace(" ", " & ", 6), "dup_lines": lambda t: t + "\n" + t.split("\n")[0],
+    "repeats": lambda t: t + " again " + " ".join(t.split()[:9]), "upper": lambda t: t.upper(), "exclaims": lambda t: t.replace(".", "!"),
+    "word_length": lambda t: " ".join(a + b for a, b in zip(t.split()[::2], t.split()[1::2])),
+}
+
+
+@pytest.mark.parametrize("rule", RULES)
+def test_each_rule_can_fire(spark, rule):
+    """Some documents of a large source differ in one rate, and only these are set aside."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(400)]
+    good = lambda: "\n".join(" ".join(rng.choice(words) for _ in range(9)) + "." for _ in range(8))
+    rows = [(i, RULES[rule](good()) if i % 20 == 0 else good()) for i in range(300)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1, "x") for i, t in rows], SCHEMA)
+    got = {r.doc_id: r for r in quality_rules.quality_verdicts(df).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {i for i, r in got.items() if not r.kept} == {i for i in got if i % 20 == 0}
+
+
+def test_fences_change_smoothly_with_the_size_of_a_source(spark):
+    def limits(n):
+        rows = [("=en", "=big", *[k % 40] * 6) for k in range(400)] + [("=en", "=small", *[900 + k % 9] * 6) for k in range(n)]
+        df = spark.createDataFrame(rows, "language string, origin string, " + ", ".join(f"{r} long" for r in quality_rules.RATES))
+        return {r.origin: r.symbols_high for r in quality_rules.thresholds(df).collect()}
+
+    high = [limits(n)["=small"] for n in (1, 9, 49, 50, 51, 2000)]
+    assert high == sorted(high) and abs(high[3] - high[2]) < 20 and abs(high[4] - high[3]) < 20  # 49, 50, 51 documents
+    assert high[0] < 300 and high[-1] > 850  # one document is judged as its language, many by themselves
+
+
+def test_verdicts_of_large_sources_equal_the_sql(spark, folder):
+    import duckdb
+
+    frame(spark, texts(seed=2, n=700) + ODD).withColumn("n_chars", F.length("text")).coalesce(1).write.parquet(f"{folder}/documents")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents/*.parquet'")
+    result = con.execute(quality_rules.SQL)
+    names = [d[0] for d in result.description]
+    want = Counter(result.fetchall())
+    docs = spark.read.parquet(f"{folder}/documents")
+    assert docs.groupBy("lang", "source").count().where("count > 60").count() >= 3
+    got = quality_rules.quality_verdicts(docs.union(docs.limit(0)))
+    assert Counter(map(tuple, got.select(*names).collect())) == want
+    assert len({r.kept for r in got.where("not base_failed").collect()}) == 2
+
+
 def test_sketches_merge_and_bound_their_error(spark):
     values = [random.Random(i).randint(0, 10**6) for i in range(500)] + list(range(40))
     df = spark.createDataFrame([(v,) for v in values], "v long").select("v", quality_rules.bucket("v").alias("b"))
@@ -96,6 +143,21 @@ def test_compiled_rules_score_as_numpy(spark):
     assert got == pytest.approx(list(1 / (1 + np.exp(-total))))
 
 
+@pytest.mark.parametrize("rows", [1, 30, 250])
+def test_the_sample_is_that_of_the_smallest_hashes(spark, monkeypatch, rows):
+    """What reaches the driver is about the sample, and the sample is the same as without a bound."""
+    taken = []
+    monkeypatch.setattr(quality_classifier, "fit_rules", lambda x, y, **k: taken.append((x, y)))
+    ids = [*range(300), *[7] * 200]  # one id with two fifths of the rows
+    stats = spark.createDataFrame([(i, *[float(i)] * len(quality_classifier.STATISTICS)) for i in ids],
+                                  "doc_id long, " + ", ".join(f"{c} double" for c in quality_classifier.STATISTICS))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, quality int")
+    quality_classifier.fit(stats, labels, rows)
+    known = stats.where(~quality_classifier.held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()
+    assert sorted(taken[0][0][:, 0]) == sorted(r[1] for r in known)
+    assert sorted(taken[0][1]) == sorted(r.doc_id % 2 for r in known)
+
+
 @pytest.mark.parametrize("quality", [[], [1, 1, 1], [None]])
 def test_labels_of_one_kind(spark, quality):
     labels = spark.createDataFrame(list(enumerate(quality)), "doc_id long, quality int")
