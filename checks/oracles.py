@@ -409,6 +409,7 @@ SELECT 'order_items', 'price', 'free', 'unreadable value' FROM csv_order_items W
     "landing_customers": f"SELECT {CUSTOMER_OUT}, age_group FROM valid_customers",
     "landing_products": f"SELECT {PRODUCT_OUT}, margin_pct FROM valid_products",
     "load_orders": f"SELECT {LANDED_ORDER} FROM valid_orders",
+    "load_orders_day": f"SELECT {LANDED_ORDER} FROM valid_orders",
     "load_customers": f"SELECT {CUSTOMER_OUT}, age_group FROM valid_customers",
     "load_products": f"SELECT {PRODUCT_OUT}, margin_pct FROM valid_products",
     "row_counts": "SELECT 'customers' AS table_name, count(*) AS row_count FROM raw_customers UNION ALL "
@@ -420,6 +421,7 @@ SELECT 'order_items', 'price', 'free', 'unreadable value' FROM csv_order_items W
     "fct_orders": f"SELECT {FACT_OUT} FROM fact",
     "fct_orders_incremental": f"SELECT {FACT_OUT} FROM fact WHERE order_date >= DATE '{AS_OF}' - 3",
     "fct_orders_merge": f"SELECT {FACT_OUT} FROM merged",
+    "fct_orders_merge_day": f"SELECT {FACT_OUT} FROM merged",
     "fct_orders_late": f"SELECT {FACT_OUT} FROM fact",
     "segment_customers_approx": "SELECT city, age_group, count(DISTINCT customer_id) AS total_customers, true AS within_bound "
                                 "FROM fact GROUP BY city, age_group",
@@ -430,6 +432,9 @@ SELECT 'order_items', 'price', 'free', 'unreadable value' FROM csv_order_items W
                         "count(*) FILTER (WHERE city IS NULL AND age_group IS NULL) AS no_customer FROM fact",
     "dq_not_null": "SELECT order_id, product_id, status FROM raw_orders WHERE quantity IS NULL",
     "dq_unique": "SELECT order_id, count(*) AS n_records FROM raw_orders GROUP BY order_id HAVING count(*) > 1",
+    "dq_unique_days": "SELECT count(*) FILTER (WHERE n > 1) AS n_repeated, count(*) FILTER (WHERE m > 1) AS n_repeated_usable FROM ("
+                      "SELECT order_id, count(*) AS n, count(*) FILTER (WHERE quantity > 0 AND unit_cents > 0) AS m "
+                      "FROM raw_orders WHERE order_id IS NOT NULL GROUP BY order_id)",
     "dq_accepted_values": "SELECT status, count(*) AS n_records FROM raw_orders "
                           f"WHERE status NOT IN ({listed(values.SHOP_STATUSES)}) GROUP BY status",
     "dq_report": test_report(),

@@ -12,13 +12,14 @@ from merchmill.config import ShopConfig
 from merchmill.functions import age_group, category_group, derived_age, order_status, timestamp_or, title_words
 from merchmill.operators import day_rows, exact_median, head_rows, take_batch, top_up
 from merchmill.plans import ingest, jobs, models, quality, staging
+from merchmill.plans.uniqueness import repeated_values
 from merchmill.schemas import SOURCE_SCHEMAS
 from merchmill.sources import landing
 from merchmill.sources.files import scan_csv
 from merchmill.sources.quarantine import checked_source
 from merchmill.sources.storage import materialise, scratch_path
 from merchmill.sources.tables import (
-    Layout, append_table, insert_if_absent, overwrite_table, read_table, rows_between, upsert,
+    Layout, append_table, insert_if_absent, overwrite_table, read_table, replace_folders, rows_between, upsert,
 )
 
 BATCH, HEAD, LARGE = 250, 50, 20_000
@@ -367,6 +368,11 @@ def load_orders(spark, sf):
     return _loaded(spark, sf, "orders", staged_orders(spark, sf))
 
 
+def load_orders_day(spark, sf):
+    """With a folder for each day, as a deployment has it."""
+    return _loaded(spark, sf, "orders", staged_orders(spark, sf), partition_by="day")
+
+
 def load_customers(spark, sf):
     return _loaded(spark, sf, "customers", staged_customers(spark, sf))
 
@@ -431,14 +437,14 @@ def fct_orders_late(spark, sf):
     return plain(facts.drop("loaded_at"))
 
 
-def fct_orders_merge(spark, sf):
+def _merged(spark, sf, grain: str) -> DataFrame:
     """All facts but the cancelled ones of the last 60 days, then those days' facts merged twice.
 
     In the batch pending orders are completed one day later, and cancelled ones are new.
     """
     whole = materialise(fact(spark, sf), "merge-fact")
     path = scratch_path(spark, "merge-target")
-    layout = Layout("order_date", "month", cluster_by=("status", "order_date"))
+    layout = Layout("order_date", grain, cluster_by=("status", "order_date"))
     recent = F.col("order_date") >= F.date_sub(F.lit(AS_OF), 60)
     held = ~(recent & (F.col("status") == "cancelled"))
     overwrite_table(whole.where(F.coalesce(held, F.lit(True))), path, layout)
@@ -452,6 +458,15 @@ def fct_orders_merge(spark, sf):
     return plain(read_table(spark, path, layout))
 
 
+def fct_orders_merge(spark, sf):
+    return _merged(spark, sf, "month")
+
+
+def fct_orders_merge_day(spark, sf):
+    """With a folder for each day, as a deployment has it."""
+    return _merged(spark, sf, "day")
+
+
 def mart_daily_revenue(spark, sf):
     return plain(models.mart_daily_revenue(fact(spark, sf)))
 
@@ -493,6 +508,21 @@ def dq_unique(spark, sf):
     return quality.repeated_values(fixture(spark, sf, "raw_orders"), "order_id")
 
 
+def dq_unique_days(spark, sf):
+    """Repeated order ids as months arrive, one of them is replaced and all are checked after each step."""
+    lines = materialise(fixture(spark, sf, "raw_orders"), "unique-lines")
+    path, store, layout = scratch_path(spark, "unique"), scratch_path(spark, "unique-store"), Layout("order_date", "month")
+    parts = [F.year("order_date") % 2 == 0, F.coalesce(F.year("order_date") % 2 != 0, F.lit(True))]
+    for part in parts:
+        append_table(lines.where(part), path, layout)
+        found = repeated_values(spark, path, layout, "order_id", store, models.usable_order())
+    again = lines.where(F.trunc("order_date", "month") == F.lit(RUN_DATE.replace(day=1)))
+    for rows in (again.dropDuplicates(["order_id"]), again):
+        replace_folders(rows, path, layout)
+        found = repeated_values(spark, path, layout, "order_id", store, models.usable_order())
+    return spark.createDataFrame([(found.values, found.kept)], "n_repeated bigint, n_repeated_usable bigint")
+
+
 def dq_accepted_values(spark, sf):
     return quality.unlisted_values(
         fixture(spark, sf, "raw_orders"), "status", ("completed", "pending", "cancelled")
@@ -583,6 +613,7 @@ QUERIES: dict[str, Query] = {
     "landing_customers": landing_customers,
     "landing_products": landing_products,
     "load_orders": load_orders,
+    "load_orders_day": load_orders_day,
     "load_customers": load_customers,
     "load_products": load_products,
     "row_counts": row_counts,
@@ -592,6 +623,7 @@ QUERIES: dict[str, Query] = {
     "fct_orders": fct_orders,
     "fct_orders_incremental": fct_orders_incremental,
     "fct_orders_merge": fct_orders_merge,
+    "fct_orders_merge_day": fct_orders_merge_day,
     "fct_orders_late": fct_orders_late,
     "mart_daily_revenue": mart_daily_revenue,
     "mart_product_performance": mart_product_performance,
@@ -600,6 +632,7 @@ QUERIES: dict[str, Query] = {
     "unmatched_orders": unmatched_orders,
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
+    "dq_unique_days": dq_unique_days,
     "dq_accepted_values": dq_accepted_values,
     "dq_report": dq_report,
     "run_two_days": run_two_days,

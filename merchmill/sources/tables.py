@@ -51,18 +51,21 @@ class Layout:
         return day if day is None or self.grain == "day" else day.replace(day=1)
 
     def arrange(self, df: DataFrame) -> DataFrame:
-        """Bring each folder's rows together for the write, and sort them for min/max skipping.
+        """Bring each folder's rows together for the write, and put them in order for min/max skipping.
 
-        The rebalance is adaptive: a day that holds much of the table is split over many tasks and
-        files, and small days share a task.
+        Without clustering the rebalance is adaptive: a day that holds much of the table is split over many
+        tasks and files, and small days share a task. With clustering the split is by sampled ranges of folder
+        and cluster columns, so that the files of such a day hold different ranges and a filter skips most of
+        them; rows that are equal there are told apart by a hash, so they are split too.
         """
         if self.folder is None:
             return df.sortWithinPartitions(*self.cluster_by) if self.cluster_by else df
         if self.folder != self.date_column:
             df = df.withColumn(self.folder, self.folder_of(F.col(self.date_column)))
-        df = df.hint("rebalance", F.col(self.folder))
+        if not self.cluster_by:
+            return df.hint("rebalance", F.col(self.folder))
         order = [self.folder, *(c for c in self.cluster_by if c != self.folder)]
-        return df.sortWithinPartitions(*order) if self.cluster_by else df
+        return df.repartitionByRange(*order, F.xxhash64(*df.columns)).sortWithinPartitions(*order)
 
     def in_folders(self, df: DataFrame, folders: Sequence[date | None]) -> DataFrame:
         """Rows of the listed folders; a plain partition filter, so other folders are not read."""

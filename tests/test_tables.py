@@ -171,6 +171,29 @@ def test_a_hot_day_is_written_by_many_tasks(spark, folder):
     assert read_table(spark, path, layout).count() == 200_000
 
 
+def test_files_of_a_hot_day_hold_different_ranges(spark, folder):
+    """A filter on the clustering column reads a part of a hot day's files; small days share tasks."""
+    path, layout = f"{folder}/t", Layout("d", cluster_by=("k",))
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # a small table would get one file
+    try:
+        rows = spark.range(0, 60_000, 1, 6).select(
+            F.concat(F.lit("s"), (F.col("id") % 5).cast("string")).alias("k"), F.col("id").cast("int").alias("v"),
+            F.when(F.col("id") % 10 > 0, F.lit(D1)).otherwise(F.date_add(F.lit(D2), (F.col("id") % 7).cast("int"))).alias("d"))
+        overwrite_table(rows, path, layout)
+        overwrite_table(rows.where("k = 's1'"), f"{path}-one", layout)
+    finally:
+        for key, value in keep.items():
+            spark.conf.set(key, value)
+    day = tables.rows_between(spark, path, layout, D1, D1)
+    spans = [(r[1], r[2]) for r in day.groupBy(F.input_file_name()).agg(F.min("k"), F.max("k")).collect()]
+    assert len(spans) >= 8 and sum(a <= "s2" <= b for a, b in spans) <= len(spans) / 2
+    assert read_table(spark, path, layout).count() == 60_000
+    same_key = tables.rows_between(spark, f"{path}-one", layout, D1, D1)
+    assert len(same_key.inputFiles()) >= 8  # rows that are equal in the clustering are split as well
+
+
 def test_small_batch_never_shuffles_the_target(spark, folder):
     from merchmill.operators import without_keys
 
