@@ -6,7 +6,7 @@ import base64
 import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,8 +19,10 @@ BLANKS = " \t\n\x0b\x0c\r"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; a temporary one only where it is unset, as in tests."""
+    """The folder that ``spark.checkpoint.dir`` names; a temporary one only where it is unset on one machine, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return folder.rstrip("/") if folder else _own_folder(spark.sparkContext.applicationId)
 
 
@@ -33,14 +35,37 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
+#: tables that ``stored`` wrote in this process and that weren't freed
+_made: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table into the shared folder and read it back: a lost executor then costs no recomputation."""
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    _made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_alone(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> tuple[DataFrame, str]:
+    """(table, path): the stored result of ``make``; what it stored on the way is deleted, as nothing reads it any more."""
+    before = len(_made)
+    table = stored(make(), name)
+    *others, path = _made[before:]
+    free_stored(spark, others)
+    return table, path
+
+
+def free_stored(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete stored tables: those listed, or all of this process, for when no result is read any more."""
+    for path in list(_made if paths is None else paths):
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+        if path in _made:
+            _made.remove(path)
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
