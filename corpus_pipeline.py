@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from merchmill.llm import exact_dedup, minhash_dedup, packing, quality_classifier, suffix_dedup
-from merchmill.llm.common import stored, table
+from merchmill.llm.common import free_stored, stored_alone, table
 
 #: A classifier, sets and suffixes have no SQL; the tests compare each stage with a brute-force version.
 ORACLE_SQL = None
@@ -46,8 +48,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; between stages the documents are a table in the shared folder."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply the stages to ``documents``; between stages the documents are a table in the shared folder.
+
+    A stage's own tables, and the documents it read, are deleted when its result is written.
+    """
+    docs, last = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        docs, path = stored_alone(spark, partial(stage, spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        free_stored(spark, last)
+        last = [path]
     return STAGES[-1][1](spark, docs, sf_dir)
