@@ -51,7 +51,8 @@ FIXTURES = {
         FROM {lineitem}""",
     "csv_products": """
         SELECT cast(p_partkey AS varchar(20)) AS product_id,
-               CASE WHEN p_partkey % 31 = 0 THEN NULL ELSE p_type END AS product_category_name
+               CASE WHEN p_partkey % 31 = 0 THEN NULL WHEN p_partkey % 5 = 1 THEN concat(p_type, ' II')
+                    ELSE p_type END AS product_category_name
         FROM {part}""",
     # a category without translation, one with capitals and a trailing blank, one outside the groups
     "csv_translation": """
@@ -59,6 +60,11 @@ FIXTURES = {
                CASE p_type WHEN 'ECONOMY' THEN 'electronics' WHEN 'SMALL' THEN 'fashion_shoes'
                            WHEN 'MEDIUM' THEN 'Food_Drink ' WHEN 'STANDARD' THEN 'books_technical'
                            WHEN 'PROMO' THEN 'no_such_group' ELSE NULL END AS eng_name
+        FROM {part} GROUP BY p_type
+        UNION ALL
+        SELECT concat(p_type, ' II'),
+               CASE p_type WHEN 'ECONOMY' THEN 'sports_leisure' WHEN 'SMALL' THEN 'health_beauty'
+                           WHEN 'MEDIUM' THEN 'la_cuisine' ELSE 'bed_bath_table' END
         FROM {part} GROUP BY p_type""",
     # ids that orders do not find, blank and missing names, bad mail addresses, odd ages
     "raw_customers": """
