@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import compress, count
+from itertools import chain, count, islice
 from zlib import crc32
 
 import numpy as np
@@ -28,6 +28,8 @@ from merchmill.llm.common import rows_of, stored
 CHUNK = 1 << 20
 #: Words whose hashed class a task remembers.
 KEPT = 1 << 17
+#: Places whose groups are scored at a time: arrays of few places stay in the cache, and their memory is used again.
+BLOCK = 1024
 #: The log-probability of a byte, or of the end, in the spelling of a word that the corpus doesn't have.
 PER_BYTE = -np.log(257)
 
@@ -150,17 +152,24 @@ def log_probabilities(net: dict[str, np.ndarray], target: np.ndarray, around: np
     order = np.argsort((target // shape.groups).astype(np.min_scalar_type(shape.groups)), kind="stable")  # small integers: by radix
     (group, word), around = np.divmod(target[order], shape.groups), around.take(order, axis=0)
     h = net["seen"][0].take(around[:, 0], axis=0)
+    other = np.empty_like(h)
     for j in range(1, around.shape[1]):
-        h += net["seen"][j].take(around[:, j], axis=0)
+        h += net["seen"][j].take(around[:, j], axis=0, out=other, mode="clip")
     h += net["hidden"]
     np.tanh(h, out=h)
-    d = net["group"].T @ h.T + net["group_bias"][:, None]  # a column for each place
-    logs = _softmax(d, group, learn)
-    step = learn / max(n, 1)
+    step, dh, logs = learn / max(n, 1), other, np.empty(n, np.float32)
+    to_group, to_bias = np.zeros_like(net["group"]), np.zeros_like(net["group_bias"])
+    for s in range(0, n, BLOCK):
+        part = h[s:s + BLOCK]
+        d = net["group"].T @ part.T + net["group_bias"][:, None]  # a column for each place
+        logs[s:s + BLOCK] = _softmax(d, group[s:s + BLOCK], learn)
+        if learn:
+            np.matmul(d.T, net["group"].T, out=dh[s:s + BLOCK])
+            to_group += (d @ part).T
+            to_bias += d.sum(axis=1)
     if learn:
-        dh = d.T @ net["group"].T
-        net["group"] += step * 4 * (d @ h).T
-        net["group_bias"] += step * 4 * d.sum(axis=1)
+        net["group"] += step * 4 * to_group
+        net["group_bias"] += step * 4 * to_bias
     ends = np.searchsorted(group, np.arange(shape.groups + 1))
     for g in range(shape.groups):
         a, b = ends[g], ends[g + 1]
@@ -173,12 +182,14 @@ def log_probabilities(net: dict[str, np.ndarray], target: np.ndarray, around: np
             net["word"][g] += step * 8 * (d @ h[a:b]).T
             net["word_bias"][g] += step * 8 * d.sum(axis=1)
     if learn:
-        dh *= 1 - h * h
+        np.multiply(h, h, out=h)
+        dh *= np.subtract(1, h, out=h)
         net["hidden"] += step * dh.sum(axis=0)
-        column, steps = np.arange(h.shape[1]), step * 16 * dh.ravel().astype(np.float64)
-        for j, seen in enumerate(net["seen"]):  # sum the steps of equal words
-            cells = around[:, j].astype(np.int64)[:, None] * h.shape[1] + column
-            seen += np.bincount(cells.ravel(), steps, seen.size).reshape(seen.shape)
+        places = np.ascontiguousarray(around.T, np.int64)
+        for column in range(dh.shape[1]):  # sum the steps of equal words
+            own = step * 16 * dh[:, column].astype(np.float64)
+            for seen, at in zip(net["seen"], places):
+                seen[:, column] += np.bincount(at, own, len(seen))
     out = np.empty_like(logs)
     out[order] = logs
     return out
@@ -299,31 +310,37 @@ def _score_words(texts: DataFrame, net: dict[str, np.ndarray], known: dict[bytes
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, words, lowered, unseen = shared.value
-        words = Classes(words, shape)
+        first = len(words)  # the words of the vocabulary have the first numbers, the others of a chunk those after them
         names = ["ids", "tokens", "sums", "rare", "places", "words", "unseen"]
 
-        def chunk(held: list[tuple], index: dict[bytes, int]) -> pa.RecordBatch:
+        def chunk(held: list[tuple], numbers: dict[bytes, int], classes: np.ndarray) -> pa.RecordBatch:
             ids, tokens, sums, rare, places = zip(*held)
-            of = words.of(list(index))
-            spelt = unseen[of] + PER_BYTE * (np.fromiter(map(len, index), np.int64, len(index)) + 1)
+            outside = list(islice(numbers, first, None))
+            spelt = unseen[classes[first:]] + PER_BYTE * (np.fromiter(map(len, outside), np.int64, len(outside)) + 1)
             columns = [pa.concat_arrays(ids), *[pa.array(np.concatenate(x)) for x in (tokens, sums, rare, places)],
-                       pa.array(index.keys(), pa.binary()).cast(pa.string()), pa.array(spelt)]
+                       pa.array(outside, pa.binary()).cast(pa.string()), pa.array(spelt)]
             return pa.record_batch([pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns], names)
 
-        held, size, index = [], 0, defaultdict(count().__next__)
+        def start() -> tuple:
+            return [], 0, defaultdict(count(first).__next__, zip(words, range(first))), np.fromiter(words.values(), np.int32, first)
+
+        held, size, numbers, classes = start()
         for batch in rows_of(batches, 128):
             split = [_split(t) for t in batch.column(1).to_pylist()]
-            found = [words.of(x) for x in split]
-            outside = [list(compress(x, (c < shape.hashed).tolist())) for x, c in zip(split, found)]
-            held.append((batch.column(0), np.array([len(d) for d in found], np.int64), _class_sums(found, weights, shape, lowered),
-                         np.array([len(x) for x in outside], np.int32),
-                         np.fromiter((index[w] for x in outside for w in x), np.int32)))
+            tokens = np.fromiter(map(len, split), np.int64, len(split))
+            at = np.fromiter(map(numbers.__getitem__, chain.from_iterable(split)), np.int32, tokens.sum())
+            new = list(islice(reversed(numbers), len(numbers) - len(classes)))[::-1]
+            classes = np.concatenate([classes, np.fromiter(map(crc32, new), np.uint32, len(new)).astype(np.int64) % shape.hashed]).astype(np.int32)
+            outside, ends = at >= first, np.cumsum(tokens)
+            found = np.split(classes[at], ends[:-1])
+            rare = np.diff(np.r_[0, np.cumsum(outside)][np.r_[0, ends]]).astype(np.int32)
+            held.append((batch.column(0), tokens, _class_sums(found, weights, shape, lowered), rare, at[outside] - first))
             size += len(held[-1][-1]) + batch.num_rows
             if size >= CHUNK:
-                yield chunk(held, index)
-                held, size, index = [], 0, defaultdict(count().__next__)
+                yield chunk(held, numbers, classes)
+                held, size, numbers, classes = start()
         if held:
-            yield chunk(held, index)
+            yield chunk(held, numbers, classes)
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches, 1):

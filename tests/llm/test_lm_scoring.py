@@ -143,3 +143,16 @@ def test_every_place_is_learnt_in_the_production_setting(spark):
         at = target == known[word.encode()]
         learnt, at_first = (lm.log_probabilities(n, target, around, shape)[at].mean() for n in (net, lm.new_network(shape)))
         assert learnt > at_first + 1, word
+
+
+def test_groups_are_scored_in_blocks(monkeypatch):
+    """The blocks bound the arrays of a step; scores and weights are those of one block."""
+    rng, made = np.random.default_rng(5), []
+    target, around = rng.integers(0, SHAPE.classes, 500).astype(np.int32), rng.integers(0, SHAPE.classes + 1, (500, 2 * SHAPE.reach)).astype(np.int32)
+    for block in (64, 1 << 20):
+        monkeypatch.setattr(lm, "BLOCK", block)
+        net = lm.new_network(SHAPE)
+        logs = lm.log_probabilities(net, target, around, SHAPE, 0.5)
+        made.append([logs, lm.log_probabilities(net, target, around, SHAPE), *net.values()])
+    for a, b in zip(*made):
+        np.testing.assert_allclose(a, b, rtol=1e-4, atol=1e-5)
