@@ -7,8 +7,10 @@ indexed four times, once for each place that may be wrong, and all pairs within
 bucket. They are then confirmed on their full sets. What can be missed is only a pair whose signatures are
 further apart than that: below one in 100,000 at the similarity threshold, and rarer above it.
 
-Documents of one set are one node. In a first pass a bucket compares its rows with its leaders only, which
-joins large groups of near copies by few links. Rounds follow in which a bucket that still has rows of several
+Documents of one set are one node. In a first pass a bucket compares its rows with its leaders only, and of the
+leaders that a document meets only the few that it shares most buckets with are confirmed: ``CLOSEST`` pairs
+for each document at most, however large its group, here and in each round. What this leaves apart is for the
+passes after it. Rounds follow in which a bucket that still has rows of several
 components draws a few leaders anew and compares them with the rows of other components; confirmed links join
 components, and what is one component now is compared no more. So a family whose members are linked in chains
 takes a number of comparisons in line with its size in each round, not all its pairs. A last pass compares the
@@ -34,6 +36,8 @@ from merchmill.llm.components import components
 PLACES = 4  # of a chunk
 #: Rounds at most, and leaders that a bucket draws in one; the result doesn't depend on them, as a last pass follows.
 ROUNDS, DRAWN = 6, 4
+#: Leaders that a row is compared with in full in the first pass and in a round; the last pass has no such bound.
+CLOSEST = 3
 _KNOWN_WORDS = 200_000  # hashes kept beside a task; only speed depends on it
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63,
                      0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
@@ -186,7 +190,8 @@ def _runs(batches: Iterator[pa.RecordBatch], least: int = 1 << 15) -> Iterator[p
 def _candidates(rows: DataFrame, chunks: int, percent: int, across: bool, turn: int | None = None) -> DataFrame:
     """Pairs a, b to be confirmed, from rows in buckets. Plain: every row with the leaders of its bucket,
     which are the rows that are not near an earlier leader. ``across``: all rows of different ``component``,
-    or, with a ``turn``, a few leaders that the bucket draws in it and all rows of other components.
+    or, with a ``turn``, a few leaders that the bucket draws in it and all rows of other components. Of the
+    leaders of a row only the closest count, so there are ``CLOSEST`` pairs for each row at most.
     Rows are compared in blocks of numpy arrays; without a turn ``across`` reports a pair in one bucket only.
     """
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,9 +236,20 @@ def _candidates(rows: DataFrame, chunks: int, percent: int, across: bool, turn:
                     else:
                         left = rest[~compare(with_leader, rest)]
             a, b = (np.concatenate(x) for x in zip(*found))
-            yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            yield pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return rows.mapInArrow(pairs, "a long, b long").where("a <> b").distinct()
+    found = rows.mapInArrow(pairs, "a long, b long").where("a <> b")
+    if not across or turn is not None:
+        found = _closest(found)
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _closest(pairs: DataFrame) -> DataFrame:
+    """For each row ``b`` the few leaders ``a`` that it meets in most buckets, of equal ones the smaller."""
+    met = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    # a row has at most as many leaders as it is in buckets, times those drawn: a bounded list
+    leaders = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "a")))
+    return met.groupBy("b").agg(F.slice(leaders, 1, CLOSEST).alias("few")).select(F.explode("few.a").alias("a"), "b")
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -279,8 +295,8 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, miss: float
     together = stored(_index_rows(lone, chunks).repartition("bucket").sortWithinPartitions("bucket", "id").mapInArrow(
         _shared_buckets, "bucket long, id long, n int, signature binary"), "buckets")
     in_order = lambda df: df.repartition("bucket").sortWithinPartitions("bucket", "id")
-    near = stored(_confirm(_candidates(in_order(together), chunks, percent, False), docs, words, percent), "near-pairs")
-    labels, links = components(near), near.union(members)
+    near = stored(_confirm(stored(_candidates(in_order(together), chunks, percent, False), "near-candidates"), docs, words, percent), "near-pairs")
+    labels = components(near)
     spread = nodes.select(F.col("doc_id").alias("id"), F.col("n_shingles").cast("int").alias("n"), "signature", "spread")
     apart = stored(_still_apart(together, labels).join(spread, ["id", "n", "signature"]), "apart")
     for turn in range(ROUNDS + 1):
@@ -294,12 +310,10 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, miss: float
                 break
             # no leader found a link: the last pass looks at what is left
             pairs = stored(_candidates(in_order(apart), chunks, percent, True).join(near, ["a", "b"], "left_anti"), "rest-pairs")
-            links = links if pairs.isEmpty() else links.union(_confirm(pairs, docs, words, percent))
+            labels = labels if pairs.isEmpty() else _joined(labels, stored(_confirm(pairs, docs, words, percent), "rest-links"))
             break
-        links = links.union(found)
-        if drawn is not None:
-            labels = _joined(labels, found)
-    groups = components(links)
+        labels = _joined(labels, found)
+    groups = _joined(labels, members.where("a <> b"))
     return features.join(groups, features["doc_id"] == groups["id"], "left").select(
         features["doc_id"], "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
         F.col("doc_id").eqNullSafe(F.coalesce("component", "doc_id")).alias("kept"))

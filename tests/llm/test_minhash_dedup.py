@@ -120,6 +120,18 @@ def test_comparisons_of_a_family_grow_in_line_with_it(spark, monkeypatch):
     assert made[600] < 7 * made[150]  # four times the texts; all pairs would be sixteen times as many
 
 
+def test_rows_of_a_family_are_compared_with_few_leaders(spark, monkeypatch):
+    """A row meets another leader in each bucket; before it was confirmed with all of them, in pass and rounds."""
+    confirm, pairs = minhash_dedup._confirm, []
+    monkeypatch.setattr(minhash_dedup, "_confirm", lambda p, *a: pairs.append(p.count()) or confirm(p, *a))
+    rng = random.Random(3)
+    base = ["w%d" % i for i in range(150)]
+    rows = [(i, " ".join("odd%d" % rng.randrange(10**6) if rng.random() < 0.04 else w for w in base)) for i in range(300)]
+    got = minhash_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()
+    assert sorted(map(tuple, got), key=repr) == expected(rows, 5, 80)
+    assert max(pairs[:2]) <= 3 * len(rows)
+
+
 def test_what_no_round_finds_is_found_by_the_last_pass(spark, monkeypatch):
     rows = family(90) + [(1000 + i, t.replace("word5 ", "changed ")) for i, t in family(40)]
     want = {(i, c) for i, _, c, _ in expected(rows, 5, 80)}
