@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchmill.llm.common import rows_of, stored
+from merchmill.llm.common import rows_of, stored, stored_alone
 from merchmill.llm.components import components
 
 PLACES = 4  # of a chunk
@@ -283,7 +283,13 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, miss: float
     nothing. Documents are linked when 100 * intersection >= ``percent`` * union; component_id is the
     smallest doc_id reachable. Rows that share a doc_id are one document and get one component. A null
     doc_id is linked with nothing: its component is null and it is kept. Only doc_id and text are read.
+    The result is stored, and the tables of signatures, buckets and pairs are deleted: they take more disk
+    than the texts do, and whatever runs next would have them beside its own.
     """
+    return stored_alone(docs.sparkSession, lambda: _near_groups(docs, words, percent, miss), "near-groups")[0]
+
+
+def _near_groups(docs: DataFrame, words: int, percent: int, miss: float) -> DataFrame:
     chunks = chunks_for(percent, miss)
     features = stored(document_sets(docs, words, chunks), "features")
     full = features.where("doc_id IS NOT NULL AND n_shingles > 0")
