@@ -1,7 +1,7 @@
 """What a day needs of the source files, stored once in the shapes in which a day reads it.
 
-``days``    order lines by day, sorted by their place in the draw for top-ups
-``draws``   the same lines in draw order, range-partitioned, in folders by the draw value's first bits
+``days``    order lines by day
+``draws``   the same lines in draw order, in folders by the draw value's first bits, each written by one task
 ``prices``  how many items of a product were sold at a price, in buckets by product
 ``people``  the first row of each person, in buckets by person
 
@@ -22,7 +22,7 @@ from merchmill.config import ShopConfig
 from merchmill.operators import draw_order, head_rows, median_of_counts, other_rows, restamp, value_counts
 from merchmill.plans import ingest
 from merchmill.sources.buckets import bucket_count, read_buckets, write_buckets
-from merchmill.sources.storage import delete, file_bytes, fingerprint, read_text, side_by_side, write_text
+from merchmill.sources.storage import COMPRESSION, delete, file_bytes, fingerprint, read_text, side_by_side, write_text
 from merchmill.sources.tables import Layout, read_table, rows_between, write_folder
 
 #: lines of a draw folder and rows of a bucket on average
@@ -38,7 +38,7 @@ PRICES = T.StructType([
 
 
 def history_layout(config: ShopConfig) -> Layout:
-    return Layout("order_date", config.partition_by, cluster_by=("draw",))
+    return Layout("order_date", config.partition_by)
 
 
 @dataclass(frozen=True)
@@ -68,9 +68,10 @@ def stored_history(spark: SparkSession, config: ShopConfig, src: dict[str, DataF
 
     def lines() -> tuple[int, int]:
         built = ingest.build_orders(src["orders"], src["order_items"], src["customers"], None)
-        count = write_folder(built.withColumn("draw", draw_order(config.seed, ingest.LINE_KEY)), f"{path}/days", layout)
+        count = write_folder(built, f"{path}/days", layout)
         bits = min(MOST_DRAW_BITS, (count // LINES_PER_DRAW_FOLDER).bit_length())
-        write_draws(read_table(spark, f"{path}/days", layout), f"{path}/draws", bits)
+        stored = read_table(spark, f"{path}/days", layout)
+        write_draws(stored.withColumn("draw", draw_order(config.seed, ingest.LINE_KEY)), f"{path}/draws", bits)
         return count, bits
 
     def persons() -> None:
@@ -85,10 +86,11 @@ def stored_history(spark: SparkSession, config: ShopConfig, src: dict[str, DataF
 
 
 def write_draws(lines: DataFrame, path: str, bits: int) -> None:
-    """Each task writes a range of draw values, so files don't overlap and a folder has few of them."""
+    """Each task writes one draw folder, so files don't overlap. Draws are spread evenly, so no sample tells their ranges."""
     first = F.conv(F.substring("draw", 1, 4), 16, 10).cast("int")
-    placed = lines.withColumn("draw_folder", F.shiftright(first, 16 - bits)).repartitionByRange("draw")
-    placed.sortWithinPartitions("draw_folder", "draw").write.mode("overwrite").partitionBy("draw_folder").parquet(path)
+    placed = lines.withColumn("draw_folder", F.shiftright(first, 16 - bits)).repartitionById(1 << bits, F.col("draw_folder"))
+    writer = placed.sortWithinPartitions("draw_folder", "draw").write.mode("overwrite").option("compression", COMPRESSION)
+    writer.partitionBy("draw_folder").parquet(path)
 
 
 def day_lines(spark: SparkSession, config: ShopConfig, history: History, run_date: date, now: datetime) -> DataFrame:

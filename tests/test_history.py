@@ -77,6 +77,24 @@ def test_files_of_the_draw_do_not_overlap(spark, stored):
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
 
 
+def test_the_store_of_lines_is_written_without_a_sample(spark, stored):
+    config, src, kept = stored
+    draws = spark.read.parquet(f"{kept.path}/draws")
+    assert len(draws.inputFiles()) == len(folders(draws, "draw_folder")) == 32  # a task for each folder, no cut inside one
+    days = spark.read.parquet(f"{kept.path}/days")
+    assert "draw" not in days.columns and draws.drop("draw", "draw_folder").exceptAll(days.select(draws.columns[:-2])).isEmpty()
+    # a range split would run the joins of the lines a second time for its sample
+    plan = history.history_layout(config).arrange(days)._jdf.queryExecution().toString()
+    assert "rangepartitioning" not in plan and "REBALANCE" in plan.upper()
+
+
+def test_lines_meet_one_join(spark, stored):
+    config, src, kept = stored
+    plan = ingest.build_orders(src["orders"], src["order_items"], src["customers"], None)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("Aggregate [order_id")]  # the lines are the first input of the topmost join
+    assert plan.count("Join ") == 2 and above.count("Join ") == 1
+
+
 def test_prices_of_a_batch_come_from_its_buckets(spark, stored):
     config, src, kept = stored
     want = {r.product_id: r.median_price for r in exact_median(src["order_items"], "product_id", "price", "median_price").collect()}
