@@ -32,3 +32,12 @@ def test_the_report_makes_the_order_lines_and_product_days_once(spark, monkeypat
     monkeypatch.setattr(spark_queries, "materialise", lambda df, name: stored.append(name) or df)
     spark_queries.dq_report(spark, SF)
     assert made.count("raw_orders") == 1 and "dq-product-days" in stored
+
+
+def test_the_batch_of_a_merge_is_stored_before_it(spark, monkeypatch):
+    batches = []
+    monkeypatch.setattr(spark_queries, "overwrite_table", lambda *a: None)
+    monkeypatch.setattr(spark_queries, "upsert", lambda df, *a: batches.append(df.inputFiles()))
+    monkeypatch.setattr(spark_queries, "read_table", lambda s, *a: s.range(1))
+    spark_queries.fct_orders_merge(spark, SF)
+    assert len(batches) == 2 and all("merge-batch" in f for files in batches for f in files)
