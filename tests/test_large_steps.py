@@ -41,3 +41,34 @@ def test_the_batch_of_a_merge_is_stored_before_it(spark, monkeypatch):
     monkeypatch.setattr(spark_queries, "read_table", lambda s, *a: s.range(1))
     spark_queries.fct_orders_merge(spark, SF)
     assert len(batches) == 2 and all("merge-batch" in f for files in batches for f in files)
+
+
+def test_loading_an_unchanged_batch_again_writes_nothing(spark, folder, monkeypatch):
+    config, day, other = ShopConfig(root=folder), date(2020, 1, 1), date(2020, 1, 2)
+    path, layout = config.path("raw", "orders"), landing.warehouse_layout(config, "orders")
+
+    def land(run_date, *keys):
+        rows = spark.createDataFrame([(k, "c", "p", 1, 2.5, 2.5, "completed", d) for k, d in keys],
+                                     "order_id string, customer_id string, product_id string, quantity bigint, unit_price double, "
+                                     "total_amount double, status string, order_date date")
+        landing.export_table(rows, config, "orders", run_date)
+
+    def held():
+        return sorted((r.order_id, r.order_date) for r in read_table(spark, path, layout).collect())
+
+    land(day, ("a", day), ("b", other))
+    assert landing.load_table(spark, config, "orders", day) == 2
+    with monkeypatch.context() as no_write:
+        no_write.setattr(landing, "replace_folders", lambda *a: 1 / 0)
+        assert landing.load_table(spark, config, "orders", day) == 2
+    assert held() == [("a", day), ("b", other)] and len(landing.load_ledger(spark, config).entries()) == 1
+    # another load, or a change beside the loads, comes between: the batch is loaded in full
+    land(other, ("x", other))
+    assert landing.load_table(spark, config, "orders", other) == 1 and held() == [("a", day), ("x", other)]
+    assert landing.load_table(spark, config, "orders", day) == 2 and held() == [("a", day), ("b", other)]
+    append_table(read_table(spark, path, layout).where("order_id = 'a'"), path, layout)
+    assert landing.load_table(spark, config, "orders", day) == 2 and held() == [("a", day), ("b", other)]
+    # as does a batch with other rows
+    land(day, ("a2", day), ("b", other))
+    assert landing.load_table(spark, config, "orders", day) == 2 and held() == [("a2", day), ("b", other)]
+    assert [n for n in child_names(spark, path) if n.startswith("order_date=")] != []
