@@ -72,3 +72,16 @@ def test_loading_an_unchanged_batch_again_writes_nothing(spark, folder, monkeypa
     land(day, ("a2", day), ("b", other))
     assert landing.load_table(spark, config, "orders", day) == 2 and held() == [("a2", day), ("b", other)]
     assert [n for n in child_names(spark, path) if n.startswith("order_date=")] != []
+
+
+def test_late_orders_stage_each_table_once(spark, monkeypatch):
+    stored, read = [], []
+    monkeypatch.setattr(spark_queries, "materialise", lambda df, name: stored.append(name) or df.sparkSession.createDataFrame([], df.schema))
+    monkeypatch.setattr(landing, "export_table", lambda rows, config, table, day: read.append((table, rows.inputFiles())))
+    monkeypatch.setattr(spark_queries.jobs, "load_day", lambda *a: None)
+    monkeypatch.setattr(spark_queries.jobs, "build_fact", lambda *a: None)
+    monkeypatch.setattr(spark_queries, "read_table", lambda s, *a: s.range(1))
+    spark_queries.fct_orders_late(spark, SF)
+    assert sorted(stored) == ["late-staged-customers", "late-staged-orders", "late-staged-products"]
+    # two days land all three tables from what was stored, none of them from the test tables again
+    assert sorted(t for t, _ in read) == sorted(["customers", "orders", "products"] * 2) and not any(files for _, files in read)
