@@ -43,6 +43,17 @@ def test_the_batch_of_a_merge_is_stored_before_it(spark, monkeypatch):
     assert len(batches) == 2 and all("merge-batch" in f for files in batches for f in files)
 
 
+def test_a_check_of_much_that_changed_looks_no_values_up(spark, folder, monkeypatch):
+    path, store, layout = f"{folder}/t", f"{folder}/store", Layout("d")
+    monkeypatch.setattr(uniqueness, "materialise", lambda *a: 1 / 0)
+    append_table(frame(spark, ("a", 1, D1), ("b", 0, D1), ("b", 1, D1), ("c", 1, D2)), path, layout)
+    assert repeated_values(spark, path, layout, "k", store, F.col("v") > 0) == Repeated(1, 0)
+    append_table(frame(spark, ("a", 1, D3), ("c", 0, D3), ("e", 1, D3)), path, layout)
+    assert repeated_values(spark, path, layout, "k", store, F.col("v") > 0) == Repeated(3, 1)
+    replace_folders(frame(spark, ("c", 1, D3), ("b", 1, D3), ("b", 1, D3)), path, layout)
+    assert repeated_values(spark, path, layout, "k", store, F.col("v") > 0) == Repeated(2, 2)
+
+
 def test_loading_an_unchanged_batch_again_writes_nothing(spark, folder, monkeypatch):
     config, day, other = ShopConfig(root=folder), date(2020, 1, 1), date(2020, 1, 2)
     path, layout = config.path("raw", "orders"), landing.warehouse_layout(config, "orders")
